@@ -29,13 +29,13 @@ def is_wkb_bytes(raw: Column) -> Column:
 def is_wkb_text(text: Column) -> Column:
     """Hex, escaped or byte-per-character text that starts like a well-known binary geometry."""
     is_hex = (F.length(text) % 2 == 0) & text.rlike("^[0-9A-Fa-f]+$")
-    hex_head = F.upper(F.substring(text, 1, 10))
-    escaped_head = F.upper(F.replace(F.regexp_extract(text, r"^" + _ESCAPED, 0), F.lit("\\x"), F.lit("")))
-    binary_like = text.rlike(r"[^\t-\r -~]") & ~text.rlike(r"[^\u0000-ÿ]")
-    raw_head = F.hex(F.encode(F.when(binary_like, F.substring(text, 1, 5)).otherwise(F.lit("")), "ISO-8859-1"))
+    escaped_head = F.upper(F.replace(F.regexp_extract(text, "^" + _ESCAPED, 0), F.lit("\\x"), F.lit("")))
+    # one byte per character: the first one is the byte order, and no character lies beyond a byte
+    raw = text.rlike(r"^[\u0000\u0001]") & ~text.rlike(r"[^\u0000-\u00ff]")
+    raw_head = F.hex(F.encode(F.when(raw, F.substring(text, 1, 5)).otherwise(F.lit("")), "ISO-8859-1"))
     return F.coalesce(
-        F.when(is_hex, _is_header(hex_head)).otherwise(
-            _is_header(F.substring(escaped_head, 1, 10)) | (binary_like & _is_header(raw_head))
+        F.when(is_hex, _is_header(F.upper(F.substring(text, 1, 10)))).otherwise(
+            _is_header(F.substring(escaped_head, 1, 10)) | _is_header(raw_head)
         ),
         F.lit(False),
     )
@@ -55,8 +55,7 @@ def is_geometry_text(text: Column) -> Column:
 
 def is_address_text(text: Column) -> Column:
     """A street word together with a number or a postal code."""
-    clean = F.translate(F.lower(text), "  ", "  ")
-    return clean.rlike(fixed.STREET_PATTERN) & clean.rlike(r"(?U)\d")
+    return text.rlike(r"(?U)\d") & text.rlike(fixed.STREET_PATTERN)
 
 
 def point_wkt(x: Column, y: Column) -> Column:

@@ -17,7 +17,8 @@ def coerced_number(text: Column, *, strict: bool = False) -> Column:
     """
     bare = F.regexp_replace(text, fixed.CURRENCY_PATTERN, "")
     kept = F.replace(F.regexp_replace(bare, fixed.NON_NUMBER_PATTERN, ""), F.lit(","), F.lit("."))
-    number = plain_number(kept)
+    # two points can never be a number; prose is settled by this look at its first sentence
+    number = F.when(~text.rlike(r"[.,][^.,]*[.,]"), plain_number(kept))
     if not strict:
         return number
     return F.when(F.regexp_replace(bare, r"(?U)[\s%+]", "").rlike(r"^[-]?[0-9.,]+$"), number)
@@ -25,10 +26,10 @@ def coerced_number(text: Column, *, strict: bool = False) -> Column:
 
 def coordinate_number(text: Column) -> Column:
     """Coordinate from text: decimal comma or point, thousands points removed on a second try."""
-    packed = F.regexp_replace(text, r"(?U)[  \s]+", "")
+    packed = F.regexp_replace(text, r"(?U)\s+", "")
     first = plain_number(F.replace(packed, F.lit(","), F.lit(".")))
     second = plain_number(F.replace(F.replace(packed, F.lit("."), F.lit("")), F.lit(","), F.lit(".")))
-    return F.coalesce(first, second)
+    return F.when(text.rlike(r"(?U)^[-+0-9.,eE\s]+$"), F.coalesce(first, second))
 
 
 def ratio(part: Column, whole: Column) -> Column:

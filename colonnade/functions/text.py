@@ -8,46 +8,45 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_LATIN_RANGES = ((0x00A0, 0x0250), (0x1E00, 0x1F00), (0x2000, 0x2070), (0x2070, 0x20A0), (0xFB00, 0xFB07), (0xFF01, 0xFF5F))
+_LATIN_RANGES = ((0x00A0, 0x0250), (0x1E00, 0x1F00), (0x2000, 0x20A0), (0xFF01, 0xFF5F))
+# fixed values: letters that decompose to several letters
+_LIGATURES = (
+    ("\ufb00", "ff"), ("\ufb01", "fi"), ("\ufb02", "fl"), ("\ufb03", "ffi"), ("\ufb04", "ffl"), ("\ufb05", "st"),
+    ("\ufb06", "st"), ("\u0132", "IJ"), ("\u0133", "ij"), ("\u2026", "..."), ("\u2116", "No"), ("\u2122", "TM"),
+)
+# fixed values: the characters that count as blank
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 @lru_cache(maxsize=1)
-def _fold_tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    """Compatibility-decomposed Latin letters without their marks: one-to-one pairs, and one-to-many replacements."""
-    single_from, single_to, multiple = [], [], []
+def _fold_table() -> tuple[str, str]:
+    """Latin characters and the single letter each decomposes to; combining marks follow and map to nothing."""
+    source, target = [], []
     for low, high in _LATIN_RANGES:
-        for point in range(low, high):
-            char = chr(point)
+        for char in map(chr, range(low, high)):
             folded = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
-            if folded == char or char.isspace() and folded == " ":
-                if folded == char:
-                    continue
-            if len(folded) == 1:
-                single_from.append(char)
-                single_to.append(folded)
-            elif folded:
-                multiple.append((char, folded))
-    return "".join(single_from), "".join(single_to), tuple(multiple)
-
-
-@lru_cache(maxsize=1)
-def _multiple_pattern() -> str:
-    return "[" + "".join(char for char, _ in _fold_tables()[2]) + "]"
+            if folded != char and len(folded) == 1:
+                source.append(char)
+                target.append(folded)
+    marks = "".join(map(chr, range(0x0300, 0x0370)))
+    return "".join(source) + marks, "".join(target)
 
 
 def fold_accents(text: Column) -> Column:
     """Compatibility decomposition of Latin text with the combining marks removed.
 
-    Spark has no Unicode normaliser, so the one-to-one letters go through a single ``translate``.  The few characters
-    that decompose to several letters are replaced only in rows that contain one.
+    Spark has no Unicode normaliser, so all one-to-one letters go through a single ``translate``; ligatures are spelt
+    out only in the rows that contain one.
     """
-    source, target, multiple = _fold_tables()
-    folded = F.translate(text, source, target)
-    expanded = folded
-    for char, letters in multiple:
-        expanded = F.replace(expanded, F.lit(char), F.lit(letters))
-    has_multiple = folded.rlike(_multiple_pattern())
-    return F.regexp_replace(F.when(has_multiple, expanded).otherwise(folded), r"[̀-ͯ]", "")
+    source, target = _fold_table()
+    spelt = text
+    for char, letters in _LIGATURES:
+        spelt = F.replace(spelt, F.lit(char), F.lit(letters))
+    has_ligature = text.rlike("[" + "".join(c for c, _ in _LIGATURES) + "]")
+    return F.translate(F.when(has_ligature, spelt).otherwise(text), source, target)
 
 
 def column_key(name: Column) -> Column:
@@ -78,7 +77,7 @@ def code_key(text: Column) -> Column:
 
 def country_token(text: Column) -> Column:
     """Lower-case accent-free token with every other character run as one underscore."""
-    folded = fold_accents(F.lower(strip(F.coalesce(text.cast("string"), F.lit("")))))
+    folded = fold_accents(F.lower(F.coalesce(text.cast("string"), F.lit(""))))
     return F.regexp_replace(F.regexp_replace(folded, "[^a-z0-9]+", "_"), "^_+|_+$", "")
 
 
@@ -89,7 +88,7 @@ def header_key(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Remove blanks of every kind from both ends (``trim`` alone removes only the space)."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def looks_numeric(text: Column) -> Column:
