@@ -44,7 +44,7 @@ def common_code_lengths(reference: DataFrame, top: int = 3) -> DataFrame:
 
 
 def reference_keys(reference: DataFrame) -> DataFrame:
-    """Join keys of the code lists: (level, level_rank, by, key, code, common).
+    """Join keys of the code lists: (level, level_rank, by, key, code, long_code, common).
 
     ``common`` tells that the key needs no padding or padding to one of the level's common lengths only.
     """
@@ -62,23 +62,25 @@ def reference_keys(reference: DataFrame) -> DataFrame:
         .select("level", "level_rank", "code", "lengths", F.explode(forms).alias("form"))
         .select(
             "level", "level_rank", F.lit("code").alias("by"), F.col("form.key").alias("key"), "code",
-            (F.col("form.same") | F.array_contains("lengths", F.length("code"))).alias("common"),
+            F.col("form.same").alias("same"), (F.col("form.same") | F.array_contains("lengths", F.length("code"))).alias("common"),
         )
     )
-    # several codes can be reached from one value; the shortest is the first candidate tried
-    first = W.partitionBy("level", "key").orderBy(F.length("code"), "code")
+    # several codes can be reached from one value: its own form comes first, then the shortest padding;
+    # file names try the longest padding first
     by_code = (
-        padded.withColumn("any_common", F.max("common").over(W.partitionBy("level", "key")))
-        .withColumn("rank", F.row_number().over(first))
-        .where("rank = 1")
-        .select("level", "level_rank", "by", "key", "code", F.col("any_common").alias("common"))
+        padded.groupBy("level", "level_rank", "by", "key")
+        .agg(
+            F.min_by("code", F.struct(F.length("code"), "code")).alias("code"),
+            F.max_by("code", F.struct("same", F.length("code"))).alias("long_code"),
+            F.max("common").alias("common"),
+        )
     )
     by_name = (
         reference.where("nom IS NOT NULL")
         .select("level", "level_rank", name_key(F.col("nom")).alias("key"))
         .distinct()
         .select("level", "level_rank", F.lit("nom").alias("by"), "key", F.lit(None).cast("string").alias("code"),
-                F.lit(True).alias("common"))
+                F.lit(None).cast("string").alias("long_code"), F.lit(True).alias("common"))
     )
     return by_code.unionByName(by_name)
 
@@ -196,27 +198,27 @@ def mixed_levels(levels: DataFrame, group: list[str], minimum: int = 2) -> DataF
     return distinct.join(per_column, group)
 
 
+def _at_level(codes: Column, level: str, name: str) -> Column:
+    """Codes found in a text, in upper case, each with its level."""
+    return F.transform(codes, lambda code: F.struct(F.lit(level).alias("level"), F.upper(code).alias(name)))
+
+
 def file_name_levels(names: DataFrame, keys: DataFrame, *, name: str = "name") -> DataFrame:
     """Spatial levels named in file names with a listed code: (name, granularity, value)."""
     stem = column_key(F.regexp_replace(F.col(name), r"\.[^./]*$", ""))
     found = []
     for level, aliases in fixed.FILE_NAME_LEVEL_ALIASES:
-        # doubling the separator lets neighbouring hits share one
-        padded = F.concat(F.lit("_"), F.replace(F.col("stem"), F.lit("_"), F.lit("__")), F.lit("_"))
         for alias in aliases:
-            pattern = "_" + alias.replace("_", "__") + "_{0,2}(2a|2b|[0-9a-z]{1,9})_"
+            pattern = f"(?:^|_){alias}_?(2a|2b|[0-9a-z]{{1,9}})(?:_|$)"
             found.append(
-                F.transform(
-                    F.regexp_extract_all(padded, F.lit(pattern), 1),
-                    lambda code, level=level: F.struct(F.lit(level).alias("level"), F.upper(code).alias("key")),
-                )
+                _at_level(F.regexp_extract_all("stem", F.lit(pattern), F.lit(1)), level, "key")
             )
     return (
         names.select(name, stem.alias("stem"))
         .select(name, F.inline(F.flatten(F.array(*found))))
         .distinct()
         .join(keys.where("by = 'code'"), ["level", "key"])
-        .select(name, level_name(F.col("level")).alias("granularity"), F.col("code").alias("value"))
+        .select(name, level_name(F.col("level")).alias("granularity"), F.col("long_code").alias("value"))
         .distinct()
     )
 
@@ -243,10 +245,7 @@ def names_in_text(
     names = reference.where("nom IS NOT NULL").select("level", name_key(F.col("nom")).alias("value")).distinct()
     by_name = grams.join(names, "value").select(key, "level", F.lit("nom").alias("by"), "value").distinct()
     trials = [
-        F.transform(
-            F.regexp_extract_all("t", F.lit(pattern), group),
-            lambda code, level=level: F.struct(F.lit(level).alias("level"), F.upper(code).alias("value")),
-        )
+        _at_level(F.regexp_extract_all("t", F.lit(pattern), F.lit(group)), level, "value")
         for level, pattern, group in fixed.TEXT_CODE_PATTERNS
     ]
     codes = reference.where("code IS NOT NULL").select("level", code_key(F.col("code")).alias("value")).distinct()

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -36,3 +37,13 @@ def shared_folder(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a table several later steps read, and read it back: it is computed once and survives lost executors.
+
+    The table lies in the shared folder, so the plans of later steps start from its columns and statistics.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/stage-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
