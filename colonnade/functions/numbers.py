@@ -42,11 +42,12 @@ def human_size(size: Column) -> Column:
     value, label = size.cast("double"), None
     step = 1.0
     for unit in fixed.SIZE_UNITS:
-        shown = F.format_string("%.2f " + unit, value / step)
+        # ties go to the even digit before the text is made
+        shown = F.format_string("%.2f " + unit, F.bround(value / step, 2))
         fits = value / step < 1024
         label = F.when(fits, shown) if label is None else label.when(fits, shown)
         step *= 1024
-    return F.when(size.isNotNull(), label.otherwise(F.format_string("%.2f PB", value / step)))
+    return F.when(size.isNotNull(), label.otherwise(F.format_string("%.2f PB", F.bround(value / step, 2))))
 
 
 def gated_confidence(match_ratio: Column) -> Column:

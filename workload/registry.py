@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from workload import profiling
+from workload import matching, periods, profiling, records
 
-MODULES = (profiling,)
+MODULES = (profiling, periods, matching, records)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
