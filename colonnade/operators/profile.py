@@ -251,10 +251,12 @@ def _word_flags(x: Column) -> dict[str, Column]:
     word = F.lower(bare)
     short = F.length(bare) <= 200
     token = text.country_token(bare)
+    # a keyword that holds another one adds nothing
+    keywords = [k for k in fixed.LIKERT_KEYWORDS if not any(o != k and o in k for o in fixed.LIKERT_KEYWORDS)]
     alias = short & token.isin(*fixed.COUNTRY_VALUE_TOKENS)
     return {
         "boolean_word": word.isin(*fixed.BOOLEAN_WORDS),
-        "likert_word": reduce(lambda a, b: a | b, [F.contains(word, F.lit(k)) for k in fixed.LIKERT_KEYWORDS]),
+        "likert_word": reduce(lambda a, b: a | b, [F.contains(word, F.lit(k)) for k in keywords]),
         "country_yes": alias,
         # a token is empty only when the value has no Latin letter or digit
         "country_no": ~alias & F.when(short, token != "").otherwise(bare.rlike(r"[A-Za-z0-9\u00c0-\u024f\u1e00-\u1eff]")),
@@ -311,13 +313,13 @@ def _frequencies(family: str, cells: DataFrame, strict_numeric: bool) -> DataFra
         is_long = F.length(x) > LONG_TEXT
         digest = F.concat(F.lit("sha256:"), F.sha2(x.cast("binary"), 256))
         keyed = cells.select(
-            "cid",
+            "cid", "x", is_long.alias("is_long"),
             F.when(is_long, digest).otherwise(F.hex(x) if family == "binary" else x).alias("v"),
-            is_long.alias("is_long"),
-            *[F.when(is_long, e).alias("long_" + k) for k, e in features.items()],
         )
+        # the features are aggregate inputs, not a projection, which would be copied into every table's branch
         grouped = keyed.groupBy("cid", "v", "is_long").agg(
-            F.count("*").alias("n"), *[F.max("long_" + k).alias("long_" + k) for k in features]
+            F.count("*").alias("n"),
+            *[F.max(F.when(F.col("is_long"), e)).alias("long_" + k) for k, e in features.items()],
         ).withColumn("x", F.when(~F.col("is_long"), F.unhex("v") if family == "binary" else F.col("v")))
         features = {k: F.coalesce(F.col("long_" + k), e) for k, e in features.items()}
     else:

@@ -17,6 +17,7 @@ from colonnade.operators.lookups import free_name
 from colonnade.operators.profile import Profiled
 from colonnade.operators.reference import file_name_levels
 from colonnade.operators.temporal import mixed_period_ranges
+from colonnade.session import stage
 
 _NO_VALUES = {"geometry", "geopoint", "latlon_pair"}
 INLINE_VALUES = 10_000
@@ -164,9 +165,10 @@ def dataset_records(
     """
     hierarchy = rollups.hierarchy_table(spark) if hierarchy is None else hierarchy
     named = file_name_attributes(files.select("dataset_id", "title"), attributes, hierarchy, keys)
-    attributes = with_file_name_attributes(attributes, named)
+    attributes = stage(with_file_name_attributes(attributes, named), "attributes")
     space, time = dimension_levels(attributes, "spatial"), dimension_levels(attributes, "temporal")
     space_scope, time_scope = (rollups.scope_rollup(lv, hierarchy, d) for lv, d in ((space, "spatial"), (time, "temporal")))
+    space_scope, time_scope = stage(space_scope, "space"), stage(time_scope, "time")
     space_gran = rollups.granularity_rollup(space, hierarchy, "spatial").withColumnRenamed("granularity", "spatialGranularity")
     time_gran = rollups.granularity_rollup(time, hierarchy, "temporal").withColumnRenamed("granularity", "temporalGranularity")
 
@@ -185,6 +187,7 @@ def dataset_records(
         )
     )
 
+    scopes = stage(scopes, "scopes")
     themes = rollups.theme_set(
         attributes.where("role IN ('indicator', 'other')").select("dataset_id", "theme"), nodes=theme_nodes
     )

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from workload import matching, periods, profiling, records
+from workload import matching, periods, plans, profiling, records
 
-MODULES = (profiling, periods, matching, records)
+MODULES = (profiling, periods, matching, records, plans)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -19,3 +19,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracles() -> dict[str, str]:
     """SQL by query name."""
     return {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship query."""
+    return plans.flagship(spark, sf_dir)
