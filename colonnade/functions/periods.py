@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colonnade.functions import fixed
@@ -68,13 +68,44 @@ def parse_period(token: Column, granularity: str) -> Column:
     )
 
 
-def parse_any_period(token: Column, granularity: Column) -> Column:
-    """Like :func:`parse_period` with the granularity in a column."""
-    chosen = None
-    for name in fixed.PERIOD_PATTERNS:
-        parsed = parse_period(token, name)
-        chosen = F.when(granularity == name, parsed) if chosen is None else chosen.when(granularity == name, parsed)
-    return chosen
+def with_period(df: DataFrame, token: str, granularity: str | Column) -> DataFrame:
+    """Replace a token column by the period it holds (start, end, label); rows without a period are left out.
+
+    The granularity is a name, or a column that holds one.  The numbers of the token are columns of their own, so that
+    each pattern is searched once per row.
+    """
+    names = tuple(fixed.PERIOD_PATTERNS) if isinstance(granularity, Column) else (granularity,)
+
+    def choose(values: dict[str, Column]) -> Column:
+        if not isinstance(granularity, Column):
+            return values[granularity]
+        chosen = None
+        for name, value in values.items():
+            chosen = F.when(granularity == name, value) if chosen is None else chosen.when(granularity == name, value)
+        return chosen
+
+    parts = {name: tuple(fixed.PERIOD_PATTERNS[name][0][1]) for name in names}
+    numbers = {
+        f"_{part}": choose({name: _part(F.col(token), name, part) for name in names if part in parts[name]})
+        for part in dict.fromkeys(p for ps in parts.values() for p in ps)
+    }
+    columns = {name: {p: F.col(f"_{p}") for p in ps} for name, ps in parts.items()}
+    found = df.withColumns(numbers).withColumn("start", choose({n: period_bounds(n, c)[0] for n, c in columns.items()}))
+    dated = found.where("start IS NOT NULL").withColumns(
+        {
+            "end": choose({n: _last_day(n, F.col("start")) for n in names}),
+            "label": choose({n: period_label(n, c) for n, c in columns.items()}),
+        }
+    )
+    return dated.drop(token, *numbers)
+
+
+def _last_day(granularity: str, start: Column) -> Column:
+    """Last day of the period that starts on a day."""
+    if granularity in ("date", "week"):
+        return F.date_add(start, 0 if granularity == "date" else 6)
+    months = {"year": 12, "semester": 6, "quarter": 3, "month": 1}[granularity]
+    return F.last_day(F.add_months(start, months - 1))
 
 
 def file_name_periods(text: Column) -> Column:

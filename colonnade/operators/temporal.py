@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from colonnade.functions.periods import parse_any_period, parse_period
+from colonnade.functions.periods import with_period
 
 
 def merge_periods(periods: DataFrame, keys: list[str]) -> DataFrame:
@@ -34,13 +34,12 @@ def merge_periods(periods: DataFrame, keys: list[str]) -> DataFrame:
 def period_ranges(tokens: DataFrame, keys: list[str], token: str, granularity: str) -> DataFrame:
     """Contiguous ranges of the tokens of one granularity, per key.  Invalid tokens are ignored."""
     distinct = tokens.where(F.col(token).isNotNull()).select(*keys, F.col(token).cast("string").alias("token")).distinct()
-    parsed = distinct.select(*keys, parse_period(F.trim("token"), granularity).alias("p")).where("p IS NOT NULL")
-    return merge_periods(parsed.select(*keys, "p.start", "p.end", "p.label"), keys)
+    return merge_periods(with_period(distinct.withColumn("token", F.trim("token")), "token", granularity), keys)
 
 
 def mixed_period_ranges(tokens: DataFrame, keys: list[str], token: str, granularity: str) -> DataFrame:
     """Like :func:`period_ranges` with the granularity in a column, which stays in the result."""
     group = keys + [granularity]
     distinct = tokens.where(F.col(token).isNotNull()).select(*group, F.col(token).cast("string").alias("token")).distinct()
-    parsed = distinct.select(*group, parse_any_period(F.trim("token"), F.col(granularity)).alias("p")).where("p IS NOT NULL")
-    return merge_periods(parsed.select(*group, "p.start", "p.end", "p.label"), group)
+    dated = with_period(distinct.withColumn("token", F.trim("token")), "token", F.col(granularity))
+    return merge_periods(dated, group)

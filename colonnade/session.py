@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # recording the call site of every column expression makes building large plans several times slower
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -28,6 +30,14 @@ def build_session(name: str = "colonnade", master: str | None = None, **extra: s
     return spark
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Put the settings above on an existing session, as far as it lets them be changed."""
+    for key, value in SETTINGS.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables: the one the cluster names, else a local one (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from colonnade.session import configure
 from workload import matching, periods, plans, profiling, records
 
 MODULES = (profiling, periods, matching, records, plans)
@@ -13,7 +15,15 @@ MODULES = (profiling, periods, matching, records, plans)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Queries by name."""
-    return {name: query for module in MODULES for name, query in module.QUERIES.items()}
+    return {name: _configured(query) for module in MODULES for name, query in module.QUERIES.items()}
+
+
+def _configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(configure(spark), sf_dir)
+
+    return run
 
 
 def oracles() -> dict[str, str]:
@@ -23,4 +33,4 @@ def oracles() -> dict[str, str]:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship query."""
-    return plans.flagship(spark, sf_dir)
+    return plans.flagship(configure(spark), sf_dir)
