@@ -232,13 +232,13 @@ def names_in_text(
     are joined by equality instead of searching every name in every text.
     """
     clean = texts.select(key, column_key(F.col(text)).alias("t"))
-    words = F.filter(F.split("t", "[^a-z0-9]+"), lambda w: w != "")
-    tokens = F.when(F.contains("t", F.lit("_")), words).otherwise(F.concat(F.array("t"), words))
+    words = F.regexp_replace("t", "[^a-z0-9]+", " ")
+    line = F.concat(F.lit(" "), F.when(F.contains("t", F.lit("_")), words).otherwise(F.concat_ws(" ", "t", words)), F.lit(" "))
     segments = F.split("t", "_")
     inner = F.when(F.size(segments) > 2, F.slice(segments, 2, F.size(segments) - 2)).otherwise(F.array().cast("array<string>"))
-    groups = [inner] + [_word_groups(F.col("tokens"), n) for n in range(1, max_words + 1)]
+    groups = [inner] + [_word_groups(F.col("line"), n) for n in range(1, max_words + 1)]
     grams = (
-        clean.withColumn("tokens", tokens)
+        clean.withColumn("line", F.regexp_replace(line, " +", " "))
         .select(key, F.explode(F.array_distinct(F.concat(*groups))).alias("value"))
         .where((F.length("value") >= 4) & ~F.col("value").rlike("^[0-9]+$"))
     )
@@ -263,11 +263,12 @@ def longest_name(reference: DataFrame) -> int:
     return reference.where("nom IS NOT NULL").agg(F.max(words)).first()[0] or 0
 
 
-def _word_groups(tokens: Column, n: int) -> Column:
-    """All groups of n neighbouring words joined by blanks."""
-    starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1)))
-    grouped = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, F.lit(n)), " "))
-    return F.coalesce(grouped, F.array().cast("array<string>"))
+def _word_groups(line: Column, n: int) -> Column:
+    """All groups of n neighbouring words of a line whose words stand between single blanks.
+
+    The look-ahead finds a group at every word without using it up, so neighbouring groups overlap.
+    """
+    return F.regexp_extract_all(line, F.lit("(?<= )(?=(" + " ".join(["[^ ]+"] * n) + ") )"), F.lit(1))
 
 
 def column_levels(columns: DataFrame, *, strict: bool = False) -> DataFrame:
