@@ -99,17 +99,19 @@ def profile_tables(
     *,
     address: Mapping[str, list[str]] | None = None,
     strict_numeric: bool = False,
-    iso_dates: bool = False,
+    measures: Iterable[str] | None = None,
 ) -> Profiled:
     """Column list and value frequencies of the tables.
 
-    ``address`` names sub-columns to profile as one composed address column instead of one by one.
+    ``address`` names sub-columns to profile as one composed address column instead of one by one.  ``measures`` limits
+    the predicates to those some later :func:`column_profile` asks for (all by default).
     """
+    wanted = None if measures is None else frozenset(measures) & frozenset(FLAGS)
     columns, families = _split_columns(spark, tables, address or {})
     parts = []
     for family, frames in families.items():
         cells = reduce(DataFrame.unionAll, frames)
-        parts.append(_frequencies(family, cells, strict_numeric))
+        parts.append(_frequencies(family, cells, strict_numeric, wanted))
     values = reduce(DataFrame.unionByName, parts)
     return Profiled(columns, values)
 
@@ -152,6 +154,12 @@ def column_profile(profiled: Profiled, measures: Iterable[str] | None = None) ->
     return _with_columns(profiled.columns, grouped)
 
 
+def profile_columns(spark: SparkSession, tables: Mapping[str, DataFrame], measures: Iterable[str]) -> DataFrame:
+    """Column profile of the tables with the given counts only."""
+    measures = tuple(measures)
+    return column_profile(profile_tables(spark, tables, measures=measures), measures)
+
+
 def _with_columns(columns: DataFrame, grouped: DataFrame) -> DataFrame:
     counted = [c for c in grouped.columns if c != "cid" and c not in _MAY_BE_NULL]
     joined = (
@@ -210,7 +218,7 @@ def _cell_value(kind: str, column: Column) -> tuple[str, Column]:
 
 
 @lru_cache(maxsize=None)
-def _features(family: str, strict_numeric: bool) -> dict[str, Column]:
+def _features(family: str, strict_numeric: bool, wanted: frozenset[str] | None = None) -> dict[str, Column]:
     """Per-value features of column ``x``: printed length, the number readings and the predicate mask.
 
     Expressions do not belong to a table, so each family is built once per process.
@@ -221,7 +229,7 @@ def _features(family: str, strict_numeric: bool) -> dict[str, Column]:
         number = x.cast("double")
         return {
             "size": F.length(x.cast("string")), "num": number, "plain": number, "coord": number,
-            "flags": _mask({**_number_flags(number), **_range_flags(number), **_word_flags(x.cast("string"))}),
+            "flags": _mask({**_number_flags(number), **_range_flags(number), **_word_flags(x.cast("string"))}, wanted),
         }
     if family == "time":
         flags = {
@@ -230,10 +238,10 @@ def _features(family: str, strict_numeric: bool) -> dict[str, Column]:
             "monday": F.weekday(x) == 0,
             "parsable_time": x.isNotNull(),
         }
-        return {"size": F.length(x.cast("string")), "num": none, "plain": none, "coord": none, "flags": _mask(flags)}
+        return {"size": F.length(x.cast("string")), "num": none, "plain": none, "coord": none, "flags": _mask(flags, wanted)}
     if family == "binary":
         return {"size": F.length(x), "num": none, "plain": none, "coord": none,
-                "flags": _mask({"wkb": geometry.is_wkb_bytes(x)})}
+                "flags": _mask({"wkb": geometry.is_wkb_bytes(x)}, wanted)}
     if family == "complex":
         return {"size": F.lit(0), "num": none, "plain": none, "coord": none, "flags": F.lit(0).cast("long")}
     coordinate = numbers.coordinate_number(x)
@@ -242,7 +250,7 @@ def _features(family: str, strict_numeric: bool) -> dict[str, Column]:
         "num": numbers.coerced_number(x, strict=strict_numeric),
         "plain": text.plain_number(x),
         "coord": coordinate,
-        "flags": _mask({**_word_flags(x), **_text_flags(x), **_range_flags(coordinate)}),
+        "flags": _mask({**_word_flags(x), **_text_flags(x), **_range_flags(coordinate)}, wanted),
     }
 
 
@@ -293,22 +301,24 @@ def _range_flags(number: Column) -> dict[str, Column]:
     return {axis: number.between(low, high) for axis, (low, high) in fixed.COORDINATE_RANGES.items()}
 
 
-def _mask(flags: dict[str, Column]) -> Column:
-    bits = [
+def _mask(flags: dict[str, Column], wanted: frozenset[str] | None) -> Column:
+    zero = F.lit(0).cast("long")
+    bits = [zero] + [
         F.when(condition, F.lit(1 << FLAGS.index(name)).cast("long")).otherwise(F.lit(0).cast("long"))
         for name, condition in flags.items()
+        if wanted is None or name in wanted
     ]
     return reduce(lambda a, b: a.bitwiseOR(b), bits)
 
 
-def _frequencies(family: str, cells: DataFrame, strict_numeric: bool) -> DataFrame:
+def _frequencies(family: str, cells: DataFrame, strict_numeric: bool, wanted: frozenset[str] | None) -> DataFrame:
     """Distinct values of each column with their count and features.
 
     Texts over ``LONG_TEXT`` characters are grouped by digest, so that whole documents are not shuffled; their
     features are taken from the whole text before the shuffle.
     """
     x = F.col("x")
-    features = _features(family, strict_numeric)
+    features = _features(family, strict_numeric, wanted)
     if family in ("text", "binary"):
         is_long = F.length(x) > LONG_TEXT
         digest = F.concat(F.lit("sha256:"), F.sha2(x.cast("binary"), 256))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colonnade.operators import detect
-from colonnade.operators.profile import column_profile, profile_tables, scan_tables
+from colonnade.operators.profile import column_profile, profile_columns, profile_tables, scan_tables
 from workload.tables import load
 
 LINEITEM = (
@@ -25,8 +25,7 @@ def _union(parts: list[str]) -> str:
 
 def _profile(table: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        profiled = profile_tables(spark, {table: load(spark, sf_dir, table)})
-        return column_profile(profiled, ["sum_len"]).select(
+        return profile_columns(spark, {table: load(spark, sf_dir, table)}, ["sum_len"]).select(
             "column", "n_rows", "non_null", "nunique", F.round("not_null_ratio", 6).alias("not_null_ratio"),
             F.round("nunique_ratio", 6).alias("nunique_ratio"), F.round("avg_len", 4).alias("avg_len"),
         )
@@ -59,7 +58,7 @@ COERCED = {
 
 def numeric_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {t: load(spark, sf_dir, t).select(*columns) for t, columns in COERCED.items()}
-    return column_profile(profile_tables(spark, tables), ["num_count", "num_nunique", "num_min", "num_max"]).select(
+    return profile_columns(spark, tables, ["num_count", "num_nunique", "num_min", "num_max"]).select(
         "column", "non_null", "num_count", "num_nunique", "num_min", "num_max",
         F.round(F.col("num_count") / F.col("non_null"), 6).alias("numeric_ratio"),
     )
@@ -77,7 +76,7 @@ QUANT_TABLES = {"lineitem": LINEITEM[:-1], "part": PART, "orders": ORDERS}
 
 def quantitative_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {t: load(spark, sf_dir, t).select(*columns) for t, columns in QUANT_TABLES.items()}
-    profile = column_profile(profile_tables(spark, tables), detect.QUANTITATIVE_MEASURES)
+    profile = profile_columns(spark, tables, detect.QUANTITATIVE_MEASURES)
     return detect.with_quantitative(profile).where("quant IS NOT NULL").select(
         "dataset_id", "column", "quant.subtype", "quant.confidence", "quant.evidence",
         F.col("quant.min").alias("value_min"), F.col("quant.max").alias("value_max"), "quant.nunique",
@@ -113,7 +112,7 @@ _WORDS = "'true','false','yes','no','y','n','1','0','oui','non','vrai','faux','t
 
 def boolean_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {t: load(spark, sf_dir, t).select(*columns) for t, columns in BOOLEAN_COLUMNS.items()}
-    return column_profile(profile_tables(spark, tables), ["boolean_word"]).select(
+    return profile_columns(spark, tables, ["boolean_word"]).select(
         "column", "non_null", "boolean_word", detect.is_boolean().alias("is_boolean")
     )
 
@@ -135,7 +134,7 @@ _LIKERT_TEXT = {"l_returnflag", "text", "p_type"}
 def likert_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {t: load(spark, sf_dir, t).select(*columns) for t, columns in LIKERT_COLUMNS.items()}
     measures = ["plain_count", "likert_min", "likert_max", "likert_bits", "likert_word"]
-    return column_profile(profile_tables(spark, tables), measures).select(
+    return profile_columns(spark, tables, measures).select(
         "dataset_id", "column", "non_null", "plain_count", "likert_word", detect.likert_pattern().alias("pattern")
     )
 
@@ -163,7 +162,7 @@ NOMINAL_COLUMNS = {
 
 def nominal_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {t: load(spark, sf_dir, t).select(*columns) for t, columns in NOMINAL_COLUMNS.items()}
-    profiled = profile_tables(spark, tables)
+    profiled = profile_tables(spark, tables, measures=["sum_len"])
     profile = column_profile(profiled, ["sum_len"]).withColumn("is_nominal", detect.is_nominal())
     wanted = profile.where("is_nominal").select("cid", F.lit(False).alias("lowered"), F.lit(20).alias("k"))
     samples = detect.category_samples(profiled.values, wanted)
@@ -190,7 +189,7 @@ def indicator_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries of columns annotated by their storage: numbers as quantitative, text as qualitative."""
     tables = {t: load(spark, sf_dir, t).select(*columns) for t, columns in QUAL_TABLES.items()}
     measures = {*detect.QUANTITATIVE_MEASURES, *detect.QUALITATIVE_MEASURES, "plain_min", "plain_max", "plain_mean"}
-    profile = column_profile(profile_tables(spark, tables), measures)
+    profile = profile_columns(spark, tables, measures)
     detected = detect.with_qualitative(detect.with_quantitative(profile)).withColumn(
         "indicator_type", F.when(F.col("kind") == "text", "Qualitative").otherwise("Quantitative")
     )
@@ -245,7 +244,7 @@ def temporal_granularity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "orders": derived, "lineitem": load(spark, sf_dir, "lineitem").select("l_shipdate", "l_orderkey"),
         "events": load(spark, sf_dir, "events").select("ts", "event_type"),
     }
-    profile = column_profile(profile_tables(spark, tables), detect.TEMPORAL_MEASURES)
+    profile = profile_columns(spark, tables, detect.TEMPORAL_MEASURES)
     return detect.with_temporal(profile).select("column", "temporal.granularity", "temporal.confidence")
 
 
@@ -309,7 +308,7 @@ def value_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conversations": load(spark, sf_dir, "conversations").select(F.col("text").alias("conversation_text")),
         "pages": load(spark, sf_dir, "pages").select("html"), "supplier": shapes,
     }
-    return column_profile(profile_tables(spark, tables), ["address", "geometry_text", "wkb"]).select(
+    return profile_columns(spark, tables, ["address", "geometry_text", "wkb"]).select(
         "column", "non_null", "address", "geometry_text", "wkb"
     )
 
@@ -346,9 +345,7 @@ def country_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), F.col("c_nationkey").cast("int")), "yyyy-MM-dd").alias("day"),
         "c_name",
     )
-    profile = column_profile(
-        profile_tables(spark, {"customer": customer}), ["country_yes", "country_no", "plain_count", "parsable_time"]
-    )
+    profile = profile_columns(spark, {"customer": customer}, ["country_yes", "country_no", "plain_count", "parsable_time"])
     return profile.select(
         "column", "country_yes", "country_no", detect.is_country_values().alias("is_country"),
         detect.sample_profile().alias("value_kind"), detect.is_parsable_time().alias("is_time"),

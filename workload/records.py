@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from colonnade.functions.numbers import human_size
 from colonnade.operators import annotations as notes
 from colonnade.operators import catalog, hierarchy, sheets, spatial
-from colonnade.operators.profile import column_profile, profile_tables
+from colonnade.operators.profile import profile_columns
 from colonnade.sources import readers
 from workload.tables import load
 
@@ -30,7 +30,7 @@ _PLACES_SQL = """places AS (SELECT c_mktsegment, (c_custkey * 37 % 18000) / 100.
 
 
 def coordinate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profile = column_profile(profile_tables(spark, {"places": _places(spark, sf_dir)}), ["coord_count", "lat", "lon", "x", "y"])
+    profile = profile_columns(spark, {"places": _places(spark, sf_dir)}, ["coord_count", "lat", "lon", "x", "y"])
     return spatial.coordinate_pairs(profile).select("dataset_id", "kind", "first_column", "second_column", F.round("score", 6).alias("score"))
 
 
@@ -221,7 +221,7 @@ def backbone_inherit(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("indicator_type"), F.lit(None).cast("string").alias("thematic_path"),
     )
     series = spark.createDataFrame([("orders", "series"), ("customer", "series")], "dataset_id string, series_hint string")
-    profile = column_profile(profile_tables(spark, tables), notes.SAMPLE_MEASURES)
+    profile = profile_columns(spark, tables, notes.SAMPLE_MEASURES)
     inherited = notes.inherit(profile, backbone, series)
     missing = notes.unmatched(profile.select("dataset_id", "column"), inherited)
     return inherited.select("dataset_id", "column", "semantic_source").unionByName(
