@@ -15,10 +15,12 @@ MODULES = (profiling, periods, matching, records, plans)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Queries by name."""
-    return {name: _configured(query) for module in MODULES for name, query in module.QUERIES.items()}
+    return {name: configured(query) for module in MODULES for name, query in module.QUERIES.items()}
 
 
-def _configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+def configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query with the library's settings put on its session first."""
+
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(configure(spark), sf_dir)
