@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from colonnade.llm import quality_rules
+from colonnade.llm import bpe, quality_rules
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
+    "op10_bpe": bpe.query,
 }
 
 ORACLES = {}
