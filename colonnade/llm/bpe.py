@@ -44,7 +44,7 @@ def newer_characters() -> tuple[str, dict[int, str]]:
     split = pre_tokenizers.Split(Regex(r"[\p{L}\p{N}]"), "removed", invert=True)
     theirs = {c for c, _ in split.pre_tokenize_str("".join(sorted(ours)))}
     lower = normalizers.Lowercase()
-    lowered = {ord(c): low for c in theirs if (low := lower.normalize_str(c)) != c}
+    lowered = {ord(c): low for c in ours if (low := lower.normalize_str(c)) != c}
     points = sorted(map(ord, ours - theirs))
     if not points:
         return PIECES, lowered

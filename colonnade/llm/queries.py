@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from colonnade.llm import bpe, quality_rules
+from colonnade.llm import bpe, pii, quality_crf, quality_rules
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
+    "op7_quality_crf": quality_crf.query,
+    "op8_pii": pii.query,
     "op10_bpe": bpe.query,
 }
 
