@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from colonnade.llm import bpe, pii, quality_crf, quality_rules
+from colonnade.llm import bpe, mixing, pii, quality_crf, quality_rules, url_filter
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
+    "op2_url_filter": url_filter.query,
+    "op4_mixing": mixing.query,
     "op7_quality_crf": quality_crf.query,
     "op8_pii": pii.query,
     "op10_bpe": bpe.query,
