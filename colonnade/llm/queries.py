@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from colonnade.llm import bpe, mixing, pii, quality_crf, quality_rules, url_filter
+from colonnade.llm import bpe, mixing, ngram_join, pii, quality_crf, quality_rules, url_filter
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
     "op2_url_filter": url_filter.query,
+    "op3_ngram_join": ngram_join.query,
     "op4_mixing": mixing.query,
     "op7_quality_crf": quality_crf.query,
     "op8_pii": pii.query,
