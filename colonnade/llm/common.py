@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: A word is a run of characters other than ASCII white space.
@@ -38,9 +38,17 @@ def word_array(text: Column) -> Column:
     return F.array_remove(F.split(spaced, " "), "")
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once for each row."""
-    return F.transform(F.array(value), body)[0]
+def texts_of(docs: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Rows of ``docs`` joined with ``wanted`` on a key; ``wanted`` needs a positive column ``n``.
+
+    Lets Spark drop the texts that nothing asks for by a Bloom filter at the scan, before they are shuffled, also where the
+    scan is smaller than Spark's default for it. The filter's size is bounded by Spark; without it the join is the same.
+    """
+    conf = docs.sparkSession.conf
+    conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
+    conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
+    conf.set("spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold", "1g")
+    return docs.join(wanted.filter("n > 0"), key)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

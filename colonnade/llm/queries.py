@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from colonnade.llm import bpe, mixing, ngram_join, pii, quality_crf, quality_rules, url_filter
+from colonnade.llm import bpe, mixing, ngram_join, pii, quality_crf, quality_rules, substring_dedup, url_filter
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_mixing": mixing.query,
     "op7_quality_crf": quality_crf.query,
     "op8_pii": pii.query,
+    "op9_substring_dedup": substring_dedup.query,
     "op10_bpe": bpe.query,
 }
 
