@@ -4,11 +4,12 @@ Two texts link when 100 * |A ∩ B| >= threshold * |A ∪ B| for their sets of d
 order: rare first, then by hash. How rare is taken from counts over all documents, kept in a fixed number of buckets.
 
 1. Texts with equal sets are one class; a class is known by the hash of its set. Its members are never paired.
-2. A link needs a common n-gram among the first |A| - 6/7 |A| + 1 of the smaller and the first |B| - 3/4 |B| + 1 of the
-   larger set (at 75), so only these are shuffled. N-grams that many classes share are dealt out over several lists.
-3. Star pass: in each list every class is held against one head. Most copies meet their group here, without pairs inside it.
+2. A link needs a common n-gram among the first |A| - 3/4 |A| + 1 of each set (at 75), so only these are shuffled. N-grams that many classes share are dealt out over several lists.
+3. Star turns: each class is held against one other, the head of most of its n-grams, which is of the largest component
+   there. So copies meet their group without pairs inside it. Turns end when few of these pairs link.
 4. Exact pass: all classes that share such an n-gram and are still in different components are held against each other,
-   if their sizes and the n-gram's places leave a link possible. Lists of a dealt-out n-gram meet one another here.
+   if their sizes, the n-gram's places and the number of first n-grams in common leave a link possible. Lists of a
+   dealt-out n-gram meet one another here.
 5. A pair's overlap is counted fragment by fragment: the global order is cut into ranges, each range of each pair is its
    own row, partial counts are summed per pair.
 6. Components grow over links by minimum labels until nothing changes.
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from colonnade.llm.common import Words, chunks, mix, windows
+from colonnade.llm.common import Words, chunks, mix, texts_of, windows
 from colonnade.llm.graph import components
 from colonnade.session import stage as written
 
@@ -143,23 +144,17 @@ def prefixes(docs: DataFrame, rule: Rule, level: np.ndarray) -> DataFrame:
     return docs.select("text").mapInArrow(run, "gram long, class long, size int, place int, level int")
 
 
-def lists(prefix: DataFrame, rule: Rule) -> DataFrame:
-    """Rows of lists with two classes or more, each with ``head``: the class of least hash, with its size and place.
+def lists(prefix: DataFrame) -> DataFrame:
+    """Rows of the prefixes whose n-gram two classes or more have: ``gram, class, size, place``.
 
-    An n-gram of level k is dealt out over 4^k lists by class, so no list is much longer than those of rare n-grams; the
-    lists' own key keeps the n-gram.
+    They are sought in lists by n-gram; one of level k is dealt out over 4^k lists by class, so that no list is much longer
+    than those of rare n-grams, and kept.
     """
     salt = F.when(F.col("level") > 0, F.pmod(F.col("class"), F.expr("shiftleft(1, least(2 * level, 20))"))).otherwise(F.lit(0))
     keyed = prefix.withColumn("list", F.when(F.col("level") > 0, F.xxhash64("gram", salt)).otherwise(F.col("gram")))
     w = Window.partitionBy("list")
-    facts = F.struct("class", "size", "place")
-    return (
-        keyed.select("list", "gram", "class", "size", "place", "level")
-        .withColumn("head", F.min(facts).over(w))
-        .withColumn("last", F.max("class").over(w))
-        .filter((F.col("head.class") < F.col("last")) | (F.col("level") > 0))
-        .drop("last")
-    )
+    found = keyed.withColumn("low", F.min("class").over(w)).withColumn("high", F.max("class").over(w))
+    return found.filter((F.col("low") < F.col("high")) | (F.col("level") > 0)).select("gram", "class", "size", "place")
 
 
 def _least(a: Column, b: Column, percent: int) -> Column:
@@ -184,7 +179,7 @@ def overlaps(docs: DataFrame, pairs: DataFrame, rule: Rule, level: np.ndarray) -
     uses = blocks.select(F.col("doc_b").alias("doc_id"), F.col("b").alias("class"), "a", "block").unionByName(
         blocks.select(F.col("doc_a").alias("doc_id"), F.col("a").alias("class"), "a", "block").distinct()
     )
-    texts = docs.select("doc_id", "text").join(written(uses, "ngram-uses"), "doc_id").select("class", "a", "block", "text")
+    texts = texts_of(docs.select("doc_id", "text"), written(uses.withColumn("n", F.lit(1)), "ngram-uses")).select("class", "a", "block", "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = np.array([(f << 64) // FRAGMENTS for f in range(1, FRAGMENTS)], dtype=np.uint64)
@@ -240,20 +235,28 @@ def join(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id", text:
     level = levels(described)
     rows = described.filter("bucket is null").select("doc_id", "size", "class")
     classes = written(rows.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc"), F.count("*").alias("rows")), "ngram-classes")
-    dealt = written(lists(prefixes(docs, rule, level), rule), "ngram-lists")
+    dealt = written(lists(prefixes(docs, rule, level)), "ngram-lists")
 
     def with_docs(pairs: DataFrame) -> DataFrame:
         of = classes.select(F.col("class"), "doc")
         out = pairs.join(of.withColumnsRenamed({"class": "a", "doc": "doc_a"}), "a").join(of.withColumnsRenamed({"class": "b", "doc": "doc_b"}), "b")
         return written(out.select("a", "b", "doc_a", "doc_b"), "ngram-candidates")
 
-    head = F.col("head.class")
-    met = dealt.filter((head < F.col("class")) & _possible(F.col("size"), F.col("head.size"), rule.percent))
-    best = met.groupBy("class", head.alias("a")).agg(F.count("*").alias("n")).groupBy("class").agg(F.max(F.struct("n", "a")).alias("best"))
-    star = written(linked(overlaps(docs, with_docs(best.select(F.col("best.a").alias("a"), F.col("class").alias("b"))), rule, level), rule), "ngram-links")
-    near = components(star)
-    rest = linked(overlaps(docs, with_docs(_across(dealt, near, rule)), rule, level), rule)
-    links = written(star.unionByName(rest), "ngram-links")
+    links, near, tried, turn = None, None, 1, 0
+    opened = dealt
+    while True:
+        opened = _rooted(opened, near)
+        heads = written(_heads(opened, turn), "ngram-heads")
+        opened = written(opened.join(heads.select("gram"), "gram", "left_semi"), "ngram-open")
+        tests = with_docs(_stars(opened, heads, rule))
+        new = written(linked(overlaps(docs, tests, rule, level), rule), "ngram-links")
+        tried, hit, turn = tests.count(), new.count(), turn + 1
+        links = new if links is None else written(links.unionByName(new), "ngram-links")
+        near = components(links) if hit else near
+        if 10 * hit < tried or not hit:  # heads find little any more
+            break
+    rest = linked(overlaps(docs, with_docs(_across(_rooted(opened, near), rule)), rule, level), rule)
+    links = written(links.unionByName(rest), "ngram-links")
     roots = components(links)
     named = classes.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     named = written(named.filter("rows > 1 or root <> class").unionByName(named.join(roots.select("root").distinct(), "root", "left_semi").select(named.columns).filter("rows = 1 and root = class")), "ngram-roots")
@@ -262,20 +265,45 @@ def join(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id", text:
     return rows.join(ids, "class", "left").select("doc_id", F.col("size").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def _across(dealt: DataFrame, near: DataFrame, rule: Rule) -> DataFrame:
+def _rooted(opened: DataFrame, near: DataFrame | None) -> DataFrame:
+    """``opened`` with the root of each class, and how many classes have that root."""
+    plain = opened.select("gram", "class", "size", "place")
+    if near is None:
+        return plain.withColumn("root", F.col("class")).withColumn("many", F.lit(1).cast("long"))
+    many = near.groupBy("root").agg(F.count("*").alias("many"))
+    of = written(near.join(many, "root").select(F.col("node").alias("class"), "root", "many"), "ngram-near")
+    found = plain.join(of, "class", "left")
+    return found.withColumn("root", F.coalesce("root", "class")).withColumn("many", F.coalesce("many", F.lit(1).cast("long")))
+
+
+def _heads(opened: DataFrame, turn: int) -> DataFrame:
+    """Of each n-gram whose classes have several roots, the head of this turn: a class of the largest component."""
+    facts = F.struct("many", F.xxhash64(F.lit(turn), "class").alias("order"), "class", "size", "root")
+    found = opened.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max(facts).alias("head"))
+    return found.filter("low <> high").select("gram", F.col("head.class").alias("a"), F.col("head.size").alias("size_a"), F.col("head.root").alias("root_a"))
+
+
+def _stars(opened: DataFrame, heads: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs ``a, b``: each class with the head that it shares most n-grams with, if these are many for a prefix."""
+    met = opened.join(heads, "gram").filter((F.col("root") != F.col("root_a")) & _possible(F.col("size"), F.col("size_a"), rule.percent))
+    shared = met.groupBy("class", "size", "a").agg(F.count("*").alias("n")).filter(10 * F.col("n") >= F.col("size"))
+    best = shared.groupBy("class").agg(F.max(F.struct("n", "a")).alias("best"))
+    return best.select(F.col("best.a").alias("a"), F.col("class").alias("b"))
+
+
+def _across(rooted: DataFrame, rule: Rule) -> DataFrame:
     """Pairs ``a, b`` of classes that share a first n-gram, lie in different components and can still link."""
-    of = near.select(F.col("node").alias("class"), "root")
-    rooted = dealt.select("gram", "class", "size", "place").join(of, "class", "left").withColumn("root", F.coalesce("root", "class"))
-    rooted = written(rooted, "ngram-rooted")
-    mixed = rooted.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("gram")
-    open_rows = written(rooted.join(written(mixed, "ngram-mixed"), "gram"), "ngram-open")
+    open_rows = written(rooted.dropDuplicates(["gram", "class"]), "ngram-rooted")
     left, right = (open_rows.select("gram", *[F.col(c).alias(f"{c}_{x}") for c in ("class", "size", "place", "root")]) for x in "ab")
     sa, sb, pa_, pb = (F.col(c) for c in ("size_a", "size_b", "place_a", "place_b"))
-    smaller_first = (sa < sb) | ((sa == sb) & (F.col("class_a") < F.col("class_b")))
-    early = pa_ <= sa - _least(sa, sa, rule.percent)
     enough = F.least(sa - pa_, sb - pb) + F.least(pa_, pb) >= _least(sa, sb, rule.percent)
-    pairs = left.join(right, "gram").filter((F.col("root_a") != F.col("root_b")) & smaller_first & _possible(sa, sb, rule.percent) & early & enough)
-    return pairs.groupBy(F.col("class_a").alias("a"), F.col("class_b").alias("b")).agg(F.lit(1).alias("one")).select("a", "b")
+    met = left.join(right, "gram").filter((F.col("root_a") != F.col("root_b")) & (F.col("class_a") < F.col("class_b")) & _possible(sa, sb, rule.percent) & enough)
+    # Up to the end of the prefix that ends first, all common n-grams are in both. What may follow is at most the rest of
+    # that set, and of the other set what lies behind the last common n-gram.
+    behind_a, behind_b = (F.ceil(F.lit(rule.percent) * n / 100 - F.lit(1e-9)) - 1 for n in (sa, sb))
+    pairs = met.groupBy("class_a", "class_b", "size_a", "size_b").agg(F.count("*").alias("common"), F.max("place_a").alias("last_a"), F.max("place_b").alias("last_b"))
+    more = F.greatest(F.least(behind_a, sb - F.col("last_b") - 1), F.least(behind_b, sa - F.col("last_a") - 1))
+    return pairs.filter(F.col("common") + more >= _least(sa, sb, rule.percent)).select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
