@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colonnade.llm import quality_rules
+from colonnade.llm import bpe, mixing, ngram_join, pii, quality_rules
 from colonnade.session import stage
 
 #: (name, function of session, documents and input folder), in order.
 STAGES = [
     ("quality rules", quality_rules.stage),
+    ("n-gram join", ngram_join.stage),
+    ("personal data", pii.stage),
+    ("mixing", mixing.stage),
+    ("bpe", bpe.stage),
 ]
 
 #: SQL cannot express the later stages; tests compare them with brute force.
