@@ -5,7 +5,7 @@ fraction. So a rerun takes the same rows, and no row needs another one.
 
 Defined results: a null or empty text has size 0 and takes nothing; a null source is one source, which comes last. Sources
 whose size is 0 have target 0. Rows with the same id and source are drawn alike; a null id is an id like any other. An
-empty table gives no rows. Results are added under given names; columns of the input keep theirs.
+empty table gives no rows. Columns of the input stay, but for one that is called mix.
 """
 
 from __future__ import annotations
@@ -50,7 +50,7 @@ def draw(seed: int, *keys: Column) -> Column:
 def mix(docs: DataFrame, seed: int = SEED, id_column: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """``docs`` with a struct ``mix``: size, source_size, target, copies and taken of each row."""
     sized = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_column}`").alias("id"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "mix"]).alias("row"), F.col(f"`{id_column}`").alias("id"),
         F.col(f"`{source}`").alias("source"), word_count(F.col(f"`{text}`")).alias("size"),
     )
     goals = written(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))), "mixing-targets")

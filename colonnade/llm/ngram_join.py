@@ -1,7 +1,8 @@
 """Similarity join on word n-grams by vertical partitioning.
 
 Two texts link when 100 * |A ∩ B| >= threshold * |A ∪ B| for their sets of distinct n-grams. All n-grams have one global
-order: rare first, then by hash. How rare is taken from counts over all documents, kept in a fixed number of buckets.
+order: rare first, then by hash. How rare is taken from counts over all documents, kept in a fixed number of buckets,
+to 65,535 for each task.
 
 1. Texts with equal sets are one class; a class is known by the hash of its set. Its members are never paired.
 2. A link needs a common n-gram among the first |A| - 3/4 |A| + 1 of each set (at 75), so only these are shuffled. N-grams that many classes share are dealt out over several lists.
@@ -34,7 +35,7 @@ from colonnade.llm.graph import components
 from colonnade.session import stage as written
 
 #: Buckets of the counts that order the n-grams; the counts of one bucket share a place in the order.
-BUCKETS = 1 << 16
+BUCKETS, PARTS = 1 << 20, 256
 
 #: Ranges that the global order is cut into.
 FRAGMENTS = 4
@@ -64,20 +65,19 @@ def _sets(column: pa.Array, rule: Rule) -> Iterator[np.ndarray]:
             yield grams[:0]
 
 
-def _name(grams: np.ndarray) -> tuple[int, int]:
-    """Two hashes of a set."""
-    return int(np.bitwise_xor.reduce(mix(grams + np.uint64(1))).view(np.int64)), int(mix(grams ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64).view(np.int64))
+def _name(grams: np.ndarray) -> int:
+    """A hash of a set."""
+    return int(mix(grams ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64).view(np.int64))
 
 
 def describe(docs: DataFrame, rule: Rule) -> DataFrame:
-    """``doc_id, size, class, check`` of each row (``bucket`` null), and ``bucket, hits`` of each task."""
+    """``doc_id, size, class`` of each row (``part`` null), and the counts of each task: ``part, hits``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, size int, class long, check long, bucket int, hits long"
+    schema = f"doc_id {kind}, size int, class long, part int, hits binary"
+    names = ["doc_id", "size", "class", "part", "hits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hits = np.zeros(BUCKETS, dtype=np.int64)
-        names = ["doc_id", "size", "class", "check", "bucket", "hits"]
-        none = lambda n, t: pa.nulls(n, t)
         id_type = pa.int64()
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
@@ -85,32 +85,45 @@ def describe(docs: DataFrame, rule: Rule) -> DataFrame:
                 part, sizes, keys, seen = batch.slice(at, to - at), [], [], []
                 for grams in _sets(part.column("text"), rule):
                     sizes.append(len(grams))
-                    keys.append(_name(grams) if len(grams) else (None, None))
+                    keys.append(_name(grams) if len(grams) else None)
                     seen.append(grams)
-                hits += np.bincount((np.concatenate(seen) >> np.uint64(48)).astype(np.int64), minlength=BUCKETS)
-                columns = [part.column("doc_id"), pa.array(sizes, pa.int32()), *(pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1))]
-                yield pa.RecordBatch.from_arrays([*columns, none(len(part), pa.int32()), none(len(part), pa.int64())], names)
-        used = np.flatnonzero(hits)
-        n = len(used)
-        columns = [none(n, id_type), none(n, pa.int32()), none(n, pa.int64()), none(n, pa.int64()), pa.array(used, pa.int32()), pa.array(hits[used])]
-        yield pa.RecordBatch.from_arrays(columns, names)
+                np.add.at(hits, _bucket(np.concatenate(seen)), 1)
+                columns = [part.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(keys, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(part), pa.int32()), pa.nulls(len(part), pa.binary())], names)
+        if hits.any():
+            parts = np.minimum(hits, 65535).astype(np.uint16).reshape(PARTS, -1)
+            columns = [pa.nulls(PARTS, t) for t in (id_type, pa.int32(), pa.int64())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.arange(PARTS, dtype=np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())], names)
 
     return docs.mapInArrow(run, schema)
 
 
+def _bucket(grams: np.ndarray) -> np.ndarray:
+    return (grams >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
+
+
 def levels(described: DataFrame) -> np.ndarray:
-    """For each bucket how far it is above the mean, in powers of 2; BUCKETS numbers, whatever the size of the corpus."""
-    hits = np.zeros(BUCKETS)
-    for row in described.filter("bucket is not null").groupBy("bucket").agg(F.sum("hits").alias("hits")).collect():
-        hits[row["bucket"]] = row["hits"]
-    mean = max(hits.mean(), 1.0)
-    return np.clip(np.floor(np.log2(np.maximum(hits / mean, 1.0)) - 0.5), 0, 60).astype(np.uint64)
+    """For each bucket its place in the order: 64 at the mean of all counts, 16 more for each doubling. BUCKETS small
+    numbers, whatever the size of the corpus."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, hits in zip(batch.column("part").to_pylist(), batch.column("hits").to_pylist(), strict=True):
+                sums[part] = sums.get(part, 0) + np.frombuffer(hits, np.uint16).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["part", "hits"])
+
+    counts = described.filter("part is not null").select("part", "hits").repartition("part").mapInArrow(add, "part int, hits binary")
+    total = np.zeros((PARTS, BUCKETS // PARTS))
+    for row in counts.toLocalIterator():
+        total[row["part"]] = np.frombuffer(row["hits"], np.int64)
+    total = total.ravel()
+    return np.clip(64 + 16 * np.log2(np.maximum(total, 0.5) / max(total.mean(), 0.5)), 0, 255).astype(np.uint8)
 
 
 def ordered(grams: np.ndarray, level: np.ndarray) -> np.ndarray:
     """A set in the global order."""
-    rank = level[(grams >> np.uint64(48)).astype(np.int64)]
-    return grams if not rank.any() else grams[np.argsort(rank, kind="stable")]
+    return grams[np.argsort(level[_bucket(grams)], kind="stable")]
 
 
 def prefixes(docs: DataFrame, rule: Rule, level: np.ndarray) -> DataFrame:
@@ -123,7 +136,7 @@ def prefixes(docs: DataFrame, rule: Rule, level: np.ndarray) -> DataFrame:
             for at, to in chunks(batch.column("text")):
                 parts: list[tuple[np.ndarray, int, int]] = []
                 for grams in _sets(batch.column("text").slice(at, to - at), rule):
-                    if len(grams) and (name := _name(grams)[0]) not in met:
+                    if len(grams) and (name := _name(grams)) not in met:
                         if len(met) < 100_000:
                             met.add(name)
                         keep = len(grams) - int(np.ceil(share * len(grams) - 1e-9)) + 1
@@ -131,7 +144,7 @@ def prefixes(docs: DataFrame, rule: Rule, level: np.ndarray) -> DataFrame:
                 if parts:
                     counts = [len(p[0]) for p in parts]
                     gram = np.concatenate([p[0] for p in parts])
-                    rank = level[(gram >> np.uint64(48)).astype(np.int64)].astype(np.int64)
+                    rank = np.maximum(level[_bucket(gram)].astype(np.int64) - 88, 0) // 16
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(gram.view(np.int64)), pa.array(np.repeat(np.array([p[1] for p in parts], dtype=np.int64), counts)),
@@ -147,7 +160,7 @@ def prefixes(docs: DataFrame, rule: Rule, level: np.ndarray) -> DataFrame:
 def lists(prefix: DataFrame) -> DataFrame:
     """Rows of the prefixes whose n-gram two classes or more have: ``gram, class, size, place``.
 
-    They are sought in lists by n-gram; one of level k is dealt out over 4^k lists by class, so that no list is much longer
+    They are sought in lists by n-gram; one of level k, about 2^k times three as frequent as the mean, is dealt out over 4^k lists by class, so that no list is much longer
     than those of rare n-grams, and kept.
     """
     salt = F.when(F.col("level") > 0, F.pmod(F.col("class"), F.expr("shiftleft(1, least(2 * level, 20))"))).otherwise(F.lit(0))
@@ -189,7 +202,7 @@ def overlaps(docs: DataFrame, pairs: DataFrame, rule: Rule, level: np.ndarray) -
                 rows: list[tuple] = []
                 keys = zip(*[part.column(c).to_pylist() for c in ("class", "a", "block")], strict=True)
                 for (name, a, block), grams in zip(keys, _sets(part.column("text"), rule), strict=True):
-                    if len(grams) and _name(grams)[0] == name:  # another text of the same id is another class
+                    if len(grams) and _name(grams) == name:  # another text of the same id is another class
                         pieces = np.split(grams, np.searchsorted(grams, bounds))
                         rows += [(a, block, f, name, len(grams), piece.tobytes()) for f, piece in enumerate(pieces)]
                 columns = list(zip(*rows, strict=True)) or [()] * 6
@@ -233,7 +246,7 @@ def join(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id", text:
     docs = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     described = written(describe(docs, rule), "ngram-sets")
     level = levels(described)
-    rows = described.filter("bucket is null").select("doc_id", "size", "class")
+    rows = described.filter("part is null").select("doc_id", "size", "class")
     classes = written(rows.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc"), F.count("*").alias("rows")), "ngram-classes")
     dealt = written(lists(prefixes(docs, rule, level)), "ngram-lists")
 
