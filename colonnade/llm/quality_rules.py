@@ -122,8 +122,11 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES,
         "row", *of, F.col("lines.n").alias("n_lines"), (F.col("lines.n") - F.col("lines.different")).alias("n_dup_lines")
     )
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    judged = counted.select("row", *COUNTS, base.alias("base_failed"), compile_rules(rules).alias("rejected_by"))
-    verdict = F.struct(*COUNTS, "base_failed", (~F.col("base_failed") & F.col("rejected_by").isNull()).alias("kept"), "rejected_by")
+    # a filter on the verdict would be moved below the projections, and repeat them in one expression; a task's number
+    # is not deterministic for Spark, so the filter stays above
+    judged = counted.select("row", *COUNTS, base.alias("base_failed"), compile_rules(rules).alias("rejected_by"), F.spark_partition_id().alias("task"))
+    kept = ~F.col("base_failed") & F.col("rejected_by").isNull() & (F.col("task") >= 0)
+    verdict = F.struct(*COUNTS, "base_failed", kept.alias("kept"), "rejected_by")
     return judged.select("row.*", verdict.alias(into))
 
 
