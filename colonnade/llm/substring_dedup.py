@@ -9,8 +9,8 @@ start such a run are grouped by prefixes of variable length, so that each group
 3. Suffixes with the same anchor are a group. Its trees are arrays in numpy: the words after the anchor sorted, with the
    lengths that neighbours share, and the words before it likewise, read backwards. A run is a node of the first tree and
    one of the second whose depths add up to ``width``; a node holds the suffixes below it, of which the least id stays.
-4. Groups of more than ``GROUP`` suffixes get the longest prefix, the whole run: then a group is one deep node, of which
-   only the least id matters. Spark aggregates these, so no task holds such a group.
+4. In groups of more than ``GROUP`` suffixes, equal ones are aggregated first. What is still more gets the longest prefix,
+   the whole run: then a group is one deep node, of which only the least id matters. So no task holds such a group.
 
 Defined results: a null or empty text has no words; fewer words than ``width`` lose none. A null id counts as greater than
 all others. Repeated rows have one id, so none of them is removed for the other. An empty table gives no rows.
@@ -113,22 +113,25 @@ def _each_text(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[
 
 
 def slices(texts: DataFrame, width: int) -> DataFrame:
-    """``gram, class, own, place, low, high, slice``: of each anchor its runs' first and last start, and their words."""
-    names = ["gram", "class", "own", "place", "low", "high", "slice"]
-    kinds = (*[pa.int64()] * 6, pa.binary())
+    """``gram, kind, class, own, place, low, high, slice``: of each anchor its runs' first and last start, their words, and
+    a hash of the words with the anchor's place in them."""
+    names = ["gram", "kind", "class", "own", "place", "low", "high", "slice"]
+    kinds = (*[pa.int64()] * 7, pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         for words, name, own, a, _b, gram, place, low, high in _each_text(batches, width):
             for g, p, first, stop in zip(gram.view(np.int64).tolist(), place.tolist(), low.tolist(), high.tolist(), strict=True):
-                rows.append((g, name, own, p, first, stop - 1, words.data[words.start[a + first] : words.end[a + stop + width - 2]].tobytes()))
+                data = words.data[words.start[a + first] : words.end[a + stop + width - 2]].tobytes()
+                inner = np.r_[words.hash[a + first : a + stop + width - 1], np.array([p - first, stop - 1 - first], np.uint64)]
+                rows.append((g, _class(inner), name, own, p, first, stop - 1, data))
             if len(rows) > 5000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
                 rows = []
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    return texts.mapInArrow(run, "gram long, class long, own long, place long, low long, high long, slice binary")
+    return texts.mapInArrow(run, "gram long, kind long, class long, own long, place long, low long, high long, slice binary")
 
 
 def _shared(matrix: np.ndarray, lengths: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -210,26 +213,43 @@ def by_trees(rows: DataFrame, width: int) -> DataFrame:
         if count and (out := work(held)) is not None:
             yield out
 
-    return rows.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, "class long, own long, place long, mask long")
+    return rows.select("gram", "class", "own", "place", "low", "high", "slice").repartition("gram").sortWithinPartitions("gram").mapInArrow(run, "class long, own long, place long, mask long")
 
 
-def by_nodes(texts: DataFrame, width: int) -> DataFrame:
-    """The same from whole runs as prefixes: one row for each run, whose hash is its node; the least id of a node stays."""
+def by_nodes(rows: DataFrame, width: int) -> DataFrame:
+    """``class, mask`` like ``by_trees``, from whole runs as prefixes: one row for each run, whose hash is its node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words, name, own, a, b, _gram, place, low, high in _each_text(batches, width):
-            node = windows(words.hash[a:b], width).view(np.int64)
-            for i in range(0, len(place), 1000):
-                counts = (high - low)[i : i + 1000]
-                start = np.concatenate([np.arange(x, y) for x, y in zip(low[i : i + 1000], high[i : i + 1000], strict=True)])
-                at = np.repeat(place[i : i + 1000], counts)
-                columns = [node[start], np.full(len(start), name), np.full(len(start), own), at, at - start]
-                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["node", "class", "own", "place", "d"])
-
-    starts = written(texts.mapInArrow(run, "node long, class long, own long, place long, d long"), "substring-runs")
-    least = written(starts.groupBy("node").agg(F.min("own").alias("least"), F.count("*").alias("n")).filter("n > 1"), "substring-nodes")
+        for batch in batches:
+            words = Words(batch.column("slice").cast(pa.large_string()))
+            name, own, place = (batch.column(c).to_numpy() for c in ("class", "own", "place"))
+            for i, (a, b) in enumerate(zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True)):
+                node = windows(words.hash[a:b], width).view(np.int64)
+                columns = [node, np.full(len(node), name[i]), np.full(len(node), own[i]), place[i] - np.arange(len(node))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["node", "class", "own", "d"])
+
+    starts = written(rows.select("class", "own", "place", "slice").mapInArrow(run, "node long, class long, own long, d long"), "substring-runs")
+    least = written(starts.groupBy("node").agg(F.min("own").alias("least"), F.max("own").alias("most")).filter("least < most"), "substring-nodes")
     later = starts.join(least, "node").filter("least < own")
-    return later.groupBy("class", "own", "place").agg(F.bit_or(F.expr("shiftleft(1L, cast(d as int))")).alias("mask"))
+    return later.groupBy("class").agg(F.bit_or(F.expr("shiftleft(1L, cast(d as int))")).alias("mask"))
+
+
+def by_kinds(rows: DataFrame, width: int) -> DataFrame:
+    """``class, own, place, mask`` for anchors of large groups: equal slices are one suffix, which has the least id of its
+    rows. The others of these lose all its runs; the one itself what the trees, or the nodes, of the different slices say."""
+    rows = written(rows, "substring-hot")
+    lead, span = F.col("place") - F.col("low"), F.col("high") - F.col("low")
+    kinds = rows.groupBy("gram", F.col("kind").alias("class")).agg(
+        F.min("own").alias("own"), F.any_value(lead).alias("place"), F.lit(0).cast("long").alias("low"), F.any_value(span).alias("high"), F.any_value("slice").alias("slice")
+    )
+    kinds = written(kinds, "substring-kinds")
+    sizes = written(kinds.groupBy("gram").agg(F.count("*").alias("n")), "substring-sizes")
+    sized = kinds.join(sizes, "gram")
+    masks = by_trees(sized.filter(F.col("n") <= GROUP).drop("n"), width).select("class", "mask").unionByName(by_nodes(sized.filter(F.col("n") > GROUP), width))
+    facts = written(kinds.select("class", F.col("own").alias("least")).join(masks, "class", "left").select(F.col("class").alias("kind"), "least", "mask"), "substring-masks")
+    every = F.expr("shiftleft(1L, cast(place - low + 1 as int)) - shiftleft(1L, cast(place - high as int))")
+    mask = F.when(F.col("own") > F.col("least"), every).otherwise(F.coalesce("mask", F.lit(0).cast("long")))
+    return rows.drop("slice").join(facts, "kind").select("class", "own", "place", mask.alias("mask")).filter("mask <> 0")
 
 
 def strip(texts: DataFrame, width: int) -> DataFrame:
@@ -277,7 +297,7 @@ def dedup(docs: DataFrame, width: int = 50, id_column: str = "doc_id", text: str
         return texts_of(docs.select("own", "text"), written(wanted, "substring-wanted"), "own")
 
     found = by_trees(slices(texts(asked.filter(F.col("size") <= GROUP)), width), width)
-    found = written(found.unionByName(by_nodes(texts(asked.filter(F.col("size") > GROUP)), width)), "substring-found")
+    found = written(found.unionByName(by_kinds(slices(texts(asked.filter(F.col("size") > GROUP)), width), width)), "substring-found")
     hits = found.groupBy("class", "own").agg(F.collect_list(F.struct("place", "mask")).alias("hits"), F.count("*").alias("n"))
     stripped = strip(texts_of(docs.select("own", "text"), written(hits, "substring-hits"), "own"), width)
     stripped = stripped.groupBy("class").agg(F.max("n_removed").alias("n_removed"), F.max("kept_sha256").alias("kept_sha256"))
