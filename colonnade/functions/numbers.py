@@ -66,11 +66,13 @@ def joined(separator: str, *parts: Column) -> Column:
 
 
 def scope_text(value: Column) -> Column:
-    """Scope value as text: whole numbers lose padding and decimals, other numbers print as floats."""
-    number = plain_number(value)
+    """Scope value as text: whole numbers of any length lose padding and decimals, other numbers print as floats."""
+    number, digits = plain_number(value), F.trim(value)
     whole = (number == F.floor(number)) & (F.abs(number) < 1e15)
     return (
-        F.when(whole, number.cast("bigint").cast("string"))
+        F.when(digits.rlike(r"^[+-]?0+(?:\.0*)?$"), "0")
+        .when(digits.rlike(r"^[+-]?\d+(?:\.0*)?$"), F.regexp_replace(digits, r"^\+?(-?)0*(\d+?)(?:\.0*)?$", "$1$2"))
+        .when(whole, number.cast("bigint").cast("string"))
         .when(number.isNotNull(), number.cast("string"))
         .otherwise(value)
     )

@@ -257,17 +257,15 @@ def _features(family: str, strict_numeric: bool, wanted: frozenset[str] | None =
 def _word_flags(x: Column) -> dict[str, Column]:
     bare = text.strip(x)
     word = F.lower(bare)
-    short = F.length(bare) <= 200
     token = text.country_token(bare)
     # a keyword that holds another one adds nothing
     keywords = [k for k in fixed.LIKERT_KEYWORDS if not any(o != k and o in k for o in fixed.LIKERT_KEYWORDS)]
-    alias = short & token.isin(*fixed.COUNTRY_VALUE_TOKENS)
+    alias = token.isin(*fixed.COUNTRY_VALUE_TOKENS)
     return {
         "boolean_word": word.isin(*fixed.BOOLEAN_WORDS),
         "likert_word": reduce(lambda a, b: a | b, [F.contains(word, F.lit(k)) for k in keywords]),
         "country_yes": alias,
-        # a token is empty only when the value has no Latin letter or digit
-        "country_no": ~alias & F.when(short, token != "").otherwise(bare.rlike(r"[A-Za-z0-9\u00c0-\u024f\u1e00-\u1eff]")),
+        "country_no": ~alias & (token != ""),
     }
 
 

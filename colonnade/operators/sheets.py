@@ -13,26 +13,27 @@ from colonnade.functions.text import header_key, looks_numeric, strip
 SHEET_KEYS = ["dataset_id", "sheet"]
 
 
-PREVIEW_ROWS = 1000
+#: Non-empty rows that the header is sought in, rows below it that count as its body.
+HEADER_ROWS, BODY_ROWS = 50, 10
 
 
-def sheet_rows(cells: DataFrame, *, preview_rows: int = PREVIEW_ROWS) -> DataFrame:
-    """One line per non-empty row of the preview: its rank among them and its filled, distinct and textual cells.
+def sheet_rows(cells: DataFrame, *, first: int = HEADER_ROWS + BODY_ROWS) -> DataFrame:
+    """The first non-empty rows of each sheet: their rank and their filled, distinct and textual cells.
 
-    A sheet is judged by its first rows, so the windows of a sheet hold at most ``preview_rows`` rows.
+    A header lies in the first rows by its definition; the rank filter is applied before the rows are shuffled.
     """
     text = header_key(F.col("value"))
-    filled = cells.where(F.col("value").isNotNull() & (F.col("row") < preview_rows)).withColumn("text", text)
+    filled = cells.where(F.col("value").isNotNull()).withColumn("text", text)
     per_row = filled.groupBy(*SHEET_KEYS, "row").agg(
         F.count("*").alias("n_filled"),
         F.count(F.when(F.col("text") != "", 1)).alias("n_text"),
         F.count_distinct(F.when(F.col("text") != "", F.col("text"))).alias("n_distinct"),
         F.count(F.when((F.col("text") != "") & ~looks_numeric(F.col("text")), 1)).alias("n_words"),
     )
-    return per_row.withColumn("rank", F.row_number().over(W.partitionBy(*SHEET_KEYS).orderBy("row")))
+    return per_row.withColumn("rank", F.row_number().over(W.partitionBy(*SHEET_KEYS).orderBy("row"))).where(F.col("rank") <= first)
 
 
-def header_rows(rows: DataFrame, *, first: int = 50) -> DataFrame:
+def header_rows(rows: DataFrame, *, first: int = HEADER_ROWS) -> DataFrame:
     """Header row of each sheet: the best scored of its first non-empty rows (key, header_row, score)."""
     following = W.partitionBy(*SHEET_KEYS).orderBy("row").rowsBetween(1, 5)
     scored = (
@@ -65,7 +66,9 @@ def _any_in(texts: Column, words: tuple[str, ...]) -> Column:
 
 def sheet_roles(cells: DataFrame) -> DataFrame:
     """Role of each sheet: data, dictionary, dashboard, empty or unknown."""
-    sheets = cells.groupBy(*SHEET_KEYS).agg((F.max("col") + 1).alias("n_cols"))
+    sheets = cells.groupBy(*SHEET_KEYS).agg(
+        (F.max("col") + 1).alias("n_cols"), F.nullif(F.count_distinct(F.when(F.col("value").isNotNull(), F.col("row"))), F.lit(0)).alias("n_rows")
+    )
     rows = sheet_rows(cells)
     heads = header_rows(rows)
     header_cells = (
@@ -80,12 +83,11 @@ def sheet_roles(cells: DataFrame) -> DataFrame:
         *SHEET_KEYS, F.col("rank").alias("head_rank")
     )
     ranked = rows.join(head_rank, SHEET_KEYS)
-    body = (F.col("rank") > F.col("head_rank")) & (F.col("rank") <= F.col("head_rank") + 10)
+    body = (F.col("rank") > F.col("head_rank")) & (F.col("rank") <= F.col("head_rank") + BODY_ROWS)
     facts = ranked.groupBy(*SHEET_KEYS).agg(
         F.avg(F.when(body, F.col("n_filled"))).alias("body_fill"),
         F.sum(F.when(F.col("rank") <= 15, F.col("n_filled"))).alias("preview_filled"),
         F.count(F.when(F.col("rank") <= 15, 1)).alias("preview_rows"),
-        F.count("*").alias("n_rows"),
     )
     title = (
         cells.join(heads, SHEET_KEYS)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from colonnade.functions import fixed, geometry
 from colonnade.functions.names import coordinate_hint
-from colonnade.functions.numbers import ratio, scope_text
+from colonnade.functions.numbers import coordinate_number, ratio, scope_text
 
 HULL_STATE_POINTS = 200_000
 HULL_SALT = 64
@@ -73,7 +73,7 @@ def coordinate_points(df: DataFrame, keys: list[str], lat: str, lon: str) -> Dat
     """Distinct points (keys, x, y) of two coordinate columns; rows without both numbers are no points."""
     if axes_swapped(lat, lon):
         lat, lon = lon, lat
-    x, y = F.col(f"`{lon}`").try_cast("double"), F.col(f"`{lat}`").try_cast("double")
+    x, y = (coordinate_number(F.col(f"`{c}`").cast("string")) for c in (lon, lat))
     return df.select(*keys, x.alias("x"), y.alias("y")).where("x IS NOT NULL AND y IS NOT NULL").distinct()
 
 
@@ -97,21 +97,21 @@ def envelope(points: DataFrame, keys: list[str]) -> DataFrame:
     return box.withColumn("wkt", geometry.envelope_wkt(F.col("min_x"), F.col("min_y"), F.col("max_x"), F.col("max_y")))
 
 
-def union_wkt(points: DataFrame, keys: list[str], *, inline_limit: int = 10_000) -> DataFrame:
-    """Union of distinct points as WKT: (keys, n_points, wkt).
+def union_points(points: DataFrame, keys: list[str]) -> DataFrame:
+    """Union of the points of each key, one row for each different point: (keys, x, y)."""
+    return points.select(*keys, "x", "y").distinct()
 
-    The text is built for keys of at most ``inline_limit`` points; for larger ones ``wkt`` is null and the distinct
-    points themselves are the result.
-    """
-    counts = points.groupBy(*keys).agg(F.count("*").alias("n_points"))
-    small = points.join(counts.where(F.col("n_points") <= inline_limit), keys)
+
+def union_wkt(points: DataFrame, keys: list[str]) -> DataFrame:
+    """Union of distinct points as one text: (keys, n_points, wkt); for keys whose points are few, else see union_points."""
     pair = F.concat_ws(" ", F.col("x").cast("string"), F.col("y").cast("string"))
-    texts = small.groupBy(*keys).agg(
+    texts = points.groupBy(*keys).agg(
+        F.count("*").alias("n_points"),
         F.array_sort(F.collect_list(F.struct("x", "y", F.concat(F.lit("("), pair, F.lit(")")).alias("text")))).alias("p")
     )
     one = geometry.point_wkt(F.col("p")[0]["x"], F.col("p")[0]["y"])
     many = F.concat(F.lit("MULTIPOINT ("), F.array_join("p.text", ", "), F.lit(")"))
-    return counts.join(texts.select(*keys, F.when(F.size("p") == 1, one).otherwise(many).alias("wkt")), keys, "left")
+    return texts.select(*keys, "n_points", F.when(F.size("p") == 1, one).otherwise(many).alias("wkt"))
 
 
 def _hull(points: np.ndarray) -> np.ndarray:

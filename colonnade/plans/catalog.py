@@ -122,10 +122,19 @@ def build_catalog(
                 tables[file["id"]] = table
                 rows.append(tuple(file[c] for c in ("id", "path", "title", "ext", "length", "mtime")))
             except Exception as problem:  # an unreadable file must not stop the others
-                errors.append((file["path"], str(problem)[:500]))
-        if tables:
-            listed = spark.createDataFrame(rows, "dataset_id string, path string, title string, ext string, length long, mtime long")
-            _describe_batch(spark, tables, listed, reference_lists, places, annotations, registry, enriched, started, options)
+                errors.append((file["path"], str(problem)))
+        groups = [rows] if rows else []
+        while groups:  # a batch that fails is halved until the file that cannot be read is alone
+            group = groups.pop()
+            try:
+                listed = spark.createDataFrame(group, "dataset_id string, path string, title string, ext string, length long, mtime long")
+                own = {r[0]: tables[r[0]] for r in group}
+                _describe_batch(spark, own, listed, reference_lists, places, annotations, registry, enriched, started, options)
+            except Exception as problem:
+                if len(group) > 1:
+                    groups += [group[: len(group) // 2], group[len(group) // 2 :]]
+                else:
+                    errors.append((group[0][1], str(problem)))
     return spark.createDataFrame(errors, "path string, error string")
 
 
@@ -152,7 +161,7 @@ def _describe_batch(spark, tables, listed, reference_lists, places, annotations,
     files = lookups.source_lookup(files, empty if registry is None else registry, "title")
     described = describe_tables(spark, tables, files, reference_lists, annotations=annotations, root=places["raw"], **options)
     records = stage(described.records, "records")
-    described.scopes.write.mode("append").parquet(places["scopes"])
+    sinks.write_scopes(described.scopes, places["scopes"])
     sinks.append_documents(records, places["metadata"])
     for row in records.select("dataset_id", "rawzonePath", "fileType").toLocalIterator():
         if row["dataset_id"] in enriched and sinks.write_enriched(tables[row["dataset_id"]], row["rawzonePath"], row["fileType"].lstrip(".")):

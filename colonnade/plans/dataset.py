@@ -20,7 +20,6 @@ from colonnade.operators.temporal import mixed_period_ranges
 from colonnade.session import stage
 
 _NO_VALUES = {"geometry", "geopoint", "latlon_pair"}
-INLINE_VALUES = 10_000
 
 
 def dimension_levels(attributes: DataFrame, role: str) -> DataFrame:
@@ -155,13 +154,11 @@ def dataset_records(
     theme_nodes: DataFrame | None = None,
     categories: DataFrame | None = None,
     root: str = fixed.RAW_ZONE_ROOT,
-    inline_values: int = INLINE_VALUES,
 ) -> tuple[DataFrame, DataFrame]:
     """Records and scope rows: (one nested row per dataset, one row per scope value or period range).
 
     ``files`` describes the datasets: dataset_id, title and optionally fileType, dataFormat, fileSizeBytes and the
-    source fields.  The scope rows are complete; a record repeats the values of a level only up to ``inline_values``,
-    so that a record stays a row.
+    source fields.  The scope rows are complete, and a record repeats the distinct values of each of its levels.
     """
     hierarchy = rollups.hierarchy_table(spark) if hierarchy is None else hierarchy
     named = file_name_attributes(files.select("dataset_id", "title"), attributes, hierarchy, keys)
@@ -215,7 +212,7 @@ def dataset_records(
     ).select("dataset_id", F.coalesce("nRows", F.lit(0)).alias("nRows"))
 
     record = files
-    for part in (space_gran, time_gran, _nested_scopes(scopes, "spatial", inline_values), _nested_scopes(scopes, "temporal", inline_values),
+    for part in (space_gran, time_gran, _nested_scopes(scopes, "spatial"), _nested_scopes(scopes, "temporal"),
                  theme_lists, prefix, nested, sizes, rows):
         record = record.join(part, "dataset_id", "left")
     part_columns = F.when(F.col("part_columns") > 0, F.col("part_columns")).otherwise(0)
@@ -228,19 +225,16 @@ def dataset_records(
     return record.drop("plain_columns", "part_columns"), scopes
 
 
-def _nested_scopes(scopes: DataFrame, dim: str, inline_values: int) -> DataFrame:
-    """Scope levels of each dataset as an array; levels of more values than the limit keep their count only."""
+def _nested_scopes(scopes: DataFrame, dim: str) -> DataFrame:
+    """Scope levels of each dataset as an array, with all their distinct values."""
     of_dim = scopes.where(F.col("dim") == dim)
-    counts = of_dim.groupBy("dataset_id", "level").agg(F.count("*").alias("nValues"))
-    small = of_dim.join(counts.where(F.col("nValues") <= inline_values), ["dataset_id", "level"])
     if dim == "spatial":
         item, name, level = F.col("value"), "spatialScope", "spatialScopeLevel"
     else:
         item = F.struct(F.col("value").alias("startTime"), F.col("end_value").alias("endTime"))
         name, level = "timePeriods", "temporalScopeLevel"
-    lists = small.groupBy("dataset_id", "level").agg(F.sort_array(F.collect_list(item)).alias(name))
+    lists = of_dim.groupBy("dataset_id", "level").agg(F.count("*").alias("nValues"), F.sort_array(F.collect_list(item)).alias(name))
     return (
-        counts.join(lists, ["dataset_id", "level"], "left")
-        .groupBy("dataset_id")
+        lists.groupBy("dataset_id")
         .agg(F.sort_array(F.collect_list(F.struct(F.col("level").alias(level), "nValues", name))).alias(f"{dim}Scope"))
     )

@@ -30,6 +30,12 @@ def write_documents(records: DataFrame, folder: str, key: str = "dataset_id") ->
     ).partitionBy("document").json(folder)
 
 
+def write_scopes(scopes: DataFrame, path: str) -> None:
+    """Write the scope rows of some datasets in place of those that they had: describing a file again changes nothing."""
+    marked = scopes.withColumn("document", F.col("dataset_id"))
+    marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("document").parquet(path)
+
+
 def append_documents(records: DataFrame, folder: str, key: str = "dataset_id") -> None:
     """Like :func:`write_documents`, replacing only the documents of these records."""
     records.withColumn("document", F.col(key)).write.mode("overwrite").option("ignoreNullFields", True).option(

@@ -55,6 +55,9 @@ def test_sizes(spark):
 
 def test_scope_text(spark):
     assert values(spark, ["01", "5.0", "1.50", "2A", "", "-3"], numbers.scope_text) == ["1", "5", "1.5", "2A", "", "-3"]
+    assert values(spark, ["123456789012345678", "123456789012345679", "0000123456789012345678.0", "000", "-007"], numbers.scope_text) == [
+        "123456789012345678", "123456789012345679", "123456789012345678", "0", "-7"
+    ]
 
 
 @pytest.mark.parametrize("granularity,token,expected", [

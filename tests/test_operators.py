@@ -188,7 +188,8 @@ def test_hull_against_brute_force(spark):
 def test_extent_texts(spark):
     points = spark.createDataFrame([("a", 1.0, 2.0), ("b", 0.0, 0.0), ("b", 2.0, 1.0)], "k string, x double, y double")
     assert {r["k"]: r["wkt"] for r in spatial.union_wkt(points, ["k"]).collect()} == {"a": "POINT (1.0 2.0)", "b": "MULTIPOINT ((0.0 0.0), (2.0 1.0))"}
-    assert {r["k"]: r["wkt"] for r in spatial.union_wkt(points, ["k"], inline_limit=1).collect()}["b"] is None
+    many = spark.range(25_000).select(F.lit("c").alias("k"), (F.col("id") % 12_000).cast("double").alias("x"), F.lit(1.0).alias("y"))
+    assert spatial.union_points(many, ["k"]).count() == 12_000 and spatial.union_wkt(many.distinct(), ["k"]).first()["n_points"] == 12_000
     assert {r["k"]: r["wkt"] for r in spatial.envelope(points, ["k"]).collect()}["b"].startswith("POLYGON ((0.0 0.0, 2.0 0.0")
     swapped = spark.createDataFrame([("k", "2.5", "48.5"), ("k", None, "1")], "k string, lon string, lat string")
     assert [(r["x"], r["y"]) for r in spatial.coordinate_points(swapped, ["k"], "lon", "lat").collect()] == [(2.5, 48.5)]

@@ -146,7 +146,7 @@ COVERAGE_SQL = """SELECT count(*) AS n_codes, count(n_nationkey) AS n_matched, r
 
 def names_in_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names made of the first words of the benchmark texts, found in whole documents."""
-    words = F.split(F.col("text"), "[^A-Za-z]+")
+    words = F.split(F.col("text"), r"\P{L}+")
     names = load(spark, sf_dir, "benchmark").select(
         F.lit("com").alias("level"), F.lit(0).alias("level_rank"), F.lit(None).cast("string").alias("code"),
         F.array_join(F.slice(words, 1, 3), " ").alias("nom"),
@@ -157,7 +157,7 @@ def names_in_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 NAMES_SQL = r"""
-WITH n AS (SELECT DISTINCT lower(array_to_string(regexp_split_to_array(text, '[^A-Za-z]+')[1:3], ' ')) AS nm FROM benchmark),
+WITH n AS (SELECT DISTINCT trim(lower(strip_accents(array_to_string(regexp_split_to_array(text, '\P{L}+')[1:3], ' ')))) AS nm FROM benchmark),
 d AS (SELECT doc_id, trim(regexp_replace(lower(strip_accents(text)), '[\s\-_]+', '_', 'g'), '_') AS t FROM documents),
 h AS (SELECT doc_id, ' ' || t || ' ' || trim(regexp_replace(t, '[^a-z0-9]+', ' ', 'g')) || ' ' AS hay FROM d)
 SELECT doc_id, 'com' AS level, 'nom' AS "by", nm AS value FROM h, n

@@ -57,11 +57,11 @@ SELECT c_mktsegment, a AS min_x, b AS min_y, c AS max_x, d AS max_y,
 
 def extent_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = spatial.coordinate_points(_places(spark, sf_dir), ["c_mktsegment"], "y", "x")
-    return spatial.union_wkt(points, ["c_mktsegment"], inline_limit=10_000)
+    return spatial.union_points(points, ["c_mktsegment"])
 
 
-UNION_SQL = f"""WITH {_PLACES_SQL}, p AS (SELECT DISTINCT c_mktsegment, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y FROM places)
-SELECT c_mktsegment, count(*) AS n_points, CASE WHEN count(*) <= 10000 THEN 'MULTIPOINT (' || string_agg('(' || x || ' ' || y || ')', ', ' ORDER BY x, y) || ')' END AS wkt FROM p GROUP BY c_mktsegment"""
+UNION_SQL = f"""WITH {_PLACES_SQL}
+SELECT DISTINCT c_mktsegment, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y FROM places"""
 
 
 def extent_hull(spark: SparkSession, sf_dir: str) -> DataFrame:
