@@ -6,8 +6,8 @@ to 65,535 for each task.
 
 1. Texts with equal sets are one class; a class is known by the hash of its set. Its members are never paired.
 2. A link needs a common n-gram among the first |A| - 3/4 |A| + 1 of each set (at 75), so only these are shuffled. N-grams that many classes share are dealt out over several lists.
-3. Star turns: each class is held against one other, the head of most of its n-grams, which is of the largest component
-   there. So copies meet their group without pairs inside it. Turns end when few of these pairs link.
+3. Star turns: each class is held against one other, the head of most of its n-grams, then against some heads of the
+   largest component among long lists. So copies meet their group without pairs inside it. Turns end when few pairs link.
 4. Exact pass: all classes that share such an n-gram and are still in different components are held against each other,
    if their sizes, the n-gram's places and the number of first n-grams in common leave a link possible. Lists of a
    dealt-out n-gram meet one another here.
@@ -40,8 +40,8 @@ BUCKETS, PARTS = 1 << 20, 256
 #: Ranges that the global order is cut into.
 FRAGMENTS = 4
 
-#: Pairs of one head that are counted together.
-BLOCK = 64
+#: Pairs of one head that are counted together; heads of an n-gram in a turn, after the first.
+BLOCK, HEADS = 64, 8
 
 
 @dataclass(frozen=True)
@@ -163,11 +163,13 @@ def lists(prefix: DataFrame) -> DataFrame:
     They are sought in lists by n-gram; one of level k, about 2^k times three as frequent as the mean, is dealt out over 4^k lists by class, so that no list is much longer
     than those of rare n-grams, and kept.
     """
-    salt = F.when(F.col("level") > 0, F.pmod(F.col("class"), F.expr("shiftleft(1, least(2 * level, 20))"))).otherwise(F.lit(0))
-    keyed = prefix.withColumn("list", F.when(F.col("level") > 0, F.xxhash64("gram", salt)).otherwise(F.col("gram")))
-    w = Window.partitionBy("list")
+    salt = F.when(F.col("level") > 0, F.pmod(F.col("class"), F.expr("shiftleft(1, least(2 * level, 20))"))).otherwise(F.lit(-1)).cast("int")
+    packed = F.shiftleft(F.col("size").cast("long"), 32).bitwiseOR(F.col("place").cast("long"))  # fewer bytes to shuffle
+    keyed = prefix.select("gram", salt.alias("salt"), "class", packed.alias("facts"))
+    w = Window.partitionBy("gram", "salt")
     found = keyed.withColumn("low", F.min("class").over(w)).withColumn("high", F.max("class").over(w))
-    return found.filter((F.col("low") < F.col("high")) | (F.col("level") > 0)).select("gram", "class", "size", "place")
+    size, place = F.shiftright("facts", 32).cast("int"), F.col("facts").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+    return found.filter((F.col("low") < F.col("high")) | (F.col("salt") >= 0)).select("gram", "class", size.alias("size"), place.alias("place"))
 
 
 def _least(a: Column, b: Column, percent: int) -> Column:
@@ -258,15 +260,14 @@ def join(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id", text:
     links, near, tried, turn = None, None, 1, 0
     opened = dealt
     while True:
-        opened = _rooted(opened, near)
-        heads = written(_heads(opened, turn), "ngram-heads")
-        opened = written(opened.join(heads.select("gram"), "gram", "left_semi"), "ngram-open")
-        tests = with_docs(_stars(opened, heads, rule))
+        rooted = written(_rooted(opened, near), "ngram-open")
+        heads = written(_heads(rooted, turn), "ngram-heads")
+        tests = with_docs(_stars(rooted, heads, turn, rule))
         new = written(linked(overlaps(docs, tests, rule, level), rule), "ngram-links")
         tried, hit, turn = tests.count(), new.count(), turn + 1
         links = new if links is None else written(links.unionByName(new), "ngram-links")
         near = components(links) if hit else near
-        if 10 * hit < tried or not hit:  # heads find little any more
+        if 50 * hit < tried or not hit:  # heads find little any more
             break
     rest = linked(overlaps(docs, with_docs(_across(_rooted(opened, near), rule)), rule, level), rule)
     links = written(links.unionByName(rest), "ngram-links")
@@ -290,27 +291,40 @@ def _rooted(opened: DataFrame, near: DataFrame | None) -> DataFrame:
 
 
 def _heads(opened: DataFrame, turn: int) -> DataFrame:
-    """Of each n-gram whose classes have several roots, the head of this turn: a class of the largest component."""
-    facts = F.struct("many", F.xxhash64(F.lit(turn), "class").alias("order"), "class", "size", "root")
-    found = opened.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max(facts).alias("head"))
-    return found.filter("low <> high").select("gram", F.col("head.class").alias("a"), F.col("head.size").alias("size_a"), F.col("head.root").alias("root_a"))
+    """Heads of this turn for each n-gram whose classes have several roots: classes of the largest component.
+
+    The first turn has one head for each. Later ones try some more where an n-gram has many classes; where it has few, the
+    exact pass is as cheap.
+    """
+    facts = [F.max(F.struct("many", F.xxhash64(F.lit(turn), F.lit(i), "class").alias("order"), "class", "size", "root")) for i in range(HEADS if turn else 1)]
+    found = opened.groupBy("gram").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), F.array(*facts).alias("heads"))
+    found = found.filter("low <> high").filter(F.col("n") > (2 * HEADS if turn else 0)).select("gram", F.explode("heads").alias("head"))
+    return found.select("gram", F.col("head.class").alias("a"), F.col("head.size").alias("size_a"), F.col("head.root").alias("root_a")).distinct()
 
 
-def _stars(opened: DataFrame, heads: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs ``a, b``: each class with the head that it shares most n-grams with, if these are many for a prefix."""
+def _stars(opened: DataFrame, heads: DataFrame, turn: int, rule: Rule) -> DataFrame:
+    """Pairs ``a, b``: classes with the heads that they share many n-grams with, for a prefix; at first with the best only."""
     met = opened.join(heads, "gram").filter((F.col("root") != F.col("root_a")) & _possible(F.col("size"), F.col("size_a"), rule.percent))
     shared = met.groupBy("class", "size", "a").agg(F.count("*").alias("n")).filter(10 * F.col("n") >= F.col("size"))
+    if turn:
+        return shared.select("a", F.col("class").alias("b")).groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b")
     best = shared.groupBy("class").agg(F.max(F.struct("n", "a")).alias("best"))
     return best.select(F.col("best.a").alias("a"), F.col("class").alias("b"))
 
 
 def _across(rooted: DataFrame, rule: Rule) -> DataFrame:
     """Pairs ``a, b`` of classes that share a first n-gram, lie in different components and can still link."""
-    open_rows = written(rooted.dropDuplicates(["gram", "class"]), "ngram-rooted")
-    left, right = (open_rows.select("gram", *[F.col(c).alias(f"{c}_{x}") for c in ("class", "size", "place", "root")]) for x in "ab")
+    main = rooted.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max(F.struct("many", "root")).alias("main"))
+    main = written(main.filter("low <> high").select("gram", F.col("main.root").alias("main")), "ngram-main")
+    open_rows = written(rooted.dropDuplicates(["gram", "class"]).join(main, "gram"), "ngram-rooted")
+    # of two classes with different roots one at least is not of the n-gram's main root: members of that never meet
+    left, right = (open_rows.select("gram", *[F.col(c).alias(f"{c}_{x}") for c in ("class", "size", "place", "root", "main")]) for x in "ab")
+    met = left.filter("root_a <> main_a").join(right, "gram").filter("root_a <> root_b and (root_b = main_b or class_a < class_b)")
+    turned = F.col("class_a") > F.col("class_b")
+    sides = [F.when(turned, F.col(f"{c}_{y}")).otherwise(F.col(f"{c}_{x}")).alias(f"{c}_{x}") for c in ("class", "size", "place") for x, y in ("ab", "ba")]
     sa, sb, pa_, pb = (F.col(c) for c in ("size_a", "size_b", "place_a", "place_b"))
     enough = F.least(sa - pa_, sb - pb) + F.least(pa_, pb) >= _least(sa, sb, rule.percent)
-    met = left.join(right, "gram").filter((F.col("root_a") != F.col("root_b")) & (F.col("class_a") < F.col("class_b")) & _possible(sa, sb, rule.percent) & enough)
+    met = met.filter(_possible(sa, sb, rule.percent) & enough).select(*sides)
     # Up to the end of the prefix that ends first, all common n-grams are in both. What may follow is at most the rest of
     # that set, and of the other set what lies behind the last common n-gram.
     behind_a, behind_b = (F.ceil(F.lit(rule.percent) * n / 100 - F.lit(1e-9)) - 1 for n in (sa, sb))
