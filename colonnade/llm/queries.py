@@ -7,6 +7,7 @@ from colonnade.llm import (
     chat_preference,
     mixing,
     ngram_join,
+    oracles,
     pii,
     quality_crf,
     quality_rules,
@@ -29,6 +30,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    **oracles.ORACLES,
     "op5_topk_tree": topk_tree.ORACLE,
     "op6_chat_preference": chat_preference.ORACLE,
 }
