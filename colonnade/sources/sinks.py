@@ -23,9 +23,29 @@ METADATA_SCHEMA = (
 )
 
 
+def named_attributes(records: DataFrame) -> DataFrame:
+    """Dataset records with the field names that :func:`read_documents` expects, beside their own, in each attribute."""
+    if "attributes" not in records.columns or "columns" not in (names := records.schema["attributes"].dataType.elementType.names):
+        return records
+
+    def named(a):
+        level = lambda role: F.when(a["role"] == role, a["granularity"])
+        indicator = (a["role"] == "indicator") & a["theme"].isNotNull()
+        return F.struct(
+            *[a[f].alias(f) for f in names if f not in ("theme", "granularity")],
+            F.array_join(a["columns"], ", ").alias("dataName"), a["description"].alias("dataDescription"), F.array_join(a["type"], ", ").alias("dataType"),
+            level("spatial").alias("spatialLevel"), level("temporal").alias("temporalLevel"),
+            F.when(~a["role"].isin("spatial", "temporal", "indicator"), a["granularity"]).alias("granularity"),
+            F.when(indicator, a["indicator_type"]).alias("indicatorType"),
+            F.when(indicator, F.struct(a["theme"].alias("themeName"), a["theme"].alias("themeDescription"))).alias("theme"),
+        )
+
+    return records.withColumn("attributes", F.transform("attributes", named))
+
+
 def write_documents(records: DataFrame, folder: str, key: str = "dataset_id") -> None:
     """One JSON document per record, in a folder of its own below ``folder``."""
-    records.withColumn("document", F.col(key)).write.mode("overwrite").option(
+    named_attributes(records).withColumn("document", F.col(key)).write.mode("overwrite").option(
         "ignoreNullFields", True
     ).partitionBy("document").json(folder)
 
@@ -38,7 +58,7 @@ def write_scopes(scopes: DataFrame, path: str) -> None:
 
 def append_documents(records: DataFrame, folder: str, key: str = "dataset_id") -> None:
     """Like :func:`write_documents`, replacing only the documents of these records."""
-    records.withColumn("document", F.col(key)).write.mode("overwrite").option("ignoreNullFields", True).option(
+    named_attributes(records).withColumn("document", F.col(key)).write.mode("overwrite").option("ignoreNullFields", True).option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy("document").json(folder)
 

@@ -3,6 +3,8 @@
 import json
 import os
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,6 +121,24 @@ def test_catalog_twice(spark, folder):
     assert titles == sorted(titles, key=str.lower)
 
 
+def test_damaged_file_forced_rerun_and_documents(spark, folder):
+    write(folder, "lake/villes_2021.csv", "code_dep;valeur;nom\n" + "75;1;x\n01;2;y\n" * 10)
+    good = write(folder, "bad.parquet", b"")
+    pq.write_table(pa.table({"a": [str(i * 7919) for i in range(5000)]}), good, use_dictionary=False)
+    data = bytearray(open(good, "rb").read())
+    data[200 : len(data) // 2] = b"\xff" * (len(data) // 2 - 200)  # the footer stays whole
+    write(folder, "lake/bad.parquet", bytes(data))
+    out = folder + "/out"
+    errors = build_catalog(spark, folder + "/lake", out, references(spark))
+    assert [r["path"].rsplit("/", 1)[-1] for r in errors.collect()] == ["bad.parquet"]
+    assert [r["title"] for r in sinks.read_catalog(spark, out + "/catalog").collect()] == ["villes_2021.csv"]
+    before = spark.read.parquet(out + "/scopes").count()
+    build_catalog(spark, folder + "/lake", out, references(spark), force=True)
+    assert before == spark.read.parquet(out + "/scopes").count() > 0
+    kinds = {a["dataName"]: (a["kind"], a["spatialLevel"]) for a in sinks.read_documents(spark, out + "/metadata").first()["attributes"]}
+    assert kinds["code_dep"] == ("SpatialParameter", "departement") and {"valeur", "nom"} <= set(kinds)
+
+
 def test_stream_describes_new_files(spark, folder):
     write(folder, "lake/a_2020.csv", "a;b\n1;2\n2;3\n")
     out = folder + "/out"
