@@ -110,8 +110,12 @@ def top_k(rows: DataFrame, is_query, k: int = 10, id_column: str = "vec_id", vec
     x = F.transform(F.col(f"`{vector}`"), lambda v: F.floor(F.lit(float(scale)) * v.cast("double")).cast("double"))
     bad = F.exists(F.col(f"`{vector}`"), lambda v: v.isNull() | F.isnan(v.cast("double")) | (F.abs(v.cast("double")) == float("inf")))
     valid = rows.filter(F.col(f"`{id_column}`").isNotNull() & F.col(f"`{vector}`").isNotNull() & ~bad)
-    valid = written(valid.select(F.col(f"`{id_column}`").cast("long").alias("vec_id"), x.alias("v"), is_query.alias("asks")), "topk-vectors")
-    width = valid.agg(F.max(F.size("v"))).first()[0] or 0
+    full = F.array_max(F.transform("v", lambda c, i: F.when(c != 0, i + 1).otherwise(0)))  # zeros at the end are as good as missing
+    valid = valid.select(F.col(f"`{id_column}`").cast("long").alias("vec_id"), x.alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
+    valid = valid.withColumn("v", F.slice("v", F.lit(1), F.coalesce(full, F.lit(0))))
+    # equal rows are one before they are queries and candidates
+    valid = written(valid.groupBy("vec_id", "v").agg(F.max("asks").alias("asks")), "topk-vectors")
+    width = valid.agg(F.max(F.size("v"))).first()[0] or 1
     picked = valid.select("v", F.xxhash64("vec_id").alias("order")).orderBy("order", "v").limit(SAMPLE).collect()
     sample = _matrix(pa.array([r["v"] for r in picked], pa.list_(pa.float64())), width) if picked else np.zeros((1, width))
     centres = sample[farthest_first(sample, CENTRES)[0]]
@@ -146,8 +150,7 @@ def top_k(rows: DataFrame, is_query, k: int = 10, id_column: str = "vec_id", vec
             table = pa.Table.from_batches(held).combine_chunks()
             points, names = _matrix(table.column("v").combine_chunks(), width), table.column("vec_id").to_numpy()
             if part == (False, 0):
-                _, once = np.unique(np.column_stack([names.astype(float), points]), axis=0, return_index=True)
-                tree, ids = Tree(points[np.sort(once)]), names[np.sort(once)]
+                tree, ids = Tree(points), names
             elif tree is not None:
                 scores, found = search(points, names, tree, ids, k)
                 i, j = np.nonzero(~np.isinf(scores))

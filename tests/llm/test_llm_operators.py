@@ -289,6 +289,18 @@ def test_topk_tree(spark, monkeypatch, block, leaf):
     assert topk_tree.top_k(few, F.col("vec_id") % 100 == 0).count() == 4
 
 
+def test_topk_tree_of_repeated_queries_and_large_ids(spark):
+    """A query row that is repeated, also with zeros at its end, is one; ids that are equal as floats stay apart."""
+    rng = np.random.default_rng(2)
+    rows = {i: rng.normal(size=8).astype(np.float32) for i in range(300)} | {i: np.full(8, 9, np.float32) for i in (2**53, 2**53 + 1)}
+    rows[200][6:] = 0
+    table = [(i, [float(x) for x in v]) for i, v in rows.items()]
+    table += [table[0], table[100], table[100], (200, table[200][1][:6]), table[7]]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<float>").repartition(4)
+    got = sorted(tuple(r) for r in topk_tree.top_k(df, F.col("vec_id") % 100 == 0).collect())
+    assert got == brute_top({i: np.floor(1024 * v.astype(np.float64)) for i, v in rows.items()})
+
+
 def render(turns):
     text, spans = "", []
     for _, role, t in turns:
