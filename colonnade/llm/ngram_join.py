@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from colonnade.llm.common import Words, chunks, mix, texts_of, windows
+from colonnade.llm.common import Words, chunks, mix, texts_of, windows, word_count
 from colonnade.llm.graph import components
 from colonnade.session import stage as written
 
@@ -71,10 +71,10 @@ def _name(grams: np.ndarray) -> int:
 
 
 def describe(docs: DataFrame, rule: Rule) -> DataFrame:
-    """``doc_id, size, class`` of each row (``part`` null), and the counts of each task: ``part, hits``."""
+    """``doc_id, key, size, class`` of each row (``part`` null), and the counts of each task: ``part, hits``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, size int, class long, part int, hits binary"
-    names = ["doc_id", "size", "class", "part", "hits"]
+    schema = f"doc_id {kind}, key long, size int, class long, part int, hits binary"
+    names = ["doc_id", "key", "size", "class", "part", "hits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hits = np.zeros(BUCKETS, dtype=np.int64)
@@ -88,11 +88,11 @@ def describe(docs: DataFrame, rule: Rule) -> DataFrame:
                     keys.append(_name(grams) if len(grams) else None)
                     seen.append(grams)
                 np.add.at(hits, _bucket(np.concatenate(seen)), 1)
-                columns = [part.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(keys, pa.int64())]
+                columns = [part.column("doc_id"), part.column("key"), pa.array(sizes, pa.int32()), pa.array(keys, pa.int64())]
                 yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(part), pa.int32()), pa.nulls(len(part), pa.binary())], names)
         if hits.any():
             parts = np.minimum(hits, 65535).astype(np.uint16).reshape(PARTS, -1)
-            columns = [pa.nulls(PARTS, t) for t in (id_type, pa.int32(), pa.int64())]
+            columns = [pa.nulls(PARTS, t) for t in (id_type, pa.int64(), pa.int32(), pa.int64())]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(np.arange(PARTS, dtype=np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())], names)
 
     return docs.mapInArrow(run, schema)
@@ -183,18 +183,18 @@ def _possible(a: Column, b: Column, percent: int) -> Column:
 
 
 def overlaps(docs: DataFrame, pairs: DataFrame, rule: Rule, level: np.ndarray) -> DataFrame:
-    """``a, b, size_a, size_b, common`` of each pair of classes; ``pairs`` has ``a, b`` and an id of each, ``doc_a, doc_b``.
+    """``a, b, size_a, size_b, common`` of each pair of classes; ``pairs`` has ``a, b`` and the key of a row of each, ``key_a, key_b``.
 
     Each pair is in a block with some others of the same ``a``. A block's ``a`` and each ``b`` come as rows of (block,
     fragment), which holds the n-grams of one range of the order. A fragment's overlaps are counted where it lies, then
     summed per pair.
     """
     sized = written(pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("n")), "ngram-blocks")
-    blocks = written(pairs.join(sized, "a").select("a", "b", "doc_a", "doc_b", F.pmod(F.xxhash64("b"), F.col("n")).alias("block")), "ngram-pairs")
-    uses = blocks.select(F.col("doc_b").alias("doc_id"), F.col("b").alias("class"), "a", "block").unionByName(
-        blocks.select(F.col("doc_a").alias("doc_id"), F.col("a").alias("class"), "a", "block").distinct()
+    blocks = written(pairs.join(sized, "a").select("a", "b", "key_a", "key_b", F.pmod(F.xxhash64("b"), F.col("n")).alias("block")), "ngram-pairs")
+    uses = blocks.select(F.col("key_b").alias("key"), F.col("b").alias("class"), "a", "block").unionByName(
+        blocks.select(F.col("key_a").alias("key"), F.col("a").alias("class"), "a", "block").distinct()
     )
-    texts = texts_of(docs.select("doc_id", "text"), written(uses.withColumn("n", F.lit(1)), "ngram-uses")).select("class", "a", "block", "text")
+    texts = texts_of(docs.select("key", "text"), written(uses.withColumn("n", F.lit(1)), "ngram-uses"), "key").select("class", "a", "block", "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = np.array([(f << 64) // FRAGMENTS for f in range(1, FRAGMENTS)], dtype=np.uint64)
@@ -204,7 +204,7 @@ def overlaps(docs: DataFrame, pairs: DataFrame, rule: Rule, level: np.ndarray) -
                 rows: list[tuple] = []
                 keys = zip(*[part.column(c).to_pylist() for c in ("class", "a", "block")], strict=True)
                 for (name, a, block), grams in zip(keys, _sets(part.column("text"), rule), strict=True):
-                    if len(grams) and _name(grams) == name:  # another text of the same id is another class
+                    if len(grams) and _name(grams) == name:  # another text of the same key is another class
                         pieces = np.split(grams, np.searchsorted(grams, bounds))
                         rows += [(a, block, f, name, len(grams), piece.tobytes()) for f, piece in enumerate(pieces)]
                 columns = list(zip(*rows, strict=True)) or [()] * 6
@@ -243,40 +243,52 @@ def linked(counted: DataFrame, rule: Rule) -> DataFrame:
     return counted.filter(100 * F.col("common") >= rule.percent * union).select("a", "b", "common")
 
 
+def _key(doc_id: Column, text: Column) -> Column:
+    """A hash that rows of the same id and text have in common, never null."""
+    return F.xxhash64(doc_id, text)
+
+
 def join(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row."""
-    docs = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    rows, classes, roots = grouped(docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text}`").alias("text")), rule)
+    named = classes.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    named = written(named.filter("rows > 1 or root <> class").unionByName(named.join(roots.select("root").distinct(), "root", "left_semi").select(named.columns).filter("rows = 1 and root = class")), "ngram-roots")
+    least = written(named.groupBy("root").agg(F.min("first.doc_id").alias("component_id")), "ngram-least")
+    ids = written(named.join(least, "root").select("class", "component_id"), "ngram-components")
+    return rows.join(ids, "class", "left").select("doc_id", F.col("size").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def grouped(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``doc_id, key, size, class`` of every row; ``class, first, rows`` of every class, ``first`` being its row with the least
+    id; ``node, root`` of the classes that link. ``docs`` has ``doc_id, text``."""
+    docs = docs.withColumn("key", _key(F.col("doc_id"), F.col("text")))
     described = written(describe(docs, rule), "ngram-sets")
     level = levels(described)
-    rows = described.filter("part is null").select("doc_id", "size", "class")
-    classes = written(rows.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc"), F.count("*").alias("rows")), "ngram-classes")
+    rows = described.filter("part is null").select("doc_id", "key", "size", "class")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key"))
+    classes = written(rows.filter("class is not null").groupBy("class").agg(first.alias("first"), F.count("*").alias("rows")), "ngram-classes")
     dealt = written(lists(prefixes(docs, rule, level)), "ngram-lists")
 
-    def with_docs(pairs: DataFrame) -> DataFrame:
-        of = classes.select(F.col("class"), "doc")
-        out = pairs.join(of.withColumnsRenamed({"class": "a", "doc": "doc_a"}), "a").join(of.withColumnsRenamed({"class": "b", "doc": "doc_b"}), "b")
-        return written(out.select("a", "b", "doc_a", "doc_b"), "ngram-candidates")
+    def with_keys(pairs: DataFrame) -> DataFrame:
+        of = classes.select("class", F.col("first.key").alias("key"))
+        out = pairs.join(of.withColumnsRenamed({"class": "a", "key": "key_a"}), "a").join(of.withColumnsRenamed({"class": "b", "key": "key_b"}), "b")
+        return written(out.select("a", "b", "key_a", "key_b"), "ngram-candidates")
 
     links, near, tried, turn = None, None, 1, 0
     opened = dealt
     while True:
         rooted = written(_rooted(opened, near), "ngram-open")
         heads = written(_heads(rooted, turn), "ngram-heads")
-        tests = with_docs(_stars(rooted, heads, turn, rule))
+        tests = with_keys(_stars(rooted, heads, turn, rule))
         new = written(linked(overlaps(docs, tests, rule, level), rule), "ngram-links")
         tried, hit, turn = tests.count(), new.count(), turn + 1
         links = new if links is None else written(links.unionByName(new), "ngram-links")
         near = components(links) if hit else near
         if 50 * hit < tried or not hit:  # heads find little any more
             break
-    rest = linked(overlaps(docs, with_docs(_across(_rooted(opened, near), rule)), rule, level), rule)
+    rest = linked(overlaps(docs, with_keys(_across(_rooted(opened, near), rule)), rule, level), rule)
     links = written(links.unionByName(rest), "ngram-links")
-    roots = components(links)
-    named = classes.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    named = written(named.filter("rows > 1 or root <> class").unionByName(named.join(roots.select("root").distinct(), "root", "left_semi").select(named.columns).filter("rows = 1 and root = class")), "ngram-roots")
-    least = written(named.groupBy("root").agg(F.min("doc").alias("component_id")), "ngram-least")
-    ids = written(named.join(least, "root").select("class", "component_id"), "ngram-components")
-    return rows.join(ids, "class", "left").select("doc_id", F.col("size").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return rows, classes, components(links)
 
 
 def _rooted(opened: DataFrame, near: DataFrame | None) -> DataFrame:
@@ -339,8 +351,15 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component: the one that names it; a row of it, if it is repeated.
-
-    Documents without words, and rows without an id, stay."""
-    kept = join(docs).filter("doc_id is null or doc_id = component_id").select("doc_id").distinct()
-    return docs.join(written(kept, "ngram-kept"), "doc_id", "left_semi").unionByName(docs.filter("doc_id is null"))
+    """One row of each component: of its least id, if it has one; of equal rows, and of rows of one id and text, any.
+
+    Rows without words are in no component; of those with the same id one stays, and all without an id."""
+    rows, classes, roots = grouped(docs.select("doc_id", "text"), Rule())
+    named = classes.join(roots.withColumnRenamed("node", "class"), "class", "left")
+    first = named.groupBy(F.coalesce("root", "class").alias("root")).agg(F.min("first").alias("first")).select("first.doc_id", "first.key")
+    bare = rows.filter("class is null and doc_id is not null").groupBy("doc_id").agg(F.min("key").alias("key"))
+    kept = written(first.unionByName(bare).select(F.struct("doc_id", "key").alias("key of row")).distinct(), "ngram-kept")
+    # the rows of a key become one in each task before texts are shuffled
+    keyed = docs.withColumn("key of row", F.struct("doc_id", _key(F.col("doc_id"), F.col("text")).alias("key")))
+    once = keyed.withColumn("copy of row", F.row_number().over(Window.partitionBy("key of row").orderBy("key of row"))).filter("`copy of row` = 1")
+    return once.join(kept, "key of row").select(docs.columns).unionByName(docs.filter(F.col("doc_id").isNull() & (word_count(F.col("text")) == 0)))

@@ -205,6 +205,23 @@ def test_ngram_join_of_many_near_copies(spark):
     assert got == component_of(list(sets), sets)
 
 
+def test_ngram_join_stage_leaves_one_row_of_each_group(spark, empty):
+    """Repeated rows, two texts of one id, and groups that only rows without an id hold together."""
+    base, other, third = (prose(80, 40 + i) for i in range(3))
+    near, far = (" ".join(["changed"] * k + base.split(" ")[k:]) for k in (10, 19))
+    table = [
+        (1, base), (1, base), (1, base), (2, base), (2, other), (2, other), (3, third), (3, None), (3, None), (4, "  "),
+        (None, third), (None, prose(60, 50)), (None, prose(60, 50)), (None, near), (5, far), (None, ""), (None, ""),
+    ]
+    sets = {0: shingles(base), 1: shingles(near), 2: shingles(far)}
+    assert linked(sets[0], sets[1]) and linked(sets[1], sets[2]) and not linked(sets[0], sets[2])
+    docs = spark.createDataFrame([(i, t, "en", "a", j) for j, (i, t) in enumerate(table)], SCHEMA).repartition(3)
+    got = ngram_join.stage(spark, docs, "")
+    expected = [(1, base), (2, other), (3, third), (3, None), (4, "  "), (None, prose(60, 50)), (None, ""), (None, "")]
+    assert got.columns == docs.columns and by_id(got.select("doc_id", "text")) == sorted(expected, key=repr)
+    assert ngram_join.stage(spark, empty, "").count() == 0
+
+
 def test_components(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(40)] + [(100 + r.randint(0, 60), 100 + r.randint(0, 60)) for _ in range(40)] + [(500, i) for i in range(501, 560)]
