@@ -27,10 +27,9 @@ from colonnade.llm.common import Words, chunks
 
 @dataclass(frozen=True)
 class Bounds:
-    """Size of the training sample: labelled documents of each label, and characters of each of them (whole lines)."""
+    """Size of the training sample: labelled documents of each label, which are read whole."""
 
     documents: int = 600
-    characters: int = 4000
 
 
 def _table(chars: str) -> np.ndarray:
@@ -98,13 +97,13 @@ def fit(texts: list[str], labels: list[int]) -> crf.Chain | float:
 
 
 def sample(docs: DataFrame, labels: DataFrame, held_out: Column, bounds: Bounds) -> tuple[list[str], list[int]]:
-    """Texts and labels of the training sample: whole first lines up to the bound, never of rows that ``held_out`` marks."""
+    """Whole texts and labels of the training sample, never of rows that ``held_out`` marks."""
     labelled = labels.select(F.col("doc_id"), F.col("quality")).filter("doc_id is not null and quality in (0, 1)").filter(~held_out)
     chosen = None
     for y in (0, 1):
         part = labelled.filter(F.col("quality") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bounds.documents)
         chosen = part if chosen is None else chosen.unionByName(part)
-    texts = docs.select("doc_id", F.substring("text", 1, bounds.characters).alias("text")).filter("text is not null")
+    texts = docs.select("doc_id", "text").filter("text is not null")
     rows = chosen.join(texts, "doc_id").orderBy("doc_id", "quality", "text").limit(4 * bounds.documents).collect()
     return [r["text"] for r in rows], [int(r["quality"]) for r in rows]
 

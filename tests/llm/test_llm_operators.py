@@ -381,6 +381,16 @@ def test_quality_crf(spark, sf_dir, clashing, empty):
     assert quality_crf.score(empty, chain).count() == 0 and quality_crf.fit([], []) == 0.5 and quality_crf.fit(["a"], [1]) == 1.0
 
 
+def test_quality_sample_reads_whole_texts(spark):
+    """Long documents that are clean at first are learned from with their bad ends."""
+    text = {i: "\n".join([prose(12, 10 * i + j) for j in range(90)] + ["# * $ % & | &&& ### *** " * 9] * (40 if i % 2 else 0)) for i in range(8)}
+    assert min(map(len, text.values())) > 4000
+    docs = spark.createDataFrame(list(text.items()), "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, (i + 1) % 2) for i in text], "doc_id long, quality int")
+    found, marks = quality_crf.sample(docs, labels, F.lit(False), quality_crf.Bounds())
+    assert sorted(zip(found, marks, strict=True)) == sorted((t, (i + 1) % 2) for i, t in text.items())
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
