@@ -20,7 +20,6 @@ from colonnade.functions import fixed, geometry, numbers, text
 from colonnade.functions.names import address_role
 from colonnade.functions.text import column_key
 
-LONG_TEXT = 4096
 FLAGS = (
     "boolean_word", "likert_word", "address", "geometry_text", "wkb", "country_yes", "country_no",
     "full_timestamp", "year_month", "year_text", "year_week", "year_quarter", "iso_date", "parsable_time",
@@ -310,26 +309,13 @@ def _mask(flags: dict[str, Column], wanted: frozenset[str] | None) -> Column:
 
 
 def _frequencies(family: str, cells: DataFrame, strict_numeric: bool, wanted: frozenset[str] | None) -> DataFrame:
-    """Distinct values of each column with their count and features.
-
-    Texts over ``LONG_TEXT`` characters are grouped by digest, so that whole documents are not shuffled; their
-    features are taken from the whole text before the shuffle.
-    """
+    """Distinct values of each column with their count and features; values are whole, whatever their length."""
     x = F.col("x")
     features = _features(family, strict_numeric, wanted)
     if family in ("text", "binary"):
-        is_long = F.length(x) > LONG_TEXT
-        digest = F.concat(F.lit("sha256:"), F.sha2(x.cast("binary"), 256))
-        keyed = cells.select(
-            "cid", "x", is_long.alias("is_long"),
-            F.when(is_long, digest).otherwise(F.hex(x) if family == "binary" else x).alias("v"),
-        )
-        # the features are aggregate inputs, not a projection, which would be copied into every table's branch
-        grouped = keyed.groupBy("cid", "v", "is_long").agg(
-            F.count("*").alias("n"),
-            *[F.max(F.when(F.col("is_long"), e)).alias("long_" + k) for k, e in features.items()],
-        ).withColumn("x", F.when(~F.col("is_long"), F.unhex("v") if family == "binary" else F.col("v")))
-        features = {k: F.coalesce(F.col("long_" + k), e) for k, e in features.items()}
+        keyed = cells.select("cid", (F.hex(x) if family == "binary" else x).alias("v"))
+        # the features come after the grouping, a projection before it would be copied into every table's branch
+        grouped = keyed.groupBy("cid", "v").agg(F.count("*").alias("n")).withColumn("x", F.unhex("v") if family == "binary" else F.col("v"))
     else:
         grouped = cells.groupBy("cid", "x").agg(F.count("*").alias("n")).withColumn("v", x.cast("string"))
     return grouped.select(

@@ -37,6 +37,15 @@ def test_name_hints(spark):
         "count": ("count", 0.93), "taux": ("rate", 0.93), "score": ("index", 0.93), "other": ("continuous", 0.9)}
 
 
+def test_values_of_any_length_stay_as_they_are(spark):
+    """Texts and bytes around and above 4096 characters are given whole, equal ones once."""
+    rows = [c * n for c in "xy" for n in (1, 4096, 4097, 9000)]
+    tables = {"t": table(spark, rows * 2), "b": table(spark, [bytearray(r, "ascii") for r in rows], "binary")}
+    found = profile_tables(spark, tables)
+    got = {(r.dataset_id, r.v): (r.n, r.size) for r in found.values.join(found.columns, "cid").collect()}
+    assert got == {("t", r): (2, len(r)) for r in rows} | {("b", r.encode().hex().upper()): (1, len(r)) for r in rows}
+
+
 def test_qualitative_thresholds(spark):
     found = detect.with_qualitative(profile(
         spark, bool95=["oui"] * 95 + ["peut"] * 5, bool94=["oui"] * 94 + ["peut"] * 6, five=["1", "5"] * 50, seven=["1", "7"] * 50, eight=["1", "8"] * 50,
