@@ -5,6 +5,8 @@ from __future__ import annotations
 from colonnade.llm import (
     bpe,
     chat_preference,
+    collocations,
+    language_id,
     mixing,
     ngram_join,
     oracles,
@@ -14,6 +16,7 @@ from colonnade.llm import (
     substring_dedup,
     topk_tree,
     url_filter,
+    whitening,
 )
 
 QUERIES = {
@@ -27,10 +30,14 @@ QUERIES = {
     "op8_pii": pii.query,
     "op9_substring_dedup": substring_dedup.query,
     "op10_bpe": bpe.query,
+    "op11_collocations": collocations.query,
+    "op12_whitening": whitening.query,
+    "op13_language_id": language_id.query,
 }
 
 ORACLES = {
     **oracles.ORACLES,
     "op5_topk_tree": topk_tree.ORACLE,
     "op6_chat_preference": chat_preference.ORACLE,
+    "op11_collocations": collocations.ORACLE,
 }
