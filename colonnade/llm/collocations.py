@@ -33,7 +33,7 @@ LONGEST = 4
 #: Bits of a map, at most (32 MB); suffixes of a leading pair that go to one task; rows of suffixes that a task sorts.
 BITS, HOT, TASK = 1 << 28, 1 << 18, 1 << 20
 #: Bytes of text whose suffixes are added up before they are sent.
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 
 _END, _SPACE = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
 _END[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
@@ -56,9 +56,8 @@ class PieceWords(Words):
         self.start = np.flatnonzero(begins & ~gap)
         self.end = np.flatnonzero(ends & ~gap) + 1
         self.first = np.searchsorted(self.start, self.offsets)
-        piece = np.cumsum(end)
         self.row = np.repeat(np.arange(len(column)), np.diff(self.first))
-        self.piece = (piece[self.start] if len(self.start) else np.zeros(0, np.int64)) + self.row
+        self.piece = np.searchsorted(np.flatnonzero(end), self.start) + self.row
         self.hash = self._hashes(_FOLDED)
 
 
@@ -90,7 +89,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for words, number, languages in blocks(batches):
             found, first, times = np.unique(number, return_index=True, return_counts=True)
             data = words.data.tobytes()
-            spelled = [data[words.start[i] : words.end[i]].decode("utf-8", "replace") for i in first]
+            spelled = [data[a:b].decode("utf-8", "replace") for a, b in zip(words.start[first], words.end[first], strict=True)]
             columns = [_signed(found), languages.take(pa.array(words.row[first])), pa.array(spelled, pa.string()), pa.array(times)]
             yield pa.RecordBatch.from_arrays(columns, ["number", "language", "word", "n"])
 

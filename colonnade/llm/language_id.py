@@ -94,9 +94,9 @@ def _spaced(text: str, table: Letters) -> np.ndarray:
     kept = codes != BLANK
     if not kept.any():
         return np.zeros(0, np.int64)
-    last = np.empty(len(kept), dtype=bool)
-    last[:-1], last[-1:] = kept[:-1] & ~kept[1:], False
-    return np.r_[BLANK, codes[kept | last], *([BLANK] if kept[-1] else [])]
+    ended = np.zeros(len(kept), dtype=bool)
+    ended[1:] = kept[:-1] & ~kept[1:]
+    return np.r_[BLANK, codes[kept | ended], *([BLANK] if kept[-1] else [])]
 
 
 def run_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
