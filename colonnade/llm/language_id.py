@@ -7,7 +7,7 @@ largest cosine with it. Letters are lower-cased, and anything between two words,
 one blank, which counts as a letter; so a word of one letter has a run of its own.
 
 Training takes about ``Bounds.documents`` texts of each language, chosen by a hash of text and id; they are read whole, in
-tasks, which add their vectors up by language. Only the prototypes (``DIMENSIONS`` numbers for each language) reach the
+tasks, which add their vectors up by language. Only each language's count and prototype (``DIMENSIONS`` numbers) reach the
 driver. Every text is classified, whole.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0, and so is every text when no language was
@@ -167,9 +167,11 @@ class Profiles:
 def learn(docs: DataFrame, usable: Column, bounds: Bounds = Bounds()) -> Profiles:
     """Prototypes of the languages of the usable rows with a language and a text."""
     known = docs.filter(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", F.col("lang").alias("language"))
-    sizes = known.groupBy("language").agg((F.lit(float(bounds.documents)) / F.count("*")).alias("share"))
+    sizes = known.groupBy("language").count().collect()
+    shares = known.sparkSession.createDataFrame([(r["language"], bounds.documents / r["count"]) for r in sizes], "language string, share double")
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = known.join(sizes, "language").filter(draw < F.col("share")).select("language", "text")
+    # one row for each language, as few as the prototypes; without the hint texts could be shuffled by language
+    chosen = known.join(F.broadcast(shares), "language").filter(draw < F.col("share")).select("language", "text")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
