@@ -11,8 +11,8 @@ CATALOG_SCHEMA = (
     "rawzonePath string, rawzoneCopied boolean, sourceMtime long, metadataPath string, perfPath string, status string, "
     "fileType string, dataFormat string, updateFrequency string, themes array<string>, spatialGranularity string, "
     "temporalGranularity string, "
-    "spatialScope array<struct<spatialScopeLevel:string,nValues:bigint,spatialScope:array<string>>>, "
-    "temporalScope array<struct<temporalScopeLevel:string,nValues:bigint,timePeriods:array<struct<startTime:string,endTime:string>>>>, "
+    "spatialScope array<struct<spatialScopeLevel:string,nValues:bigint>>, "
+    "temporalScope array<struct<temporalScopeLevel:string,nValues:bigint>>, "
     "fileSizeBytes long, fileSizeHuman string, nRows long, nCols int, nRecords long, nFeatures long, "
     "uncompressedSizeBytes long, checksum string, generatedAt string, version int"
 )

@@ -1,9 +1,13 @@
 """Column profiles of any number of tables in one job.
 
 Each table is turned into cells ``(cid, value)``, one family per storage type so that numbers are never formatted as
-text before they are grouped.  The cells of all tables are grouped once into a value-frequency table; every predicate
-is then evaluated once per distinct value and weighted by its count.  Predicates are packed in one bit mask and every
-other feature is a primitive, which keeps the aggregates in mutable row buffers.
+text before they are grouped.  The cells of all tables are grouped once by value; predicates are packed in one bit mask
+and every other feature is a primitive, which keeps the aggregates in mutable row buffers.
+
+No text longer than ``KEY_BYTES`` is shuffled for a profile.  A shorter text is its own key and its predicates are
+evaluated once for each distinct value; a longer one is keyed by 128 bits of hash, its predicates are evaluated where it
+is read, and only their outcomes travel.  The texts themselves are read back afterwards by :meth:`Profiled.texts`, for the
+columns whose values are matched or shown, by a scan of those columns.
 """
 
 from __future__ import annotations
@@ -30,14 +34,49 @@ COLUMNS_SCHEMA = (
     "cid int, dataset_id string, column string, col_pos int, kind string, spark_type string, "
     "address_parts array<string>"
 )
+TEXTS_SCHEMA = "cid int, v string, n long, present boolean, size int"
+
+
+#: Texts up to this many bytes are grouped as they are, longer ones by their digest; the profile is the same.
+KEY_BYTES = 64
+_EXACT = float(1 << 53)  # whole numbers below it have a double of their own
+
+
+@dataclass(frozen=True)
+class Source:
+    """A table and its cells: (cid, family, value of the family's type)."""
+
+    table: DataFrame
+    cells: tuple[tuple[int, str, Column], ...]
 
 
 @dataclass(frozen=True)
 class Profiled:
-    """Column list and value frequencies of a set of tables."""
+    """Column list, distinct values by digest, and where the values can be read again.
+
+    ``digests`` has one row for each distinct value of a column: cid, n, present and the features, without the value.
+    """
 
     columns: DataFrame
-    values: DataFrame
+    digests: DataFrame
+    sources: tuple[Source, ...]
+
+    @property
+    def values(self) -> DataFrame:
+        """Distinct values of all columns; see :meth:`texts`."""
+        return self.texts(cid for source in self.sources for cid, *_ in source.cells)
+
+    def texts(self, cids: Iterable[int]) -> DataFrame:
+        """Distinct values as texts, and their counts, of the given columns: (cid, v, n, present, size)."""
+        wanted = set(cids)
+        parts = [_texts(family, cells) for family, cells in _families(self.sources, wanted).items()]
+        if not parts:
+            return self.columns.sparkSession.createDataFrame([], TEXTS_SCHEMA)
+        return reduce(DataFrame.unionByName, parts)
+
+    def texts_of(self, wanted: DataFrame) -> DataFrame:
+        """Values of the columns named by ``cid`` in ``wanted``, whose number is at most that of all columns."""
+        return self.texts(row["cid"] for row in wanted.select("cid").where("cid IS NOT NULL").distinct().toLocalIterator())
 
 
 def column_kind(data_type: T.DataType) -> str:
@@ -100,19 +139,15 @@ def profile_tables(
     strict_numeric: bool = False,
     measures: Iterable[str] | None = None,
 ) -> Profiled:
-    """Column list and value frequencies of the tables.
+    """Column list and distinct values of the tables.
 
     ``address`` names sub-columns to profile as one composed address column instead of one by one.  ``measures`` limits
     the predicates to those some later :func:`column_profile` asks for (all by default).
     """
     wanted = None if measures is None else frozenset(measures) & frozenset(FLAGS)
-    columns, families = _split_columns(spark, tables, address or {})
-    parts = []
-    for family, frames in families.items():
-        cells = reduce(DataFrame.unionAll, frames)
-        parts.append(_frequencies(family, cells, strict_numeric, wanted))
-    values = reduce(DataFrame.unionByName, parts)
-    return Profiled(columns, values)
+    columns, sources = _split_columns(spark, tables, address or {})
+    parts = [_frequencies(family, cells, strict_numeric, wanted) for family, cells in _families(sources).items()]
+    return Profiled(columns, reduce(DataFrame.unionByName, parts), sources)
 
 
 def scan_tables(spark: SparkSession, tables: Mapping[str, DataFrame], **options) -> tuple[DataFrame, DataFrame]:
@@ -120,10 +155,10 @@ def scan_tables(spark: SparkSession, tables: Mapping[str, DataFrame], **options)
 
     For very large tables of near-unique columns, whose value-frequency table would be as large as the data.
     """
-    columns, families = _split_columns(spark, tables, options.get("address") or {})
+    columns, sources = _split_columns(spark, tables, options.get("address") or {})
     parts = []
-    for family, frames in families.items():
-        cells = reduce(DataFrame.unionAll, frames).withColumn("n", F.lit(1).cast("long"))
+    for family, cells in _families(sources).items():
+        cells = cells.withColumn("n", F.lit(1).cast("long"))
         features = _features(family, options.get("strict_numeric", False))
         parts.append(
             cells.select(
@@ -145,11 +180,13 @@ def column_profile(profiled: Profiled, measures: Iterable[str] | None = None) ->
     """
     aggregates = dict(_aggregates())
     aggregates["nunique"] = F.sum(F.col("present").cast("long"))
-    aggregates["num_nunique"] = F.count_distinct("num")
+    # numbers that are not keyed are distinct already, so only the others are sent by value
+    unkeyed = F.col("num").isNotNull() & F.col("num_key").isNull()
+    aggregates["num_nunique"] = F.count_distinct("num_key") + F.sum(unkeyed.cast("long"))
     if measures is not None:
         wanted = {"n_rows", "non_null", "nunique", *measures}
         aggregates = {k: e for k, e in aggregates.items() if k in wanted}
-    grouped = profiled.values.groupBy("cid").agg(*[e.alias(k) for k, e in aggregates.items()])
+    grouped = profiled.digests.groupBy("cid").agg(*[e.alias(k) for k, e in aggregates.items()])
     return _with_columns(profiled.columns, grouped)
 
 
@@ -177,14 +214,14 @@ def _with_columns(columns: DataFrame, grouped: DataFrame) -> DataFrame:
 _MAY_BE_NULL = {"num_min", "num_max", "plain_min", "plain_max", "plain_mean", "likert_min", "likert_max"}
 
 
-def _split_columns(spark, tables, address):
-    """Column list, and per storage family the cell frames of all tables."""
-    rows, families = [], {}
+def _split_columns(spark, tables, address) -> tuple[DataFrame, tuple[Source, ...]]:
+    """Column list, and the cells of every table."""
+    rows, sources = [], []
     for dataset_id, df in tables.items():
         parts = address.get(dataset_id, [])
         positions = {c: i for i, c in enumerate(df.columns)}
         df = compose_address(df, parts)
-        by_family: dict[str, list[tuple[int, Column]]] = {}
+        cells = []
         for field in df.schema.fields:
             kind = column_kind(field.dataType)
             cid = len(rows)
@@ -192,12 +229,33 @@ def _split_columns(spark, tables, address):
                 (cid, dataset_id, field.name, positions.get(field.name, len(positions)), kind,
                  field.dataType.simpleString(), parts if field.name == fixed.ADDRESS_COLUMN and parts else None)
             )
-            family, value = _cell_value(kind, F.col(f"`{field.name}`"))
-            by_family.setdefault(family, []).append((cid, value))
-        for family, cells in by_family.items():
-            structs = [F.struct(F.lit(cid).alias("cid"), value.alias("x")) for cid, value in cells]
-            families.setdefault(family, []).append(df.select(F.inline(F.array(*structs))))
-    return spark.createDataFrame(rows, COLUMNS_SCHEMA), families
+            cells.append((cid, *_cell_value(kind, F.col(f"`{field.name}`"))))
+        sources.append(Source(df, tuple(cells)))
+    return spark.createDataFrame(rows, COLUMNS_SCHEMA), tuple(sources)
+
+
+def _families(sources: Iterable[Source], cids: set[int] | None = None) -> dict[str, DataFrame]:
+    """Cells (cid, x) of each storage family, of all columns or the given ones."""
+    frames: dict[str, list[DataFrame]] = {}
+    for source in sources:
+        by_family: dict[str, list[Column]] = {}
+        for cid, family, value in source.cells:
+            if cids is None or cid in cids:
+                by_family.setdefault(family, []).append(F.struct(F.lit(cid).alias("cid"), value.alias("x")))
+        for family, structs in by_family.items():
+            frames.setdefault(family, []).append(source.table.select(F.inline(F.array(*structs))))
+    return {family: reduce(DataFrame.unionAll, parts) for family, parts in frames.items()}
+
+
+def _texts(family: str, cells: DataFrame) -> DataFrame:
+    """Distinct values of cells as texts with their counts."""
+    x = F.col("x")
+    if family == "binary":
+        cells = cells.select("cid", F.hex(x).alias("x"))
+    grouped = cells.groupBy("cid", "x").agg(F.count("*").alias("n"))
+    shown = grouped.select("cid", x.cast("string").alias("v"), "n")
+    size = F.length("v") / 2 if family == "binary" else F.length("v")
+    return shown.select("cid", "v", "n", F.col("v").isNotNull().alias("present"), size.cast("int").alias("size"))
 
 
 def _cell_value(kind: str, column: Column) -> tuple[str, Column]:
@@ -228,7 +286,7 @@ def _features(family: str, strict_numeric: bool, wanted: frozenset[str] | None =
         number = x.cast("double")
         return {
             "size": F.length(x.cast("string")), "num": number, "plain": number, "coord": number,
-            "flags": _mask({**_number_flags(number), **_range_flags(number), **_word_flags(x.cast("string"))}, wanted),
+            "flags": _mask({**_number_flags(number), **_range_flags(number), **_printed_flags(family, x)}, wanted),
         }
     if family == "time":
         flags = {
@@ -253,18 +311,27 @@ def _features(family: str, strict_numeric: bool, wanted: frozenset[str] | None =
     }
 
 
+def _printed_flags(family: str, x: Column) -> dict[str, Column]:
+    """What :func:`_word_flags` says of a printed number, which has no letters but those of infinity."""
+    digits = [int(w) for w in fixed.BOOLEAN_WORDS if w.isdigit()]
+    return {"boolean_word": x.isin(*digits) if family == "integer" else F.lit(False), "country_no": x.isNotNull()}
+
+
 def _word_flags(x: Column) -> dict[str, Column]:
     bare = text.strip(x)
     word = F.lower(bare)
-    token = text.country_token(bare)
     # a keyword that holds another one adds nothing
     keywords = [k for k in fixed.LIKERT_KEYWORDS if not any(o != k and o in k for o in fixed.LIKERT_KEYWORDS)]
+    # every letter or digit stays in the token, so a text with more of them than the longest alias is none
+    most = max(len(t.replace("_", "")) for t in fixed.COUNTRY_VALUE_TOKENS)
+    few = bare.rlike(f"^(?:[^A-Za-z0-9]*+[A-Za-z0-9]){{0,{most}}}+[^A-Za-z0-9]*+$")
+    token = text.country_token(F.when(few, bare))
     alias = token.isin(*fixed.COUNTRY_VALUE_TOKENS)
     return {
         "boolean_word": word.isin(*fixed.BOOLEAN_WORDS),
         "likert_word": reduce(lambda a, b: a | b, [F.contains(word, F.lit(k)) for k in keywords]),
-        "country_yes": alias,
-        "country_no": ~alias & (token != ""),
+        "country_yes": few & alias,
+        "country_no": ~few | (~alias & (token != "")),
     }
 
 
@@ -309,18 +376,23 @@ def _mask(flags: dict[str, Column], wanted: frozenset[str] | None) -> Column:
 
 
 def _frequencies(family: str, cells: DataFrame, strict_numeric: bool, wanted: frozenset[str] | None) -> DataFrame:
-    """Distinct values of each column with their count and features; values are whole, whatever their length."""
-    x = F.col("x")
+    """Features and count of each distinct value of a column, without the value."""
+    x, num = F.col("x"), F.col("num")
     features = _features(family, strict_numeric, wanted)
     if family in ("text", "binary"):
-        keyed = cells.select("cid", (F.hex(x) if family == "binary" else x).alias("v"))
-        # the features come after the grouping, a projection before it would be copied into every table's branch
-        grouped = keyed.groupBy("cid", "v").agg(F.count("*").alias("n")).withColumn("x", F.unhex("v") if family == "binary" else F.col("v"))
-    else:
-        grouped = cells.groupBy("cid", "x").agg(F.count("*").alias("n")).withColumn("v", x.cast("string"))
-    return grouped.select(
-        "cid", "v", "n", F.col("v").isNotNull().alias("present"), *[e.alias(k) for k, e in features.items()]
-    )
+        fits = x.isNull() if family == "binary" else x.isNull() | (F.octet_length(x) <= KEY_BYTES)
+        short = cells.where(fits).groupBy("cid", "x").agg(F.count("*").alias("n"))
+        short = short.select("cid", "n", x.isNotNull().alias("present"), *[e.alias(k) for k, e in features.items()])
+        # equal values have equal features, so any of them will do; as aggregates they stay above the union of the tables
+        digest = [F.xxhash64(F.lit(i), x).alias(f"digest{i}") for i in range(2)]
+        outcomes = [F.max(e).alias(k) for k, e in features.items()]
+        long = cells.where(~fits).groupBy("cid", *digest).agg(F.count("*").alias("n"), *outcomes)
+        found = short.unionByName(long.select("cid", "n", F.lit(True).alias("present"), *features))
+        return found.withColumn("num_key", num)
+    grouped = cells.groupBy("cid", "x").agg(F.count("*").alias("n"))
+    rows = grouped.select("cid", "n", x.isNotNull().alias("present"), *[e.alias(k) for k, e in features.items()])
+    # whole numbers can share a double
+    return rows.withColumn("num_key", F.when(F.lit(family == "integer") & (F.abs("num") >= _EXACT), num))
 
 
 @lru_cache(maxsize=1)

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from colonnade.functions import fixed
 from colonnade.operators import catalog as entries
 from colonnade.operators import lookups, reference
-from colonnade.operators.profile import Profiled, address_columns, profile_tables
-from colonnade.plans.classify import attribute_categories, classify_annotated, classify_columns
+from colonnade.operators.profile import address_columns, profile_tables
+from colonnade.plans.classify import attribute_categories, classify_annotated, classify_columns, detected_profile
 from colonnade.plans.dataset import dataset_records
 from colonnade.session import stage
 from colonnade.sources import lake, readers, sinks
@@ -51,16 +51,16 @@ def describe_tables(
     if annotations is not None:
         address = _annotated_parts(spark, address, annotations)
     profiled = profile_tables(spark, tables, address=address, strict_numeric=strict_numeric)
-    profiled = Profiled(profiled.columns, stage(profiled.values, "values"))
+    profile = detected_profile(profiled, iso_dates=iso_dates)
     mixed = None
     if annotations is None:
-        attributes = classify_columns(profiled, keys, guard=guard, iso_dates=iso_dates)
+        attributes = classify_columns(profiled, keys, guard=guard, profile=profile)
     else:
-        attributes, mixed = classify_annotated(profiled, annotations, keys, guard=guard, iso_dates=iso_dates)
+        attributes, mixed = classify_annotated(profiled, annotations, keys, guard=guard, profile=profile)
     attributes = stage(attributes, "attributes")
     records, scopes = dataset_records(
         spark, tables, profiled, attributes, files, keys, mixed=mixed, hierarchy=hierarchy, theme_nodes=theme_nodes,
-        categories=attribute_categories(attributes, profiled), root=root,
+        categories=attribute_categories(attributes, profiled), root=root, profile=profile,
     )
     return Described(records, attributes, scopes)
 

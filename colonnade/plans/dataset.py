@@ -14,7 +14,7 @@ from colonnade.functions.periods import file_name_periods
 from colonnade.operators import hierarchy as rollups
 from colonnade.operators import spatial
 from colonnade.operators.lookups import free_name
-from colonnade.operators.profile import Profiled
+from colonnade.operators.profile import Profiled, column_profile
 from colonnade.operators.reference import file_name_levels
 from colonnade.operators.temporal import mixed_period_ranges
 from colonnade.session import stage
@@ -96,7 +96,7 @@ def spatial_scope(
         F.col("scope_values").isNull() & F.col("mixed_levels").isNull() & ~F.col("granularity").isin(*_NO_VALUES)
     ).select("dataset_id", "cid", F.col("scope_level").alias("level"))
     plain = spatial.scope_values(
-        profiled.values.where("present").select("cid", "v").join(labelled, "cid"), ["dataset_id", "level"]
+        profiled.texts_of(labelled).where("present").select("cid", "v").join(labelled, "cid"), ["dataset_id", "level"]
     )
     parts = [given, plain]
     if mixed is not None:
@@ -131,9 +131,8 @@ def temporal_scope(attributes: DataFrame, profiled: Profiled, scope_levels: Data
         scope_levels.select("dataset_id", F.col("level").alias("granularity")), ["dataset_id", "granularity"]
     )
     named = wanted.select("dataset_id", "cid", F.col("columns")[0].alias("column"), "granularity", "scope_values")
-    from_data = profiled.values.where("present").select("cid", F.col("v").alias("token")).join(
-        named.where("scope_values IS NULL").drop("scope_values"), "cid"
-    )
+    read = named.where("scope_values IS NULL").drop("scope_values")
+    from_data = profiled.texts_of(read).where("present").select("cid", F.col("v").alias("token")).join(read, "cid")
     given = named.where("scope_values IS NOT NULL").select(
         "dataset_id", "column", "granularity", F.explode("scope_values").alias("token")
     )
@@ -154,11 +153,12 @@ def dataset_records(
     theme_nodes: DataFrame | None = None,
     categories: DataFrame | None = None,
     root: str = fixed.RAW_ZONE_ROOT,
+    profile: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Records and scope rows: (one nested row per dataset, one row per scope value or period range).
 
     ``files`` describes the datasets: dataset_id, title and optionally fileType, dataFormat, fileSizeBytes and the
-    source fields.  The scope rows are complete, and a record repeats the distinct values of each of its levels.
+    source fields.  The scope rows hold all values; a record names its levels and how many values each has.
     """
     hierarchy = rollups.hierarchy_table(spark) if hierarchy is None else hierarchy
     named = file_name_attributes(files.select("dataset_id", "title"), attributes, hierarchy, keys)
@@ -207,9 +207,10 @@ def dataset_records(
         F.sum(F.coalesce(F.size("address_parts"), F.lit(0))).alias("part_columns"),
     )
     first_column = profiled.columns.groupBy("dataset_id").agg(F.min("cid").alias("cid"))
-    rows = first_column.join(
-        profiled.values.groupBy("cid").agg(F.sum("n").alias("nRows")), "cid", "left"
-    ).select("dataset_id", F.coalesce("nRows", F.lit(0)).alias("nRows"))
+    profile = column_profile(profiled, ()) if profile is None else profile
+    rows = first_column.join(profile.select("cid", F.col("n_rows").alias("nRows")), "cid", "left").select(
+        "dataset_id", F.coalesce("nRows", F.lit(0)).alias("nRows")
+    )
 
     record = files
     for part in (space_gran, time_gran, _nested_scopes(scopes, "spatial"), _nested_scopes(scopes, "temporal"),
@@ -226,15 +227,7 @@ def dataset_records(
 
 
 def _nested_scopes(scopes: DataFrame, dim: str) -> DataFrame:
-    """Scope levels of each dataset as an array, with all their distinct values."""
-    of_dim = scopes.where(F.col("dim") == dim)
-    if dim == "spatial":
-        item, name, level = F.col("value"), "spatialScope", "spatialScopeLevel"
-    else:
-        item = F.struct(F.col("value").alias("startTime"), F.col("end_value").alias("endTime"))
-        name, level = "timePeriods", "temporalScopeLevel"
-    lists = of_dim.groupBy("dataset_id", "level").agg(F.count("*").alias("nValues"), F.sort_array(F.collect_list(item)).alias(name))
-    return (
-        lists.groupBy("dataset_id")
-        .agg(F.sort_array(F.collect_list(F.struct(F.col("level").alias(level), "nValues", name))).alias(f"{dim}Scope"))
-    )
+    """Scope levels of each dataset with the number of their distinct values; the values are rows of ``scopes``."""
+    counted = scopes.where(F.col("dim") == dim).groupBy("dataset_id", "level").agg(F.count("*").alias("nValues"))
+    level = F.struct(F.col("level").alias(f"{dim}ScopeLevel"), "nValues")
+    return counted.groupBy("dataset_id").agg(F.sort_array(F.collect_list(level)).alias(f"{dim}Scope"))

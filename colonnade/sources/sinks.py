@@ -14,8 +14,8 @@ METADATA_SCHEMA = (
     "title string, description string, dataFormat string, fileType string, rawzonePath string, fileSizeBytes long, "
     "fileSizeHuman string, nRows long, nCols int, nRecords long, nFeatures long, uncompressedSizeBytes long, "
     "updateFrequency string, sourceName string, sourceType string, sourceAddress string, spatialGranularity string, "
-    "spatialScope array<struct<spatialScopeLevel:string,spatialScope:array<string>>>, temporalGranularity string, "
-    "temporalScope array<struct<temporalScopeLevel:string,timePeriods:array<struct<startTime:string,endTime:string>>>>, "
+    "spatialScope array<struct<spatialScopeLevel:string,nValues:long>>, temporalGranularity string, "
+    "temporalScope array<struct<temporalScopeLevel:string,nValues:long>>, "
     "themes array<struct<themeName:string,themeDescription:string>>, "
     "attributes array<struct<dataName:string,dataDescription:string,dataType:string,spatialLevel:string,"
     "temporalLevel:string,granularity:string,related_parameter:string,indicatorType:string,"

@@ -106,11 +106,14 @@ def test_catalog_twice(spark, folder):
     assert set(rows) == {"villes_2021.csv", "x_data.csv", "dep_75_mesures.csv", "points.geojson"}
     villes = rows["villes_2021.csv"]
     assert (villes["spatialGranularity"], villes["temporalGranularity"], villes["nRows"], villes["nCols"]) == ("departement", "year", 40, 3)
-    assert villes["temporalScope"][0]["timePeriods"][0].asDict() == {"startTime": "2021", "endTime": "2021"}
+    scopes = {title: [(r["dim"], r["level"], r["value"], r["end_value"]) for r in spark.read.parquet(out + "/scopes").where(F.col("dataset_id") == row["id"]).collect()] for title, row in rows.items()}
+    assert [t.asDict() for t in villes["temporalScope"]] == [{"temporalScopeLevel": "year", "nValues": 1}]
+    assert ("temporal", "year", "2021", "2021") in scopes["villes_2021.csv"]
     assert len(villes["id"]) == 16
-    assert rows["dep_75_mesures.csv"]["spatialScope"][0].asDict() == {"spatialScopeLevel": "departement", "nValues": 1, "spatialScope": ["75"]}
+    assert rows["dep_75_mesures.csv"]["spatialScope"][0].asDict() == {"spatialScopeLevel": "departement", "nValues": 1}
+    assert scopes["dep_75_mesures.csv"] == [("spatial", "departement", "75", None)]
     assert rows["points.geojson"]["spatialGranularity"] == "geometry" and rows["points.geojson"]["nFeatures"] == 1
-    assert rows["points.geojson"]["spatialScope"][0]["spatialScope"] == ["POINT (1.5 2.0)"]
+    assert scopes["points.geojson"] == [("spatial", "geometry_extent", "POINT (1.5 2.0)", None)]
     enriched = spark.read.option("header", True).csv(rows["x_data.csv"]["rawzonePath"])
     assert sorted(map(tuple, enriched.collect())) == [("1", "3", "PARIS"), ("2", "4", "AIN")]
     # nothing changed, so nothing is described again

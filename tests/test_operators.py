@@ -264,3 +264,36 @@ def test_catalog_upsert_is_idempotent_and_latest_wins(spark):
 def test_values_are_profiled_once(spark):
     p = profile_tables(spark, {"t": table(spark, ["a", "a", "b", None])})
     assert isinstance(p, Profiled) and sorted((r["v"] or "", r["n"]) for r in p.values.collect()) == [("", 1), ("a", 2), ("b", 1)]
+
+
+def test_profile_shuffles_no_long_texts(spark):
+    """Cells of 1 MB are counted by digest; texts are read back for the columns asked for only."""
+    cell = F.concat(F.repeat(F.lit("ab c"), 1 << 18), F.pmod("id", F.lit(3)).cast("string"))
+    rows = spark.range(24).repartition(6).select(cell.alias("body"), F.concat(F.lit("k"), F.pmod("id", F.lit(2))).alias("label"), cell.cast("binary").alias("raw"))
+    p = profile_tables(spark, {"t": rows})
+    assert not [f for f in p.digests.schema.fields if f.dataType.simpleString() in ("string", "binary")]
+    plan = p.digests.where("n > 0")._jdf.queryExecution().executedPlan().toString()
+    keys = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(keys) == 4 and all(line.count("_groupingexpression") == 2 and " x#" not in line for line in keys[1::2])
+    found = {r["column"]: r for r in column_profile(p).collect()}
+    assert [(found[c]["n_rows"], found[c]["nunique"], found[c]["avg_len"]) for c in ("body", "label", "raw")] == [(24, 3, (1 << 20) + 1), (24, 2, 2), (24, 3, (1 << 20) + 1)]
+    assert found["body"]["country_no"] == 24 and found["body"]["country_yes"] == 0
+    wanted = p.columns.where("column = 'label'")
+    assert sorted((r["v"], r["n"]) for r in p.texts_of(wanted).collect()) == [("k0", 12), ("k1", 12)]
+    assert p.texts_of(wanted.where("false")).count() == 0
+    scan = p.texts_of(wanted)._jdf.queryExecution().optimizedPlan().toString()
+    assert "repeat" not in scan.lower()
+
+
+def test_country_words_among_separators(spark):
+    rows = ["France", " - fr. ", "…/" * 60 + "FRA" + " " * 80, "République  Française", "." * 90, "", "x" * 70, "fr " * 30, "république", "é" * 30]
+    found = by_dataset(column_profile(profile_tables(spark, {str(i): table(spark, [v]) for i, v in enumerate(rows)})), "country_yes", "country_no")
+    assert [found[str(i)] for i in range(len(rows))] == [(1, 0)] * 4 + [(0, 0)] * 2 + [(0, 1)] * 4
+    numbers = by_dataset(column_profile(profile_tables(spark, {"i": table(spark, [1, 0, 7], "long"), "d": table(spark, [1.0, float("inf"), None], "double")})), "boolean_word", "country_no")
+    assert numbers == {"i": (2, 3), "d": (0, 2)}
+
+
+def test_distinct_numbers_beyond_the_exact_ones(spark):
+    big = 1 << 53
+    found = by_dataset(column_profile(profile_tables(spark, {"t": table(spark, [5, 5, big, big + 1, -big, 7], "long"), "s": table(spark, ["5", "5,0", "x"])})), "num_nunique", "nunique")
+    assert found == {"t": (4, 5), "s": (1, 3)}

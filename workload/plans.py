@@ -9,7 +9,6 @@ from colonnade.operators import lookups, reference
 from colonnade.operators.profile import Profiled, address_columns, profile_tables
 from colonnade.plans import classify
 from colonnade.plans.catalog import Described, describe_tables
-from colonnade.session import stage
 from workload.profiling import CUSTOMER, LINEITEM, ORDERS, PART, TEXT_COLUMNS, _number_sql, _union
 from workload.tables import load, load_all, reference_lists
 
@@ -17,8 +16,7 @@ _CLASSIFIED = {"lineitem": LINEITEM, "part": PART, "orders": (*ORDERS, "o_orderd
 
 
 def _profiled(spark: SparkSession, tables: dict[str, DataFrame]) -> Profiled:
-    profiled = profile_tables(spark, tables, address=address_columns(spark, tables))
-    return Profiled(profiled.columns, stage(profiled.values, "values"))
+    return profile_tables(spark, tables, address=address_columns(spark, tables))
 
 
 def _keys(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -165,7 +165,7 @@ def nominal_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     profiled = profile_tables(spark, tables, measures=["sum_len"])
     profile = column_profile(profiled, ["sum_len"]).withColumn("is_nominal", detect.is_nominal())
     wanted = profile.where("is_nominal").select("cid", F.lit(False).alias("lowered"), F.lit(20).alias("k"))
-    samples = detect.category_samples(profiled.values, wanted)
+    samples = detect.category_samples(profiled.texts_of(wanted), wanted)
     return profile.join(samples, "cid", "left").select(
         "column", "nunique", "is_nominal", F.round("avg_len", 4).alias("avg_len"),
         F.array_join("categories_sample", "|").alias("categories"),
