@@ -41,6 +41,15 @@ def is_wkb_text(text: Column) -> Column:
     )
 
 
+def wkb_bytes(text: Column) -> Column:
+    """Bytes of a well-known binary geometry written as hex digits, escapes, or one character for each byte."""
+    return (
+        F.when(text.rlike("^[0-9A-Fa-f]+$"), F.try_to_binary(text, F.lit("hex")))
+        .when(text.startswith("\\x"), F.try_to_binary(F.replace(text, F.lit("\\x"), F.lit("")), F.lit("hex")))
+        .otherwise(F.encode(text, "ISO-8859-1"))
+    )
+
+
 def is_geometry_text(text: Column) -> Column:
     """WKT, GeoJSON or well-known binary written as text."""
     bare = strip(text)

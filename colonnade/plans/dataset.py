@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colonnade.functions import fixed
+from colonnade.functions.geometry import point_wkt
 from colonnade.functions.numbers import human_size
 from colonnade.functions.periods import file_name_periods
 from colonnade.operators import hierarchy as rollups
@@ -17,6 +18,7 @@ from colonnade.operators.lookups import free_name
 from colonnade.operators.profile import Profiled, column_profile
 from colonnade.operators.reference import file_name_levels
 from colonnade.operators.temporal import mixed_period_ranges
+from colonnade.operators.vertices import geometry_vertices, holds_geometries
 from colonnade.session import stage
 
 _NO_VALUES = {"geometry", "geopoint", "latlon_pair"}
@@ -108,21 +110,31 @@ def spatial_scope(
 
 
 def coordinate_extents(tables: Mapping[str, DataFrame], attributes: DataFrame, scope_levels: DataFrame) -> DataFrame | None:
-    """Distinct points of the coordinate columns in scope: (dataset_id, x, y); None when no dataset has any."""
+    """Extents of the coordinate columns in scope: (dataset_id, value) as WKT; None when no dataset has any.
+
+    Points are a row each.  Columns of lines and areas, in whatever form, give the envelope of all their vertices.
+    """
     kinds = dict.fromkeys(("geometry", "latlon_pair"))
     wanted = (
         attributes.where((F.col("role") == "spatial") & F.col("granularity").isin(*kinds) & F.col("cid").isNotNull())
         .join(scope_levels.select("dataset_id", F.col("level").alias("granularity")), ["dataset_id", "granularity"])
         .select("dataset_id", "granularity", "columns")
     )
-    points = []
+    points, shapes = [], []
     for row in wanted.toLocalIterator():  # one row per coordinate attribute: names, not data
         df = tables[row["dataset_id"]].withColumn("dataset_id", F.lit(row["dataset_id"]))
         if row["granularity"] == "latlon_pair":
             points.append(spatial.coordinate_points(df, ["dataset_id"], *row["columns"]))
-        elif "coordinates" in getattr(df.schema[row["columns"][0]].dataType, "names", []):
-            points.append(spatial.geometry_points(df, ["dataset_id"], row["columns"][0]))
-    return reduce(DataFrame.unionByName, points).distinct() if points else None
+        elif holds_geometries(df.schema[row["columns"][0]].dataType):
+            found = geometry_vertices(df, ["dataset_id"], row["columns"][0])
+            points.append(found.where("is_point").select("dataset_id", "x", "y"))
+            shapes.append(found.where("NOT is_point"))
+    if not points:
+        return None
+    single = reduce(DataFrame.unionByName, points).distinct().select("dataset_id", point_wkt(F.col("x"), F.col("y")).alias("value"))
+    if not shapes:
+        return single
+    return single.unionByName(spatial.envelope(reduce(DataFrame.unionByName, shapes), ["dataset_id"]).select("dataset_id", F.col("wkt").alias("value")))
 
 
 def temporal_scope(attributes: DataFrame, profiled: Profiled, scope_levels: DataFrame) -> DataFrame:
@@ -172,8 +184,7 @@ def dataset_records(
     values = spatial_scope(attributes, profiled, mixed, space_scope)
     points = coordinate_extents(tables, attributes, space_scope)
     if points is not None:
-        shown = F.concat_ws(" ", F.lit("POINT"), F.concat(F.lit("("), F.col("x").cast("string"), F.lit(" "), F.col("y").cast("string"), F.lit(")")))
-        values = values.unionByName(points.select("dataset_id", F.lit("geometry_extent").alias("level"), shown.alias("value")))
+        values = values.unionByName(points.select("dataset_id", F.lit("geometry_extent").alias("level"), "value"))
     ranges = temporal_scope(attributes, profiled, time_scope)
     scopes = values.select(
         "dataset_id", F.lit("spatial").alias("dim"), "level", "value", F.lit(None).cast("string").alias("end_value")

@@ -111,13 +111,36 @@ def read_json(spark: SparkSession, path: str) -> DataFrame:
     if "type" in raw.columns and {"features", "geometry", "coordinates"} & set(raw.columns):
         head = raw.select("type").first()
         if head and head[0] in fixed.GEOJSON_TYPES:
-            return geojson_features(raw)
+            return geojson_features(_with_any_geometry(spark, path, raw, not by_line))
     return flatten(raw)
 
 
 def read_geojson(spark: SparkSession, path: str) -> DataFrame:
     """GeoJSON: one row per feature, its properties as columns next to the geometry."""
-    return geojson_features(spark.read.option("multiLine", True).json(path))
+    return geojson_features(_with_any_geometry(spark, path, spark.read.option("multiLine", True).json(path)))
+
+
+def _with_any_geometry(spark: SparkSession, path: str, raw: DataFrame, multi_line: bool = True) -> DataFrame:
+    """The same file with coordinates of different depths as variants; plain inference would print them as text."""
+
+    def mixes(kind: T.DataType) -> bool:
+        return mixes(kind.elementType) if isinstance(kind, T.ArrayType) else not isinstance(kind, T.NumericType)
+
+    def loosened(kind: T.DataType) -> T.DataType:
+        if isinstance(kind, T.ArrayType):
+            return T.ArrayType(loosened(kind.elementType))
+        if not isinstance(kind, T.StructType):
+            return kind
+        if "type" in kind.names and {"coordinates", "geometries"} & set(kind.names) and "features" not in kind.names:
+            named = {f.name: f for f in kind.fields}
+            if "geometries" in named or mixes(named["coordinates"].dataType):
+                fields = [f for f in kind.fields if f.name not in ("coordinates", "geometries")]
+                open_ = [T.StructField(n, T.VariantType()) for n in ("coordinates", *(("geometries",) if "geometries" in named else ()))]
+                return T.StructType([*fields, *open_])
+        return T.StructType([f if f.name == "properties" else T.StructField(f.name, loosened(f.dataType)) for f in kind.fields])
+
+    schema = loosened(raw.schema)
+    return raw if schema == raw.schema else spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
 def geojson_features(raw: DataFrame) -> DataFrame:
@@ -127,7 +150,7 @@ def geojson_features(raw: DataFrame) -> DataFrame:
     if "geometry" in raw.columns:
         has_properties = isinstance(raw.schema["properties"].dataType, T.StructType) if "properties" in raw.columns else False
         return flatten_properties(raw) if has_properties else raw.select("geometry")
-    return raw.select(F.struct("type", "coordinates").alias("geometry"))
+    return raw.select(F.struct("type", *[c for c in ("coordinates", "geometries") if c in raw.columns]).alias("geometry"))
 
 
 def flatten_properties(features: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """Sources, sinks, the catalog of a lake and its incremental stream."""
 
+import collections
 import json
 import os
 
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from colonnade.operators import catalog as entries
-from colonnade.operators import reference
+from colonnade.operators import reference, vertices
 from colonnade.plans.catalog import build_catalog, describe_tables
 from colonnade.sources import lake, readers, sinks
 from colonnade.streaming.incremental import watch
@@ -172,3 +173,38 @@ def test_annotated_description(spark):
     assert (record["spatialGranularity"], record["temporalGranularity"], record["nCols"]) == ("address", "month", 6)
     scope = {(r["dim"], r["level"]): (r["value"], r["end_value"]) for r in described.scopes.collect()}
     assert scope == {("spatial", "departement"): ("75", None), ("temporal", "month"): ("2021-01", "2021-03")}
+
+
+def test_geojson_of_mixed_geometries(spark, folder):
+    shapes = [("Point", [1.5, 2]), ("LineString", [[0, 0], [3, 4.25]]), ("Polygon", [[[5, 5], [9, 5], [9, 8], [5, 5]]]), ("MultiPolygon", [[[[10, 1]]], [[[11, -2]]]]), ("MultiPoint", [[7, 7]])]
+    features = [{"type": "Feature", "properties": {"n": i, "t": "x"}, "geometry": {"type": t, "coordinates": c}} for i, (t, c) in enumerate(shapes)]
+    features.append({"type": "Feature", "properties": {"n": 5, "t": "c"}, "geometry": {"type": "GeometryCollection", "geometries": [{"type": "Point", "coordinates": [20, 20]}, {"type": "LineString", "coordinates": [[21, 21]]}]}})
+    features.append({"type": "Feature", "properties": {"n": 6, "t": None}, "geometry": None})
+    text = json.dumps({"type": "FeatureCollection", "features": features})
+    for path in (write(folder, "mixed.geojson", text), write(folder, "mixed.json", text)):
+        table = readers.read_table(spark, path)
+        assert table.columns == ["n", "t", "geometry"] and [tuple(r) for r in table.select("n", "t").collect()] == [(f["properties"]["n"], f["properties"]["t"]) for f in features]
+        found = vertices.geometry_vertices(table, ["n"], "geometry")
+        assert dict(found.dtypes)["x"] == "double"
+        assert sorted(tuple(r) for r in found.collect()) == [
+            (0, True, 1.5, 2.0), (1, False, 0.0, 0.0), (1, False, 3.0, 4.25), (2, False, 5.0, 5.0), (2, False, 5.0, 5.0), (2, False, 9.0, 5.0), (2, False, 9.0, 8.0),
+            (3, False, 10.0, 1.0), (3, False, 11.0, -2.0), (4, True, 7.0, 7.0), (5, False, 20.0, 20.0), (5, False, 21.0, 21.0)]
+    even = readers.read_table(spark, write(folder, "even.geojson", json.dumps({"type": "FeatureCollection", "features": features[1:2]})))
+    assert even.schema["geometry"].dataType["coordinates"].dataType.simpleString() == "array<array<double>>"
+    assert sorted((r.x, r.y) for r in vertices.geometry_vertices(even, ["n"], "geometry").collect()) == [(0, 0), (3, 4.25)]
+
+
+def test_extents_of_geometry_texts(spark, folder):
+    lines = ["id;geometry"] + [f'{i};"POLYGON (({i} 0, {i + 1} 0, {i} {i + 2}, {i} 0))"' for i in range(6)]
+    write(folder, "lake/zones.csv", "\n".join(lines) + "\n")
+    write(folder, "lake/mixed.geojson", json.dumps({"type": "FeatureCollection", "features": [
+        {"type": "Feature", "properties": {"n": 1}, "geometry": {"type": "Point", "coordinates": [1.5, 2]}},
+        {"type": "Feature", "properties": {"n": 2}, "geometry": {"type": "Polygon", "coordinates": [[[5, 5], [9, 5], [9, 8], [5, 5]]]}}]}))
+    out = folder + "/out"
+    assert build_catalog(spark, folder + "/lake", out, references(spark)).count() == 0
+    rows = {r["title"]: r["id"] for r in sinks.read_catalog(spark, out + "/catalog").collect()}
+    found = collections.defaultdict(list)
+    for r in spark.read.parquet(out + "/scopes").where("level = 'geometry_extent'").collect():
+        found[r["dataset_id"]].append(r["value"])
+    assert found[rows["zones.csv"]] == ["POLYGON ((0.0 0.0, 6.0 0.0, 6.0 7.0, 0.0 7.0, 0.0 0.0))"]
+    assert sorted(found[rows["mixed.geojson"]]) == ["POINT (1.5 2.0)", "POLYGON ((5.0 5.0, 9.0 5.0, 9.0 8.0, 5.0 8.0, 5.0 5.0))"]

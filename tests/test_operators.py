@@ -1,11 +1,12 @@
 """Operators at their thresholds, and against brute force."""
 
+import collections
 import itertools
 import random
 
 from pyspark.sql import functions as F
 
-from colonnade.operators import annotations, catalog, detect, hierarchy, lookups, reference, sheets, spatial, temporal
+from colonnade.operators import annotations, catalog, detect, hierarchy, lookups, reference, sheets, spatial, temporal, vertices
 from colonnade.operators.profile import Profiled, address_columns, column_profile, compose_address, profile_tables, scan_tables
 
 
@@ -297,3 +298,56 @@ def test_distinct_numbers_beyond_the_exact_ones(spark):
     big = 1 << 53
     found = by_dataset(column_profile(profile_tables(spark, {"t": table(spark, [5, 5, big, big + 1, -big, 7], "long"), "s": table(spark, ["5", "5,0", "x"])})), "num_nunique", "nunique")
     assert found == {"t": (4, 5), "s": (1, 3)}
+
+
+def wkb(kind, *parts, order="<", flags=0, srid=None, vertex=None):
+    """Well-known binary; ``parts`` are vertices, rings or members, as the type needs."""
+    import struct
+
+    head = struct.pack(order + "BI", order == "<", kind | flags | (0x20000000 if srid else 0)) + (struct.pack(order + "I", srid) if srid else b"")
+    line = lambda points: struct.pack(order + "I", len(points)) + b"".join(struct.pack(f"{order}{len(p)}d", *p) for p in points)
+    base = kind % 1000
+    if base == 1:
+        return head + struct.pack(f"{order}{len(parts[0])}d", *parts[0])
+    if base == 2:
+        return head + line(parts)
+    if base == 3:
+        return head + struct.pack(order + "I", len(parts)) + b"".join(map(line, parts))
+    return head + struct.pack(order + "I", len(parts)) + b"".join(parts)
+
+
+WKB_CASES = [
+    (wkb(1, (1.0, 2.0)), True, [(1, 2)]), (wkb(1, (1.0, 2.0, 9.0), order=">", flags=0x80000000, srid=4326), True, [(1, 2)]),
+    (wkb(2, (0.0, 0.0), (3.0, 4.0)), False, [(0, 0), (3, 4)]), (wkb(3, [(0.0, 0.0), (5.0, 0.0), (0.0, 5.0), (0.0, 0.0)], [(1.0, 1.0)]), False, [(0, 0), (5, 0), (0, 5), (0, 0), (1, 1)]),
+    (wkb(4, wkb(1, (1.0, 1.0)), wkb(1, (2.0, 2.0), order=">")), True, [(1, 1), (2, 2)]), (wkb(3006, wkb(3003, [(7.0, 8.0, 0.0, 1.0)])), False, [(7, 8)]),
+    (wkb(7, wkb(1, (1.0, 1.0)), wkb(7, wkb(2, (2.0, 3.0)))), False, [(1, 1), (2, 3)]), (wkb(1, (float("nan"), float("nan"))), True, []),
+    (wkb(3, [(0.0, 0.0)] * 4)[:-3], False, []), (b"", False, []), (b"\x02abc", False, []), (wkb(5, b""), False, []), (b"\x01\x03\x00\x00\x00\xff\xff\xff\xff", False, []), (None, False, []),
+]
+
+
+def test_wkb_cursor():
+    for data, is_point, points in WKB_CASES:
+        kind, found = vertices.decode_wkb(data)
+        assert ([tuple(p) for p in found.tolist()] == points) and (kind == is_point or not points), data
+
+
+def test_vertices_of_every_form(spark):
+    texts = [
+        ("POINT (1 2)", True, [(1, 2)]), ("SRID=4326; point z(1.5e1 -2 7)", True, [(15, -2)]), ("MULTIPOINT ((1 2), (3 4))", True, [(1, 2), (3, 4)]),
+        ("LineString(0 0,1 .5 , 2 2.)", False, [(0, 0), (1, 0.5), (2, 2)]), ("POLYGON ((0 0, 4 0, 4 4, 0 0), (1 1, 2 1, 1 2, 1 1))", False, [(0, 0), (4, 0), (4, 4), (0, 0), (1, 1), (2, 1), (1, 2), (1, 1)]),
+        ("GEOMETRYCOLLECTION (POINT (5 6), LINESTRING (7 8, 9 9))", False, [(5, 6), (7, 8), (9, 9)]), ("POLYGON EMPTY", False, []), ("", False, []), ("none", False, []),
+        ('{"type":"Point","coordinates":[1,2,3]}', True, [(1, 2)]), ('{"type": "MultiPolygon", "coordinates": [[[[0,0],[1.5,0]]],[[[2,2]]]]}', False, [(0, 0), (1.5, 0), (2, 2)]),
+        ('{"type":"Feature","geometry":{"type":"LineString","coordinates":[[1,1],[2,2]]},"properties":{}}', False, [(1, 1), (2, 2)]),
+        ('{"type":"GeometryCollection","geometries":[{"type":"Point","coordinates":[3,3]},{"type":"Polygon","coordinates":[[[4,4]]]}]}', False, [(3, 3), (4, 4)]),
+        ('{"type":"Point","coordinates":["a"', False, []), ('{"type":"Point","coordinates":[1]}', True, []),
+        *[(data.hex(), k, p) for data, k, p in WKB_CASES[:7]], ("".join(f"\\x{b:02x}" for b in WKB_CASES[3][0]), False, WKB_CASES[3][2]), (WKB_CASES[2][0].decode("latin-1"), False, WKB_CASES[2][2]),
+    ]
+    rows = spark.createDataFrame([(i, t) for i, (t, *_) in enumerate(texts)] + [(99, None)], "k int, g string")
+    found = collections.defaultdict(list)
+    for r in vertices.geometry_vertices(rows, ["k"], "g").collect():
+        found[r.k].append((r.is_point, r.x, r.y))
+    for i, (t, is_point, points) in enumerate(texts):
+        assert sorted(found[i]) == sorted((is_point, float(x), float(y)) for x, y in points), t
+    assert 99 not in found
+    binary = spark.createDataFrame([(i, d) for i, (d, *_) in enumerate(WKB_CASES)], "k int, g binary")
+    assert sorted((r.k, r.x, r.y) for r in vertices.geometry_vertices(binary, ["k"], "g").collect()) == sorted((i, float(x), float(y)) for i, (_, _, ps) in enumerate(WKB_CASES) for x, y in ps)

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import struct
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colonnade.functions.numbers import human_size
 from colonnade.operators import annotations as notes
-from colonnade.operators import catalog, hierarchy, sheets, spatial
+from colonnade.operators import catalog, hierarchy, sheets, spatial, vertices
 from colonnade.operators.profile import profile_columns
 from colonnade.sources import readers
 from workload.tables import load
@@ -69,6 +74,46 @@ def extent_hull(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spatial.convex_hull(points, "c_mktsegment")
 
 
+_FORMS = ("wkt", "geojson", "wkb", "hex")
+
+
+def geometry_extents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes and vertex counts of a triangle at each customer's place, written as WKT, GeoJSON, binary and hex digits."""
+    places = load(spark, sf_dir, "customer").where("c_acctbal IS NOT NULL").select(
+        "c_nationkey", F.col("c_acctbal").cast("double").alias("x"), F.pmod("c_custkey", F.lit(180)).cast("double").alias("y")
+    )
+    corners = [("x", "y"), ("x + 1", "y"), ("x", "y + 0.5e0"), ("x", "y")]
+    pair = lambda a, b, sep: F.concat_ws(sep, F.expr(a).cast("string"), F.expr(b).cast("string"))
+    wkt = F.concat(F.lit("POLYGON (("), F.concat_ws(", ", *[pair(a, b, " ") for a, b in corners]), F.lit("))"))
+    ring = F.concat_ws(",", *[F.concat(F.lit("["), pair(a, b, ","), F.lit("]")) for a, b in corners])
+    geojson = F.concat(F.lit('{"type":"Polygon","coordinates":[['), ring, F.lit("]]}"))
+    texts = {"wkt": places.select("c_nationkey", wkt.alias("g")), "geojson": places.select("c_nationkey", geojson.alias("g"))}
+    flat = F.array(*[F.expr(e) for corner in corners for e in corner])
+    binary = places.select("c_nationkey", flat.alias("flat")).mapInArrow(_polygons, "c_nationkey long, g binary")
+    texts |= {"wkb": binary, "hex": binary.select("c_nationkey", F.hex("g").alias("g"))}
+    parts = []
+    for form in _FORMS:
+        found = vertices.geometry_vertices(texts[form], ["c_nationkey"], "g").where("NOT is_point")
+        counts = found.groupBy("c_nationkey").agg(F.count("*").alias("n_vertices"))
+        box = spatial.envelope(found, ["c_nationkey"]).join(counts, "c_nationkey").drop("wkt")
+        parts.append(box.select(F.lit(form).alias("form"), F.col("c_nationkey").cast("long"), "min_x", "min_y", "max_x", "max_y", "n_vertices"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _polygons(batches):
+    """Well-known binary of one ring of four vertices for each row."""
+    for batch in batches:
+        numbers = np.asarray(batch.column("flat").flatten(), dtype="<f8").reshape(len(batch), -1)
+        head = struct.pack("<BIII", 1, 3, 1, numbers.shape[1] // 2)
+        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([head + row.tobytes() for row in numbers], pa.binary())], ["c_nationkey", "g"])
+
+
+GEOMETRY_EXTENTS_SQL = """
+WITH p AS (SELECT CAST(c_nationkey AS BIGINT) AS c_nationkey, CAST(c_acctbal AS DOUBLE) AS x, CAST(c_custkey % 180 AS DOUBLE) AS y FROM customer WHERE c_acctbal IS NOT NULL)
+SELECT form, c_nationkey, min(x) AS min_x, min(y) AS min_y, max(x + 1) AS max_x, max(y + 0.5e0) AS max_y, 4 * count(*) AS n_vertices
+FROM p, unnest(['wkt', 'geojson', 'wkb', 'hex']) AS f(form) GROUP BY form, c_nationkey"""
+
+
 def scope_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = (("nation", "n_name"), ("part", "p_size"), ("part", "p_brand"), ("lineitem", "l_discount"), ("lineitem", "l_quantity"))
     parts = [load(spark, sf_dir, t).select(F.lit(c).alias("column"), F.col(c).cast("string").alias("v")) for t, c in columns]
@@ -393,6 +438,7 @@ PERF_SQL = """SELECT CAST(event_id AS VARCHAR) AS "datasetId", user_id AS "fileS
 
 QUERIES = {
     "coordinate_pairs": coordinate_pairs, "spatial_extent": spatial_extent, "extent_union": extent_union, "extent_hull": extent_hull,
+    "geometry_extents": geometry_extents,
     "scope_values": scope_values, "granularity_rollup": granularity_rollup, "scope_rollup": scope_rollup, "theme_set": theme_set,
     "theme_prefix": theme_prefix, "rawzone_path": rawzone_path, "annotation_validity": annotation_validity,
     "backbone_inherit": backbone_inherit, "sheet_header": sheet_header, "sheet_role": sheet_role, "json_flatten": json_flatten,
@@ -400,7 +446,7 @@ QUERIES = {
     "catalog_upsert": catalog_upsert, "pending_files": pending_files, "dataset_ids": dataset_ids, "perf_summary": perf_summary,
 }
 ORACLES = {
-    "coordinate_pairs": PAIRS_SQL, "spatial_extent": EXTENT_SQL, "extent_union": UNION_SQL, "scope_values": SCOPE_VALUES_SQL,
+    "coordinate_pairs": PAIRS_SQL, "spatial_extent": EXTENT_SQL, "extent_union": UNION_SQL, "geometry_extents": GEOMETRY_EXTENTS_SQL, "scope_values": SCOPE_VALUES_SQL,
     "granularity_rollup": GRANULARITY_SQL, "scope_rollup": SCOPE_SQL, "theme_set": THEME_SET_SQL, "theme_prefix": THEME_PREFIX_SQL,
     "rawzone_path": RAWZONE_SQL, "annotation_validity": VALIDITY_SQL, "backbone_inherit": BACKBONE_SQL, "sheet_header": SHEET_HEADER_SQL,
     "sheet_role": SHEET_ROLE_SQL, "json_flatten": JSON_SQL, "layer_union": LAYER_SQL, "dialect_sniff": DIALECT_SQL,
