@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import collections
+import csv
+import io
 import json
+import re
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
@@ -12,6 +16,7 @@ from pyspark.sql import types as T
 
 from colonnade.functions import fixed
 from colonnade.functions.text import _windows_table
+from colonnade.sources import records
 
 SEPARATORS = (";", ",", "\t", "|")
 _BAD_LINE = "_bad_line"
@@ -55,31 +60,89 @@ def file_encoding(spark: SparkSession, path: str) -> str:
 
 
 def read_delimited(spark: SparkSession, path: str, *, encoding: str | None = None, infer: bool = True) -> DataFrame:
-    """Delimited text: the first of ``; , tab |`` that splits the header, lines with too many fields left out.
+    """Delimited text: the first of ``; , tab |`` that splits the header, records with too many fields left out.
 
-    Windows-1252 is read as Latin-1 with the 0x80-0x9F range mapped, since Spark has no such decoder.
+    Quoted fields may hold separators and line breaks.  A quote that never closes is a character, and then every line is a
+    record.  Windows-1252 is read as Latin-1 with the 0x80-0x9F range mapped, since Spark has no such decoder.
     """
     encoding = encoding or file_encoding(spark, path)
     charset = "UTF-8" if encoding == "utf-8" else "ISO-8859-1"
-    first = spark.read.option("encoding", charset).text(path).limit(1).collect()
-    header = first[0][0] if first else ""
-    separator = next((s for s in SEPARATORS if s in header), None)
+    first = records.lines_of(spark, path, charset, "\n").limit(1).collect()
+    line = first[0][0] if first else ""
+    line_end = "\r" if "\r" in line.rstrip("\r") else "\n"
+    lines = records.lines_of(spark, path, charset, line_end)
+    header = line.split("\r")[0]
+    separator = _header_separator(header)
+    quoted = not lines.where(F.contains("value", F.lit('"'))).isEmpty()
+    blocks = records.scan_blocks(lines, separator or ",") if quoted else None
+    if blocks and blocks.crossing and blocks.closed:
+        return _in_windows_letters(_read_records(lines, separator, blocks, line_end, path, infer), encoding)
     if separator is None:
         raise UnreadableFile(f"{path}: no separator in the first line")
     options = {"sep": separator, "encoding": charset, "header": True, "escape": '"', "ignoreTrailingWhiteSpace": False}
     schema = spark.read.options(**options, inferSchema=infer).csv(path).schema
     read = spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD_LINE)
     table = read.schema(T.StructType([*schema.fields, T.StructField(_BAD_LINE, T.StringType())])).csv(path)
-    unquoted = F.regexp_replace(F.col(_BAD_LINE), r'"(?:[^"]|"")*"', "")
-    too_long = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(separator), F.lit(""))) >= len(schema.fields)
+    too_long = _separators(F.col(_BAD_LINE), separator) >= len(schema.fields)
     table = table.where(F.col(_BAD_LINE).isNull() | ~too_long).drop(_BAD_LINE)
-    if encoding != "utf-8":
-        source, target = _windows_table()
-        table = table.select(*[
-            F.translate(f"`{f.name}`", source, target).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
-            for f in table.schema.fields
-        ])
-    return table
+    return _in_windows_letters(table, encoding)
+
+
+def _header_separator(header: str) -> str | None:
+    """First separator that occurs outside quotes."""
+    bare = re.sub(records.QUOTED + '|".*', "", header)
+    return next((s for s in SEPARATORS if s in bare), None)
+
+
+def _separators(record: Column, separator: str) -> Column:
+    """Number of separators outside quotes."""
+    bare = F.regexp_replace(record, records.QUOTED, "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(separator), F.lit("")))
+
+
+def _read_records(lines: DataFrame, separator: str | None, blocks: records.Blocks, line_end: str, path: str, infer: bool) -> DataFrame:
+    """Table of records that hold line breaks."""
+    found = records.records(lines, separator or ",", blocks, line_end)
+    head = found.where("header").first()
+    header = head["record"].removeprefix("\ufeff").rstrip("\r") if head else ""
+    separator = separator or _header_separator(header)
+    if separator is None:
+        raise UnreadableFile(f"{path}: no separator in the first record")
+    names = next(csv.reader(io.StringIO(header, newline=""), delimiter=separator))
+    names = [n or f"_c{i}" for i, n in enumerate(names)]
+    seen = collections.Counter(n.lower() for n in names)
+    names = [f"{n}{i}" if seen[n.lower()] > 1 else n for i, n in enumerate(names)]
+    body = found.where("NOT header").select(F.rtrim("record", F.lit("\r")).alias("record")).where("trim(record) <> ''")
+    body = body.where(_separators(F.col("record"), separator) < len(names))
+    schema = ", ".join(f"c{i} string" for i in range(len(names)))
+    fields = F.from_csv("record", schema, {"sep": separator, "escape": '"', "ignoreTrailingWhiteSpace": "false"})
+    table = body.select(fields.alias("f")).select("f.*")
+    kinds = _inferred(table) if infer else {}
+    return table.select(*[F.col(f"c{i}").cast(kinds.get(f"c{i}", "string")).alias(n) for i, n in enumerate(names)])
+
+
+def _inferred(table: DataFrame) -> dict[str, str]:
+    """The first type that all values of a text column have; columns without values stay text."""
+    day, time = r"^\d{4}-\d{2}-\d{2}$", r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"
+    fits: dict[str, Callable[[Column], Column]] = {
+        "int": lambda c: c.try_cast("int").isNotNull(), "bigint": lambda c: c.try_cast("bigint").isNotNull(),
+        "double": lambda c: c.try_cast("double").isNotNull(), "date": lambda c: c.rlike(day) & c.try_cast("date").isNotNull(),
+        "timestamp": lambda c: c.rlike(time) & c.try_cast("timestamp").isNotNull(), "boolean": lambda c: F.lower(c).isin("true", "false"),
+    }
+    tests = [F.bool_and(F.when(F.col(c).isNotNull(), fit(F.col(c)))).alias(f"{c} {kind}") for c in table.columns for kind, fit in fits.items()]
+    found = table.agg(*tests).first()
+    return {c: kind for c in table.columns for kind in reversed(fits) if found[f"{c} {kind}"]}
+
+
+def _in_windows_letters(table: DataFrame, encoding: str) -> DataFrame:
+    """Latin-1 texts with the letters that Windows-1252 has in place of control characters."""
+    if encoding == "utf-8":
+        return table
+    source, target = _windows_table()
+    return table.select(*[
+        F.translate(f"`{f.name}`", source, target).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
+        for f in table.schema.fields
+    ])
 
 
 def flatten(df: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from colonnade.operators import catalog as entries
 from colonnade.operators import reference, vertices
 from colonnade.plans.catalog import build_catalog, describe_tables
 from colonnade.sources import lake, readers, sinks
+from colonnade.sources import records as quoting
 from colonnade.streaming.incremental import watch
 
 
@@ -208,3 +209,64 @@ def test_extents_of_geometry_texts(spark, folder):
         found[r["dataset_id"]].append(r["value"])
     assert found[rows["zones.csv"]] == ["POLYGON ((0.0 0.0, 6.0 0.0, 6.0 7.0, 0.0 7.0, 0.0 0.0))"]
     assert sorted(found[rows["mixed.geojson"]]) == ["POINT (1.5 2.0)", "POLYGON ((5.0 5.0, 9.0 5.0, 9.0 8.0, 5.0 8.0, 5.0 5.0))"]
+
+
+@pytest.mark.parametrize("separator", [",", ";"])
+def test_state_of_quotes(separator):
+    """Against a state machine over characters."""
+    import random
+
+    def after(line, inside):
+        start = not inside
+        i = 0
+        while i < len(line):
+            c = line[i]
+            if inside:
+                if c == '"' and line[i + 1 : i + 2] == '"':
+                    i += 1
+                elif c == '"':
+                    inside = False
+            elif c == '"' and start:
+                inside = True
+            start = not inside and c == separator
+            i += 1
+        return inside
+
+    r, quotes = random.Random(3), quoting.Quotes(separator)
+    for _ in range(3000):
+        line = "".join(r.choice(f'"{separator}ab') for _ in range(r.randint(0, 12)))
+        assert [quotes.after(line, s) for s in (False, True)] == [after(line, s) for s in (False, True)], line
+
+
+def test_delimited_records(spark, folder):
+    table = readers.read_delimited(spark, write(folder, "a.csv", '"x;y",b,d\r\n1,"one\r\ntwo ""q""",2021-01-02\r\n2,5" pipe,2021-01-03\r\n\r\n3,"a,\n\nb",2021-02-03\r\n4,z,2021-02-03,extra\r\n5,,\r\n'))
+    assert dict(table.dtypes) == {"x;y": "int", "b": "string", "d": "date"}
+    assert sorted((r[0], (r[1] or "").replace("\r", ""), str(r[2])) for r in table.collect()) == [(1, 'one\ntwo "q"', "2021-01-02"), (2, '5" pipe', "2021-01-03"), (3, "a,\n\nb", "2021-02-03"), (5, "", "None")]
+    head = readers.read_delimited(spark, write(folder, "b.csv", '"a;b",c\n1,2\n'))
+    assert head.columns == ["a;b", "c"] and [tuple(r) for r in head.collect()] == [(1, 2)]
+    broken = readers.read_delimited(spark, write(folder, "c.csv", '"first\nname";n;n\n"p\nq";1;2\n'))
+    assert broken.columns == ["first\nname", "n1", "n2"] and [tuple(r) for r in broken.collect()] == [("p\nq", 1, 2)]
+    never = readers.read_delimited(spark, write(folder, "d.csv", 'a,b\n1,"open\n2,x\n'))
+    assert sorted(r["a"] for r in never.collect()) == [1, 2]
+    old = readers.read_delimited(spark, write(folder, "e.csv", 'a;b\n1;"é€\nœ"\n'.encode("cp1252")))
+    assert [tuple(r) for r in old.collect()] == [(1, "é€\nœ")]
+
+
+@pytest.mark.parametrize("size,files", [("64", 1), ("700", 3), ("128m", 1)])
+def test_delimited_records_across_blocks(spark, folder, size, files):
+    """Quoted line breaks survive where files are split, also records longer than a block."""
+    texts = ["plain", 'say "no"', "a\nb", "\n", ",;", '"', "", None, "x\n" * 200, '"\n",\n', "é\n\nœ" * 9, "end"]
+    rows = spark.createDataFrame([(i, texts[i % len(texts)], float(i) / 4) for i in range(120)], "id int, t string, v double")
+    as_is = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.repartition(files).write.options(**as_is).csv(folder + "/out")
+    rows = rows.withColumn("t", F.nullif("t", F.lit("")))  # an empty field has no value
+    keys = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "1", "spark.sql.files.minPartitionNum": "1"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        read = readers.read_delimited(spark, folder + "/out")
+        assert read.schema == rows.schema and read.exceptAll(rows).count() == 0 and rows.exceptAll(read).count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

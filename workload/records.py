@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+import uuid
 from functools import reduce
 
 import numpy as np
@@ -14,6 +15,7 @@ from colonnade.functions.numbers import human_size
 from colonnade.operators import annotations as notes
 from colonnade.operators import catalog, hierarchy, sheets, spatial, vertices
 from colonnade.operators.profile import profile_columns
+from colonnade.session import shared_folder
 from colonnade.sources import readers
 from workload.tables import load
 
@@ -114,6 +116,20 @@ SELECT form, c_nationkey, min(x) AS min_x, min(y) AS min_y, max(x + 1) AS max_x,
 FROM p, unnest(['wkt', 'geojson', 'wkb', 'hex']) AS f(form) GROUP BY form, c_nationkey"""
 
 
+def delimited_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as delimited text, whose fields hold line breaks, separators and quotes, and read back."""
+    rows = load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    path = f"{shared_folder(spark).rstrip('/')}/delimited-{uuid.uuid4().hex}.csv"
+    options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.write.options(**options).csv(path)
+    read = readers.read_delimited(spark, path)
+    return read.select("doc_id", "lang", "source", "n_chars", F.length("text").cast("long").alias("length"), F.md5("text").alias("digest"))
+
+
+DELIMITED_RECORDS_SQL = """
+SELECT doc_id, nullif(lang, '') AS lang, nullif(source, '') AS source, n_chars, length(nullif(text, '')) AS length, md5(nullif(text, '')) AS digest FROM documents"""
+
+
 def scope_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = (("nation", "n_name"), ("part", "p_size"), ("part", "p_brand"), ("lineitem", "l_discount"), ("lineitem", "l_quantity"))
     parts = [load(spark, sf_dir, t).select(F.lit(c).alias("column"), F.col(c).cast("string").alias("v")) for t, c in columns]
@@ -438,7 +454,7 @@ PERF_SQL = """SELECT CAST(event_id AS VARCHAR) AS "datasetId", user_id AS "fileS
 
 QUERIES = {
     "coordinate_pairs": coordinate_pairs, "spatial_extent": spatial_extent, "extent_union": extent_union, "extent_hull": extent_hull,
-    "geometry_extents": geometry_extents,
+    "geometry_extents": geometry_extents, "delimited_records": delimited_records,
     "scope_values": scope_values, "granularity_rollup": granularity_rollup, "scope_rollup": scope_rollup, "theme_set": theme_set,
     "theme_prefix": theme_prefix, "rawzone_path": rawzone_path, "annotation_validity": annotation_validity,
     "backbone_inherit": backbone_inherit, "sheet_header": sheet_header, "sheet_role": sheet_role, "json_flatten": json_flatten,
@@ -446,7 +462,7 @@ QUERIES = {
     "catalog_upsert": catalog_upsert, "pending_files": pending_files, "dataset_ids": dataset_ids, "perf_summary": perf_summary,
 }
 ORACLES = {
-    "coordinate_pairs": PAIRS_SQL, "spatial_extent": EXTENT_SQL, "extent_union": UNION_SQL, "geometry_extents": GEOMETRY_EXTENTS_SQL, "scope_values": SCOPE_VALUES_SQL,
+    "coordinate_pairs": PAIRS_SQL, "spatial_extent": EXTENT_SQL, "extent_union": UNION_SQL, "geometry_extents": GEOMETRY_EXTENTS_SQL, "delimited_records": DELIMITED_RECORDS_SQL, "scope_values": SCOPE_VALUES_SQL,
     "granularity_rollup": GRANULARITY_SQL, "scope_rollup": SCOPE_SQL, "theme_set": THEME_SET_SQL, "theme_prefix": THEME_PREFIX_SQL,
     "rawzone_path": RAWZONE_SQL, "annotation_validity": VALIDITY_SQL, "backbone_inherit": BACKBONE_SQL, "sheet_header": SHEET_HEADER_SQL,
     "sheet_role": SHEET_ROLE_SQL, "json_flatten": JSON_SQL, "layer_union": LAYER_SQL, "dialect_sniff": DIALECT_SQL,
