@@ -161,6 +161,8 @@ def _describe_batch(spark, tables, listed, reference_lists, places, annotations,
     files = lookups.source_lookup(files, empty if registry is None else registry, "title")
     described = describe_tables(spark, tables, files, reference_lists, annotations=annotations, root=places["raw"], **options)
     records = stage(described.records, "records")
+    # before anything is written, so that a file that cannot be hashed leaves nothing behind
+    sums = stage(lake.checksums(spark, [r["path"] for r in listed.toLocalIterator()]), "checksums")
     sinks.write_scopes(described.scopes, places["scopes"])
     sinks.append_documents(records, places["metadata"])
     for row in records.select("dataset_id", "rawzonePath", "fileType").toLocalIterator():
@@ -176,8 +178,7 @@ def _describe_batch(spark, tables, listed, reference_lists, places, annotations,
         ),
         places["perf"],
     )
-    paths = [r["path"] for r in listed.toLocalIterator()]
-    fresh = catalog_entries(records.join(lake.checksums(spark, paths), "path", "left"), places)
+    fresh = catalog_entries(records.join(sums, "path", "left"), places)
     sinks.write_catalog(stage(entries.upsert(sinks.read_catalog(spark, places["catalog"]), fresh), "catalog"), places["catalog"])
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from colonnade.functions import fixed
 from colonnade.functions.geometry import point_wkt
-from colonnade.functions.numbers import human_size
+from colonnade.functions.numbers import human_size, scope_text
 from colonnade.functions.periods import file_name_periods
 from colonnade.operators import hierarchy as rollups
 from colonnade.operators import spatial
@@ -96,10 +96,11 @@ def spatial_scope(
     )
     labelled = own.where(
         F.col("scope_values").isNull() & F.col("mixed_levels").isNull() & ~F.col("granularity").isin(*_NO_VALUES)
-    ).select("dataset_id", "cid", F.col("scope_level").alias("level"))
-    plain = spatial.scope_values(
-        profiled.texts_of(labelled).where("present").select("cid", "v").join(labelled, "cid"), ["dataset_id", "level"]
-    )
+    ).select("dataset_id", "cid", F.col("scope_level").alias("level"), F.coalesce(F.col("matched_by") == "code", F.lit(False)).alias("coded"))
+    # a code keeps its padding, so that it still joins its code list
+    shown = F.when(F.col("coded") & F.col("v").rlike("^0[0-9]"), F.col("v")).otherwise(scope_text(F.col("v")))
+    read = profiled.texts_of(labelled).where("present").select("cid", "v").join(labelled, "cid")
+    plain = read.select("dataset_id", "level", shown.alias("value")).distinct()
     parts = [given, plain]
     if mixed is not None:
         levels = wanted.where("mixed_levels IS NOT NULL AND scope_values IS NULL").select("dataset_id", "cid", "scope_level")

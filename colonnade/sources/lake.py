@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import hashlib
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
+from pyarrow import fs as filesystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from colonnade.functions import fixed
 
+#: Largest file that a row may hold (Spark allows 2 GB), and bytes of a larger one that are hashed at a time.
+WHOLE_BYTES, BLOCK_BYTES = 256 << 20, 1 << 20
 LISTING_SCHEMA = "path string, modificationTime timestamp, length long, mtime long, title string, ext string"
 
 
@@ -51,9 +56,31 @@ def data_files(spark: SparkSession, root: str, extensions: Iterable[str] = fixed
     return list_files(spark, root).where(is_data_file(extensions))
 
 
-def checksums(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """SHA-256 of whole files: (path, checksum).  One row holds a file, so files must be under 2 GB."""
+def checksums(spark: SparkSession, paths: list[str], *, whole_bytes: int = WHOLE_BYTES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """SHA-256 of files of any size: (path, checksum).
+
+    Small files are hashed by Spark's reader, one in a row.  Those above ``whole_bytes`` are never held: a task opens each
+    and hashes it block by block, so its store must be one that Arrow's file systems open (local, HDFS, object stores).
+    Empty files, which Spark's listing leaves out, have no row.
+    """
     files = spark.read.format("binaryFile").load(paths)
-    return files.select(
-        F.regexp_replace("path", "^file:/+", "/").alias("path"), F.sha2("content", 256).alias("checksum")
-    )
+    plain = F.regexp_replace("path", "^file:/+", "/").alias("path")
+    small = files.where(F.col("length") <= whole_bytes).select(plain, F.sha2("content", 256).alias("checksum"))
+
+    def hash_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column("path").to_pylist():
+                store, place = filesystem.FileSystem.from_uri(name)
+                digest = hashlib.sha256()
+                with store.open_input_stream(place) as stream:
+                    while part := stream.read(block_bytes):
+                        digest.update(part)
+                yield pa.RecordBatch.from_pydict({"path": [name], "checksum": [digest.hexdigest()]})
+
+    # only the listing columns are read; a task of its own for each file
+    large = files.where(F.col("length") > whole_bytes).select(plain)
+    names = [r["path"] for r in large.collect()]
+    if not names:
+        return small
+    listed = spark.createDataFrame([(n,) for n in names], "path string").repartition(len(names), "path")
+    return small.unionByName(listed.mapInArrow(hash_blocks, "path string, checksum string"))

@@ -270,3 +270,22 @@ def test_delimited_records_across_blocks(spark, folder, size, files):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("whole,block", [(1 << 20, 1 << 20), (-1, 3), (10, 4), (10, 1 << 20)])
+def test_checksums_by_block(spark, folder, whole, block):
+    """The same for files read whole and in blocks, also where a file ends with a block."""
+    import hashlib
+
+    contents = {"a": b"", "b": b"x", "c": b"abcd" * 3, "d e": bytes(range(256)) * 9, "é": b"0123456789", "f": b"0123456789a"}
+    paths = [write(folder, name, data) for name, data in contents.items()]
+    found = {os.path.basename(r["path"]): r["checksum"] for r in lake.checksums(spark, paths, whole_bytes=whole, block_bytes=block).collect()}
+    assert found == {name: hashlib.sha256(data).hexdigest() for name, data in contents.items() if data}  # listings leave out empty files
+
+
+def test_codes_keep_their_padding(spark):
+    """Scope values of a column matched by code join its code list."""
+    rows = spark.createDataFrame([("01",), ("75",), ("01",), (None,)] * 5, "code_dep string")
+    files = spark.createDataFrame([("t", "t.parquet", ".parquet")], "dataset_id string, title string, fileType string")
+    described = describe_tables(spark, {"t": rows}, files, references(spark))
+    assert sorted((r["level"], r["value"]) for r in described.scopes.collect()) == [("departement", "01"), ("departement", "75")]
