@@ -124,7 +124,7 @@ def records(lines: DataFrame, separator: str, blocks: Blocks, line_end: str) ->
         block, inside, key, header = None, False, None, False
 
         def row(part_of: int | None) -> dict:
-            return {"record": line_end.join(held), "header": header and part_of is None, "file": block[0], "opener": part_of, "part": block[1]}
+            return {"record": line_end.join(held), "header": header, "file": block[0], "opener": part_of, "part": block[1]}
 
         def left() -> list[dict]:
             return [row(key if key is not None else block[1])] if held else []
@@ -150,9 +150,9 @@ def records(lines: DataFrame, separator: str, blocks: Blocks, line_end: str) ->
     if not any(blocks.inside.values()):
         return parts.select("record", "header")
     ordered = F.array_sort(F.collect_list(F.struct("part", "record")))
-    crossing = parts.where("opener IS NOT NULL").groupBy("file", "opener").agg(F.array_join(ordered["record"], line_end).alias("record"))
+    crossing = parts.where("opener IS NOT NULL").groupBy("file", "opener").agg(F.array_join(ordered["record"], line_end).alias("record"), F.bool_or("header").alias("header"))
     whole = parts.where("opener IS NULL").select("record", "header")
-    return whole.unionByName(crossing.select("record", F.lit(False).alias("header")))
+    return whole.unionByName(crossing.select("record", "header"))
 
 
 _PARTS = pa.schema([("record", pa.string()), ("header", pa.bool_()), ("file", pa.string()), ("opener", pa.int64()), ("part", pa.int64())])

@@ -265,6 +265,8 @@ def test_delimited_records_across_blocks(spark, folder, size, files):
     try:
         for k, v in keys.items():
             spark.conf.set(k, v)
+        wide = readers.read_delimited(spark, write(folder, "wide.csv", 'a,"' + "long\n" * 30 + '"\n1,"x\ny"\n'))
+        assert wide.columns == ["a", "long\n" * 30] and [tuple(r) for r in wide.collect()] == [(1, "x\ny")]
         read = readers.read_delimited(spark, folder + "/out")
         assert read.schema == rows.schema and read.exceptAll(rows).count() == 0 and rows.exceptAll(read).count() == 0
     finally:
