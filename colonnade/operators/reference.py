@@ -223,27 +223,43 @@ def file_name_levels(names: DataFrame, keys: DataFrame, *, name: str = "name") -
     )
 
 
-def names_in_text(
-    texts: DataFrame, reference: DataFrame, *, key: str, text: str, max_words: int
-) -> DataFrame:
-    """Reference names and codes mentioned in texts: (key, level, by, value).
+#: Words of a text that a row of the index carries: a name of no more words is compared in the index itself.
+INDEX_WORDS = 4
+
+
+def names_in_text(texts: DataFrame, reference: DataFrame, *, key: str, text: str) -> DataFrame:
+    """Reference names of any length and codes mentioned in texts: (key, level, by, value).
 
-    The names are at most ``max_words`` words long (see :func:`longest_name`), so the word groups of that many lengths
-    are joined by equality instead of searching every name in every text.
+    Texts are tokenised once into an index: every word with the few that follow it.  A name is looked up by its first
+    two words and compared with those that follow; only a name of more than ``INDEX_WORDS`` words whose beginning was
+    found is compared with the text itself, which is read again for these pairs.  ``key`` names each text once.
     """
     clean = texts.select(key, column_key(F.col(text)).alias("t"))
     words = F.regexp_replace("t", "[^a-z0-9]+", " ")
     line = F.concat(F.lit(" "), F.when(F.contains("t", F.lit("_")), words).otherwise(F.concat_ws(" ", "t", words)), F.lit(" "))
+    lines = clean.withColumn("line", F.regexp_replace(line, " +", " "))
+    names = (
+        reference.where("nom IS NOT NULL").select("level", name_key(F.col("nom")).alias("value")).distinct()
+        .where((F.length("value") >= 4) & ~F.col("value").rlike("^[0-9]+$"))
+        .withColumn("n", F.size(F.split("value", " ")))
+    )
     segments = F.split("t", "_")
     inner = F.when(F.size(segments) > 2, F.slice(segments, 2, F.size(segments) - 2)).otherwise(F.array().cast("array<string>"))
-    groups = [inner] + [_word_groups(F.col("line"), n) for n in range(1, max_words + 1)]
-    grams = (
-        clean.withColumn("line", F.regexp_replace(line, " +", " "))
-        .select(key, F.explode(F.array_distinct(F.concat(*groups))).alias("value"))
-        .where((F.length("value") >= 4) & ~F.col("value").rlike("^[0-9]+$"))
+    alone = lines.select(key, F.explode(F.array_distinct(F.concat(inner, F.split(F.trim("line"), " ")))).alias("value"))
+    single = alone.join(names.where("n = 1"), "value").select(key, "level", "value")
+
+    # the look-ahead finds a group at every word without using it up, so neighbouring groups overlap
+    groups = F.regexp_extract_all("line", F.lit("(?<= )(?=((?:[^ ]+ ){2,%d}))" % INDEX_WORDS), F.lit(1))
+    index = lines.select(key, F.explode(groups).alias("found")).withColumn("start", F.substring_index("found", " ", 2))
+    several = names.where("n > 1").select(
+        "level", "value", "n", F.substring_index("value", " ", 2).alias("start"),
+        F.concat(F.substring_index("value", " ", INDEX_WORDS), F.lit(" ")).alias("beginning"),
     )
-    names = reference.where("nom IS NOT NULL").select("level", name_key(F.col("nom")).alias("value")).distinct()
-    by_name = grams.join(names, "value").select(key, "level", F.lit("nom").alias("by"), "value").distinct()
+    begun = index.join(several, "start").where(F.startswith("found", "beginning")).select(key, "level", "value", "n").distinct()
+    short = begun.where(F.col("n") <= INDEX_WORDS).select(key, "level", "value")
+    spaced = F.concat(F.lit(" "), F.col("value"), F.lit(" "))
+    long = begun.where(F.col("n") > INDEX_WORDS).join(lines, key).where(F.contains("line", spaced)).select(key, "level", "value")
+    by_name = single.unionByName(short).unionByName(long).select(key, "level", F.lit("nom").alias("by"), "value").distinct()
     trials = [
         _at_level(F.regexp_extract_all("t", F.lit(pattern), F.lit(group)), level, "value")
         for level, pattern, group in fixed.TEXT_CODE_PATTERNS
@@ -257,20 +273,6 @@ def names_in_text(
     return by_name.unionByName(by_code)
 
 
-def longest_name(reference: DataFrame) -> int:
-    """Number of words of the longest reference name (one number, read on the driver)."""
-    words = F.size(F.split(name_key(F.col("nom")), " "))
-    return reference.where("nom IS NOT NULL").agg(F.max(words)).first()[0] or 0
-
-
-def _word_groups(line: Column, n: int) -> Column:
-    """All groups of n neighbouring words of a line whose words stand between single blanks.
-
-    The look-ahead finds a group at every word without using it up, so neighbouring groups overlap.
-    """
-    return F.regexp_extract_all(line, F.lit("(?<= )(?=(" + " ".join(["[^ ]+"] * n) + ") )"), F.lit(1))
-
-
 def column_levels(columns: DataFrame, *, strict: bool = False) -> DataFrame:
     """Level keys named in each column name."""
     return columns.withColumn("levels", level_hits(column_key(F.col("column")), strict=strict))

@@ -145,19 +145,19 @@ COVERAGE_SQL = """SELECT count(*) AS n_codes, count(n_nationkey) AS n_matched, r
 
 
 def names_in_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names made of the first words of the benchmark texts, found in whole documents."""
-    words = F.split(F.col("text"), r"\P{L}+")
+    """Names of any length, the pieces between the punctuation of the whole benchmark texts, found in whole documents."""
+    pieces = F.explode(F.split(F.col("text"), r"[.,;:!?\r\n]+"))
     names = load(spark, sf_dir, "benchmark").select(
-        F.lit("com").alias("level"), F.lit(0).alias("level_rank"), F.lit(None).cast("string").alias("code"),
-        F.array_join(F.slice(words, 1, 3), " ").alias("nom"),
+        F.lit("com").alias("level"), F.lit(0).alias("level_rank"), F.lit(None).cast("string").alias("code"), pieces.alias("nom"),
+    )
+    return reference.names_in_text(load(spark, sf_dir, "documents"), names, key="doc_id", text="text").select(
+        "doc_id", "level", "by", "value"
     )
-    return reference.names_in_text(
-        load(spark, sf_dir, "documents"), names, key="doc_id", text="text", max_words=3
-    ).select("doc_id", "level", "by", "value")
 
 
 NAMES_SQL = r"""
-WITH n AS (SELECT DISTINCT trim(lower(strip_accents(array_to_string(regexp_split_to_array(text, '\P{L}+')[1:3], ' ')))) AS nm FROM benchmark),
+WITH p AS (SELECT unnest(regexp_split_to_array(text, '[.,;:!?\r\n]+')) AS piece FROM benchmark),
+n AS (SELECT DISTINCT trim(regexp_replace(lower(strip_accents(piece)), '[\s\-_]+', ' ', 'g')) AS nm FROM p),
 d AS (SELECT doc_id, trim(regexp_replace(lower(strip_accents(text)), '[\s\-_]+', '_', 'g'), '_') AS t FROM documents),
 h AS (SELECT doc_id, ' ' || t || ' ' || trim(regexp_replace(t, '[^a-z0-9]+', ' ', 'g')) || ' ' AS hay FROM d)
 SELECT doc_id, 'com' AS level, 'nom' AS "by", nm AS value FROM h, n
