@@ -245,21 +245,21 @@ def names_in_text(texts: DataFrame, reference: DataFrame, *, key: str, text: str
     )
     segments = F.split("t", "_")
     inner = F.when(F.size(segments) > 2, F.slice(segments, 2, F.size(segments) - 2)).otherwise(F.array().cast("array<string>"))
-    alone = lines.select(key, F.explode(F.array_distinct(F.concat(inner, F.split(F.trim("line"), " ")))).alias("value"))
-    single = alone.join(names.where("n = 1"), "value").select(key, "level", "value")
-
+    spaces = lambda words: F.transform(words, lambda w: F.concat(w, F.lit(" ")))
+    alone = F.array_distinct(F.concat(spaces(inner), spaces(F.split(F.trim("line"), " "))))
     # the look-ahead finds a group at every word without using it up, so neighbouring groups overlap
     groups = F.regexp_extract_all("line", F.lit("(?<= )(?=((?:[^ ]+ ){2,%d}))" % INDEX_WORDS), F.lit(1))
-    index = lines.select(key, F.explode(groups).alias("found")).withColumn("start", F.substring_index("found", " ", 2))
-    several = names.where("n > 1").select(
-        "level", "value", "n", F.substring_index("value", " ", 2).alias("start"),
-        F.concat(F.substring_index("value", " ", INDEX_WORDS), F.lit(" ")).alias("beginning"),
+    index = lines.select(key, F.explode(F.concat(alone, groups)).alias("found"))
+    beginning = F.concat(F.substring_index("value", " ", INDEX_WORDS), F.lit(" "))
+    begins = names.select("level", "value", "n", beginning.alias("beginning"), F.substring_index(beginning, " ", 2).alias("start"))
+    begun = (
+        index.withColumn("start", F.substring_index("found", " ", 2)).join(begins, "start")
+        .where(F.startswith("found", "beginning")).select(key, "level", "value", "n").distinct()
     )
-    begun = index.join(several, "start").where(F.startswith("found", "beginning")).select(key, "level", "value", "n").distinct()
     short = begun.where(F.col("n") <= INDEX_WORDS).select(key, "level", "value")
     spaced = F.concat(F.lit(" "), F.col("value"), F.lit(" "))
     long = begun.where(F.col("n") > INDEX_WORDS).join(lines, key).where(F.contains("line", spaced)).select(key, "level", "value")
-    by_name = single.unionByName(short).unionByName(long).select(key, "level", F.lit("nom").alias("by"), "value").distinct()
+    by_name = short.unionByName(long).select(key, "level", F.lit("nom").alias("by"), "value").distinct()
     trials = [
         _at_level(F.regexp_extract_all("t", F.lit(pattern), F.lit(group)), level, "value")
         for level, pattern, group in fixed.TEXT_CODE_PATTERNS
