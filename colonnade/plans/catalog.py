@@ -97,6 +97,7 @@ def build_catalog(
 
     Below ``output`` lie ``metadata`` and ``perf`` documents, the ``raw`` zone, the ``scopes`` rows and the
     ``catalog``.  Files are profiled together in batches: a batch is one set of jobs whatever its number of files.
+    ``files`` replaces the listing; it may name the ``sidecar`` of each file and the files to describe ``again``.
     """
     started = time.time()
     places = {name: f"{output.rstrip('/')}/{name}" for name in ("metadata", "perf", "raw", "scopes", "catalog")}
@@ -107,9 +108,13 @@ def build_catalog(
         todo = found.withColumn("id", entries.dataset_id(F.col("path")))
     else:
         todo = entries.pending(found, known, _outputs(known, output, spark), metadata_dir=places["metadata"], perf_dir=places["perf"])
+        if "again" in found.columns:
+            repeated = found.where("again").withColumn("id", entries.dataset_id(F.col("path")))
+            todo = todo.unionByName(repeated).dropDuplicates(["id"])
+    pairs = listing.where("sidecar IS NOT NULL") if "sidecar" in listing.columns else lookups.pair_sidecars(listing)
     errors: list[tuple[str, str]] = []
     pending = list(todo.orderBy("path").toLocalIterator())  # one row per file to process: paths, not data
-    sidecars = {r["path"]: r["sidecar"] for r in lookups.pair_sidecars(listing).toLocalIterator()}
+    sidecars = {r["path"]: r["sidecar"] for r in pairs.select("path", "sidecar").toLocalIterator()}
     for start in range(0, len(pending), batch):
         tables, rows, enriched = {}, [], set()
         for file in pending[start : start + batch]:

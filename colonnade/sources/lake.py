@@ -30,13 +30,13 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     return with_names(files.select("path", "modificationTime", "length"))
 
 
-def with_names(files: DataFrame) -> DataFrame:
-    """Listing with epoch seconds, file name and extension."""
+def with_names(files: DataFrame, *kept: str) -> DataFrame:
+    """Listing with epoch seconds, file name and extension, and the columns ``kept``."""
     name = F.element_at(F.split("path", "/"), -1)
     ext = F.when(F.contains(name, F.lit(".")), F.lower(F.element_at(F.split(name, r"\."), -1))).otherwise("")
     return files.select(
         F.regexp_replace("path", "^file:/+", "/").alias("path"), "modificationTime", "length",
-        F.unix_timestamp("modificationTime").alias("mtime"), name.alias("title"), ext.alias("ext"),
+        F.unix_timestamp("modificationTime").alias("mtime"), name.alias("title"), ext.alias("ext"), *kept,
     )
 
 

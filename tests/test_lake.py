@@ -3,6 +3,7 @@
 import collections
 import json
 import os
+import time
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -14,6 +15,7 @@ from colonnade.operators import reference, vertices
 from colonnade.plans.catalog import build_catalog, describe_tables
 from colonnade.sources import lake, readers, sinks
 from colonnade.sources import records as quoting
+from colonnade.streaming import incremental
 from colonnade.streaming.incremental import watch
 
 
@@ -158,6 +160,50 @@ def test_stream_describes_new_files(spark, folder):
     assert run() == ["a_2020.csv", "b_2021.csv"]
 
 
+def test_files_and_sidecars_of_other_batches(spark, folder):
+    def arrive(*names):
+        for name in names:
+            write(folder, "lake/" + name, "x")
+
+    def run(wait, place):
+        files = spark.readStream.format("binaryFile").schema(incremental.FILE_SCHEMA).option("recursiveFileLookup", True).load(folder + "/lake")
+        writer = incremental.with_mates(files, wait).writeStream.format("parquet").option("path", f"{folder}/{place}").option("checkpointLocation", f"{folder}/{place}-state")
+        assert incremental.start(spark, writer).awaitTermination(60) is True
+        name = lambda path: path and path.rsplit("/", 1)[-1]
+        return sorted((name(r["path"]), name(r["sidecar"]) or "", r["again"]) for r in spark.read.schema(incremental.ARRIVED_SCHEMA).parquet(f"{folder}/{place}").collect())
+
+    arrive("a_data.csv", "b_metadata.csv", "c_data.csv", "c_metadata.csv", "d.csv", "e_data.CSV", "sub/a_metadata.csv")
+    first = [("c_data.csv", "c_metadata.csv", False), ("d.csv", "", False)]
+    early = [("a_data.csv", "", False), ("e_data.CSV", "", False)]
+    assert run(0, "at-once") == sorted(first + early)
+    assert run(3600, "held") == first
+    arrive("a_metadata.csv", "b_data.csv", "e_metadata.csv")
+    mates = [("a_data.csv", "a_metadata.csv", True), ("b_data.csv", "b_metadata.csv", False)]
+    assert run(0, "at-once") == sorted(first + early + mates)
+    assert run(3600, "held") == sorted(first + [(*m[:2], False) for m in mates])
+    assert run(0.5, "timed") == sorted(first + [(*m[:2], False) for m in mates])
+    time.sleep(1)
+    arrive("z.csv")
+    assert run(0.5, "timed") == sorted(first + [(*m[:2], False) for m in mates] + early[1:] + [("z.csv", "", False)])
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
+def test_stream_labels_codes_of_a_later_sidecar(spark, folder):
+    write(folder, "lake/x_data.csv", "GEO;OBS\n1;3\n2;4\n")
+    out = folder + "/out"
+
+    def run():
+        watch(spark, folder + "/lake", out, references(spark), checkpoint=folder + "/checkpoint").awaitTermination()
+        return sinks.read_catalog(spark, out + "/catalog").collect()
+
+    assert [(r["title"], r["nCols"]) for r in run()] == [("x_data.csv", 2)]
+    write(folder, "lake/x_metadata.csv", "COD_VAR;LIB_VAR;COD_MOD;LIB_MOD\nGEO;g;01;PARIS\nGEO;g;2;AIN\n")
+    entry = run()
+    assert [(r["title"], r["nCols"]) for r in entry] == [("x_data.csv", 3)]
+    enriched = spark.read.option("header", True).csv(entry[0]["rawzonePath"])
+    assert sorted(map(tuple, enriched.collect())) == [("1", "3", "PARIS"), ("2", "4", "AIN")]
+
+
 def test_annotated_description(spark):
     rows = [("rue Verte", str(i), "75", 48.0 + i / 100, 2.0 + i / 100, f"2021-0{1 + i % 3}") for i in range(20)]
     table = spark.createDataFrame(rows, "nomvoie string, numvoie string, code_dep string, lat double, lon double, mois string")
