@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +17,6 @@ from colonnade.functions.names import coordinate_hint
 from colonnade.functions.numbers import coordinate_number, ratio, scope_text
 
 HULL_STATE_POINTS = 200_000
-HULL_SALT = 64
 
 
 def coordinate_pairs(
@@ -134,46 +135,101 @@ def _hull(points: np.ndarray) -> np.ndarray:
     return np.array(chain(points) + chain(points[::-1]))
 
 
+#: Primitive vectors of small whole numbers by angle, counter-clockwise from (-1, 0): exact products for whole coordinates.
+DIRECTIONS = sorted(
+    ((a, b) for a in range(-3, 4) for b in range(-3, 4) if math.gcd(a, b) == 1), key=lambda d: (math.atan2(d[1], d[0]) - math.pi) % math.tau
+)
+
+
+def hull_corners(points: DataFrame, key: str) -> DataFrame:
+    """Outermost points of each key in every direction, as the edges between them: (key, first, edges).
+
+    Built-in aggregates alone.  Of equally far points the last one counter-clockwise counts, so each is a vertex of the
+    hull.  An edge is (sector, a, b); a direction whose point is also the next one's has none.  ``first`` is the leftmost.
+    """
+    far = [
+        F.max_by(F.struct("x", "y"), F.struct(F.col("x") * a + F.col("y") * b, F.col("y") * a - F.col("x") * b)) for a, b in DIRECTIONS
+    ]
+    ends = points.groupBy(key).agg(F.array(*far).alias("ends")).withColumn("after", F.concat(F.slice("ends", 2, len(far) - 1), F.slice("ends", 1, 1)))
+    edges = F.transform("ends", lambda e, i: F.struct(i.alias("sector"), e.alias("a"), F.get(F.col("after"), i).alias("b")))
+    return ends.select(key, F.col("ends")[0].alias("first"), F.filter(edges, lambda e: e["a"] != e["b"]).alias("edges"))
+
+
+def _turn(a: Column, b: Column, x: Column, y: Column) -> Column:
+    """Positive where (x, y) lies left of the way from a to b."""
+    return (b["x"] - a["x"]) * (y - a["y"]) - (b["y"] - a["y"]) * (x - a["x"])
+
+
+def hull_candidates(points: DataFrame, corners: DataFrame, key: str) -> DataFrame:
+    """Points outside the polygon of the corners with the edge they lie beyond: (key, sector, a, b, x, y).
+
+    A point lies beyond one edge at most, because every corner is outermost in a direction; points inside go here.
+    """
+    edges = corners.select(F.col(key).alias("_key"), "edges")
+    beyond = F.filter("edges", lambda e: _turn(e["a"], e["b"], F.col("x"), F.col("y")) < 0)
+    found = points.join(edges, F.col(key).eqNullSafe(F.col("_key"))).select(key, "x", "y", F.get(beyond, F.lit(0)).alias("edge"))
+    return found.where("edge IS NOT NULL").select(key, "edge.sector", "edge.a", "edge.b", "x", "y")
+
+
 def convex_hull(points: DataFrame, key: str) -> DataFrame:
     """Convex hull of the points of each key: (key, pos, x, y), counter-clockwise from the leftmost point.
 
-    Only the lowest and highest point of every x can be a vertex, which Spark finds first.  Hulls are then folded
-    inside each task, once more over salted keys, and the few remaining vertices of a key are merged last.
+    The outermost points in fixed directions split the hull into arcs.  Points inside their polygon are dropped before
+    anything is shuffled by place; the others belong to one arc each.  Arcs are folded inside each task, then finished
+    one by one, so no task holds the hull of a key.  Points without both coordinates are left out.
     """
-    extremes = (
-        points.groupBy(key, "x")
-        .agg(F.min("y").alias("low"), F.max("y").alias("high"))
-        .select(key, "x", F.explode(F.array_distinct(F.array("low", "high"))).alias("y"))
-    )
-    schema = T.StructType([extremes.schema[key], T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
+    points = points.select(key, F.col("x").cast("double"), F.col("y").cast("double")).where("x IS NOT NULL AND y IS NOT NULL")
+    corners = hull_corners(points, key)
+    flat = hull_candidates(points, corners, key).select(key, "sector", "a.x", "a.y", "b.x", "b.y", "x", "y").toDF(key, "sector", "ax", "ay", "bx", "by", "x", "y")
+    group, names = [key, "sector"], flat.columns[2:]
+
+    def arc(group: pd.DataFrame) -> np.ndarray:
+        """Vertices between the ends of an edge, from its first to its second."""
+        ax, ay, bx, by = group[["ax", "ay", "bx", "by"]].iloc[0]
+        hull = _hull(np.vstack([group[["x", "y"]].to_numpy(float), [[ax, ay], [bx, by]]]))
+        inner = hull[~((hull == (ax, ay)).all(axis=1) | (hull == (bx, by)).all(axis=1))]
+        return inner[np.argsort(inner @ (bx - ax, by - ay), kind="stable")]
+
+    def shorter(part: pd.DataFrame) -> pd.DataFrame:
+        """The rows of the vertices of each arc."""
+        parts = []
+        for _, rows in part.groupby(group, sort=False, dropna=False):
+            kept = arc(rows)
+            parts.append(rows.iloc[: len(kept)].assign(x=kept[:, 0], y=kept[:, 1]))
+        return pd.concat(parts)
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state: dict = {}
+        held: list[pd.DataFrame] = []
         for batch in batches:
-            for name, group in batch.groupby(key, sort=False, dropna=False):
-                fresh = group[["x", "y"]].to_numpy(float)
-                state[name] = _hull(np.vstack([state[name], fresh]) if name in state else fresh)
-            if sum(map(len, state.values())) > HULL_STATE_POINTS:
-                yield frame(state)
-                state = {}
-        if state:
-            yield frame(state)
-
-    def frame(state: dict) -> pd.DataFrame:
-        return pd.concat(
-            [pd.DataFrame({key: [name] * len(p), "x": p[:, 0], "y": p[:, 1]}) for name, p in state.items()]
-        )
-
-    def finish(group: pd.DataFrame) -> pd.DataFrame:
-        hull = _hull(group[["x", "y"]].to_numpy(float))
-        return pd.DataFrame(
-            {key: [group[key].iloc[0]] * len(hull), "pos": range(len(hull)), "x": hull[:, 0], "y": hull[:, 1]}
-        )
-
-    per_task = extremes.select(key, F.col("x").cast("double"), F.col("y").cast("double")).mapInPandas(fold, schema)
-    salted = per_task.repartition(F.col(key), F.pmod(F.xxhash64("x"), F.lit(HULL_SALT))).mapInPandas(fold, schema)
-    final = T.StructType([schema[0], T.StructField("pos", T.IntegerType()), *schema.fields[1:]])
-    return salted.groupBy(key).applyInPandas(finish, final)
+            if len(batch):
+                held = [shorter(pd.concat([*held, batch]))]
+                if len(held[0]) > HULL_STATE_POINTS:
+                    yield held.pop()
+        yield from held
+
+    def finish(rows: pd.DataFrame) -> pd.DataFrame:
+        kept = arc(rows)
+        return pd.DataFrame({key: [rows[key].iloc[0]] * len(kept), "sector": rows["sector"].iloc[0], "n": range(1, len(kept) + 1), "x": kept[:, 0], "y": kept[:, 1]})
+
+    places = T.StructType([flat.schema[key], T.StructField("sector", T.IntegerType()), *[T.StructField(n, T.DoubleType()) for n in names]])
+    last = T.StructType([*places.fields[:2], T.StructField("n", T.IntegerType()), *places.fields[-2:]])
+    between = flat.mapInPandas(fold, places).groupBy(*group).applyInPandas(finish, last)
+    one = F.array(F.struct(F.lit(0).alias("sector"), F.col("first").alias("a"), F.col("first").alias("b")))
+    own = corners.select(key, F.explode(F.when(F.size("edges") > 0, F.col("edges")).otherwise(one)).alias("e"))
+    hull = own.select(key, "e.sector", F.lit(0).alias("n"), "e.a.x", "e.a.y").unionByName(between)
+    # the rows are the vertices alone; a corner that rounding put on a line between its neighbours is none
+    order = W.partitionBy(key).orderBy("sector", "n")
+    whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    place = F.struct("x", "y")
+    near = hull.withColumns(
+        {
+            "before": F.coalesce(F.lag(place).over(order), F.last(place).over(whole)),
+            "after": F.coalesce(F.lead(place).over(order), F.first(place).over(whole)),
+            "n_all": F.count("*").over(whole),
+        }
+    )
+    corner = (F.col("n_all") < 3) | (F.col("n") > 0) | (_turn(F.col("before"), F.struct("x", "y"), F.col("after.x"), F.col("after.y")) > 0)
+    return near.where(corner).select(key, (F.row_number().over(order) - 1).alias("pos"), "x", "y")
 
 
 def scope_values(values: DataFrame, group: list[str], value: str = "v", *, drop_padding: bool = True) -> DataFrame:

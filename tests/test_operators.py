@@ -2,8 +2,10 @@
 
 import collections
 import itertools
+import math
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from colonnade.operators import annotations, catalog, detect, hierarchy, lookups, reference, sheets, spatial, temporal, vertices
@@ -181,6 +183,34 @@ def test_themes(spark):
     assert hierarchy.valid_paths(spark.createDataFrame([("W > C",), ("W > X",)], "path string"), nodes).count() == 1
 
 
+def test_hull_by_arcs(spark, monkeypatch):
+    """Many vertices, points on edges, no key, few points: the same as one chain over all points of a key."""
+    monkeypatch.setattr(spatial, "HULL_STATE_POINTS", 50)
+    rng = random.Random(5)
+    ring = [(round(100 * math.cos(t), 3), round(100 * math.sin(t), 3)) for t in (rng.random() * math.tau for _ in range(900))]
+    shapes = {
+        "ring": ring + [(x / 2, y / 3) for x, y in ring], "tenths": [(i / 10, (30 - i) / 10) for i in range(31)] + [(0.0, 0.0)],
+        "upright": [(1.0, float(i)) for i in range(9)], None: [(float(rng.randint(0, 9)), float(rng.randint(0, 9))) for _ in range(300)],
+        "one": [(3.0, 4.0)] * 5, "two": [(3.0, 4.0), (-1.0, 9.0)], "far": [(x + 1e6, y - 1e6) for x, y in ring[:300]],
+    }
+    rows = [(k, x, y) for k, places in shapes.items() for x, y in places] + [("ring", None, 1.0), ("none", 1.0, None)]
+    found = collections.defaultdict(list)
+    for r in spatial.convex_hull(spark.createDataFrame(rows, "k string, x double, y double").repartition(5), "k").orderBy("k", "pos").collect():
+        assert r["pos"] == len(found[r["k"]])
+        found[r["k"]].append((r["x"], r["y"]))
+    assert dict(found) == {k: [tuple(p) for p in spatial._hull(np.array(places)).tolist()] for k, places in shapes.items()}
+    assert len(found["ring"]) > 400
+    assert spatial.convex_hull(spark.createDataFrame([], "k string, x double, y double"), "k").count() == 0
+
+
+def test_hull_candidates_are_few(spark):
+    """Points inside go before anything is grouped, and no place lies beyond two edges."""
+    rng = random.Random(6)
+    disc = [("k", math.sqrt(r) * math.cos(t), math.sqrt(r) * math.sin(t)) for r, t in ((rng.random(), rng.random() * math.tau) for _ in range(20_000))]
+    points = spark.createDataFrame(disc, "k string, x double, y double")
+    assert spatial.hull_candidates(points, spatial.hull_corners(points, "k"), "k").count() < 1200
+
+
 def test_hull_against_brute_force(spark):
     rng = random.Random(7)
     points = [("k", float(rng.randint(0, 60)), float(rng.randint(0, 60))) for _ in range(400)] + [("line", float(i), 2.0 * i) for i in range(5)] + [("one", 1.0, 1.0)]

@@ -76,6 +76,16 @@ def extent_hull(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spatial.convex_hull(points, "c_mktsegment")
 
 
+# a lowest point is a vertex where every slope on its left is smaller than every slope on its right; highest ones mirrored
+HULL_SQL = f"""WITH {_PLACES_SQL},
+d AS (SELECT c_mktsegment AS k, CAST(x AS DOUBLE) AS x, min(CAST(y AS DOUBLE)) AS low, max(CAST(y AS DOUBLE)) AS high FROM places GROUP BY 1, 2),
+p AS (SELECT k, 1 AS side, x, low AS y FROM d UNION ALL SELECT k, -1, x, high FROM d),
+v AS (SELECT a.k, a.side, a.x, a.y FROM p a LEFT JOIN p b ON a.k = b.k AND a.side = b.side AND a.x <> b.x GROUP BY a.k, a.side, a.x, a.y
+  HAVING coalesce(max(CASE WHEN b.x < a.x THEN a.side * (a.y - b.y) / (a.x - b.x) END) < min(CASE WHEN b.x > a.x THEN a.side * (b.y - a.y) / (b.x - a.x) END), TRUE))
+SELECT k AS c_mktsegment, CAST(row_number() OVER (PARTITION BY k ORDER BY side DESC, x * side) - 1 AS INT) AS pos, x, y
+FROM (SELECT k, max(side) AS side, x, y FROM v GROUP BY k, x, y)"""
+
+
 _FORMS = ("wkt", "geojson", "wkb", "hex")
 
 
@@ -462,7 +472,7 @@ QUERIES = {
     "catalog_upsert": catalog_upsert, "pending_files": pending_files, "dataset_ids": dataset_ids, "perf_summary": perf_summary,
 }
 ORACLES = {
-    "coordinate_pairs": PAIRS_SQL, "spatial_extent": EXTENT_SQL, "extent_union": UNION_SQL, "geometry_extents": GEOMETRY_EXTENTS_SQL, "delimited_records": DELIMITED_RECORDS_SQL, "scope_values": SCOPE_VALUES_SQL,
+    "coordinate_pairs": PAIRS_SQL, "spatial_extent": EXTENT_SQL, "extent_union": UNION_SQL, "extent_hull": HULL_SQL, "geometry_extents": GEOMETRY_EXTENTS_SQL, "delimited_records": DELIMITED_RECORDS_SQL, "scope_values": SCOPE_VALUES_SQL,
     "granularity_rollup": GRANULARITY_SQL, "scope_rollup": SCOPE_SQL, "theme_set": THEME_SET_SQL, "theme_prefix": THEME_PREFIX_SQL,
     "rawzone_path": RAWZONE_SQL, "annotation_validity": VALIDITY_SQL, "backbone_inherit": BACKBONE_SQL, "sheet_header": SHEET_HEADER_SQL,
     "sheet_role": SHEET_ROLE_SQL, "json_flatten": JSON_SQL, "layer_union": LAYER_SQL, "dialect_sniff": DIALECT_SQL,
