@@ -286,6 +286,16 @@ HIERARCHIES = {
     ),
 }
 
+# --- fixed values: sources of levels of label columns --------------------------------------------------------------
+LABEL_LEVEL_MIN = 0.8
+LABEL_SOURCES = {
+    "level": "insee_geo",
+    "mixed": "insee_metadata_sidecar_label_mixed_ref_spatial",
+    "one": "insee_metadata_sidecar_label_ref_spatial",
+    "by": "insee_metadata_sidecar_label_",
+    "none": "insee_metadata_sidecar",
+}
+
 # --- fixed values: sheet words -------------------------------------------------------------------------------------
 SHEET_DICTIONARY_NAMES = (
     "description", "description des", "dictionary", "data dictionary", "metadata", "variables",

@@ -14,6 +14,10 @@ ANNOTATION_SCHEMA = (
     "dataset_id string, column string, meaning string, is_spatial boolean, is_temporal boolean, is_indicator boolean, "
     "is_other_information boolean, indicator_type string, thematic_path string, semantic_source string"
 )
+BACKBONE_SCHEMA = (
+    "series_hint string, column_name_normalized string, meaning string, is_spatial boolean, is_temporal boolean, "
+    "is_indicator boolean, is_other_information boolean, indicator_type string, thematic_path string"
+)
 _FIELDS = (
     "meaning", "is_spatial", "is_temporal", "is_indicator", "is_other_information", "indicator_type", "thematic_path",
 )

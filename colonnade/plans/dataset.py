@@ -19,6 +19,7 @@ from colonnade.operators.profile import Profiled, column_profile
 from colonnade.operators.reference import file_name_levels
 from colonnade.operators.temporal import mixed_period_ranges
 from colonnade.operators.vertices import geometry_vertices, holds_geometries
+from colonnade.plans.clock import Clock
 from colonnade.session import stage
 
 _NO_VALUES = {"geometry", "geopoint", "latlon_pair"}
@@ -91,13 +92,14 @@ def spatial_scope(
         scope_levels.select("dataset_id", F.col("level").alias("scope_level")), "dataset_id"
     )
     own = wanted.where(F.col("granularity") == F.col("scope_level"))
+    by_list = (F.col("matched_by") == "code") | F.startswith("matched_by", F.lit(fixed.LABEL_SOURCES["none"]))
     given = own.where("scope_values IS NOT NULL").select(
         "dataset_id", F.col("scope_level").alias("level"), F.explode("scope_values").alias("value")
     )
     labelled = own.where(
-        F.col("scope_values").isNull() & F.col("mixed_levels").isNull() & ~F.col("granularity").isin(*_NO_VALUES)
-    ).select("dataset_id", "cid", F.col("scope_level").alias("level"), F.coalesce(F.col("matched_by") == "code", F.lit(False)).alias("coded"))
-    # a code keeps its padding, so that it still joins its code list
+        F.col("scope_values").isNull() & (F.coalesce(F.size("mixed_levels"), F.lit(0)) == 0) & ~F.col("granularity").isin(*_NO_VALUES)
+    ).select("dataset_id", "cid", F.col("scope_level").alias("level"), F.coalesce(by_list, F.lit(False)).alias("coded"))
+    # a code or a label keeps its padding, so that it still joins its list
     shown = F.when(F.col("coded") & F.col("v").rlike("^0[0-9]"), F.col("v")).otherwise(scope_text(F.col("v")))
     read = profiled.texts_of(labelled).where("present").select("cid", "v").join(labelled, "cid")
     plain = read.select("dataset_id", "level", shown.alias("value")).distinct()
@@ -167,40 +169,22 @@ def dataset_records(
     categories: DataFrame | None = None,
     root: str = fixed.RAW_ZONE_ROOT,
     profile: DataFrame | None = None,
+    clock: Clock | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Records and scope rows: (one nested row per dataset, one row per scope value or period range).
 
     ``files`` describes the datasets: dataset_id, title and optionally fileType, dataFormat, fileSizeBytes and the
-    source fields.  The scope rows hold all values; a record names its levels and how many values each has.
+    source fields.  The scope rows hold all values; a record names its levels and how many values each has.  A level or
+    period read from the title counts as a column: it is one of the data where that is written anew.
     """
-    hierarchy = rollups.hierarchy_table(spark) if hierarchy is None else hierarchy
-    named = file_name_attributes(files.select("dataset_id", "title"), attributes, hierarchy, keys)
-    attributes = stage(with_file_name_attributes(attributes, named), "attributes")
-    space, time = dimension_levels(attributes, "spatial"), dimension_levels(attributes, "temporal")
-    space_scope, time_scope = (rollups.scope_rollup(lv, hierarchy, d) for lv, d in ((space, "spatial"), (time, "temporal")))
-    space_scope, time_scope = stage(space_scope, "space"), stage(time_scope, "time")
-    space_gran = rollups.granularity_rollup(space, hierarchy, "spatial").withColumnRenamed("granularity", "spatialGranularity")
-    time_gran = rollups.granularity_rollup(time, hierarchy, "temporal").withColumnRenamed("granularity", "temporalGranularity")
-
-    values = spatial_scope(attributes, profiled, mixed, space_scope)
-    points = coordinate_extents(tables, attributes, space_scope)
-    if points is not None:
-        values = values.unionByName(points.select("dataset_id", F.lit("geometry_extent").alias("level"), "value"))
-    ranges = temporal_scope(attributes, profiled, time_scope)
-    scopes = values.select(
-        "dataset_id", F.lit("spatial").alias("dim"), "level", "value", F.lit(None).cast("string").alias("end_value")
-    ).unionByName(
-        ranges.select(
-            "dataset_id", F.lit("temporal").alias("dim"), F.col("granularity").alias("level"),
-            F.col("start_label").alias("value"), F.col("end_label").alias("end_value"),
+    clock = clock or Clock()
+    with clock.step("scopes_granularities_sec"):
+        attributes, scopes, parts, named = _scopes(spark, tables, profiled, attributes, files, keys, mixed, hierarchy)
+    with clock.step("find_common_theme_sec"):
+        themes = stage(
+            rollups.theme_set(attributes.where("role IN ('indicator', 'other')").select("dataset_id", "theme"), nodes=theme_nodes), "themes"
         )
-    )
-
-    scopes = stage(scopes, "scopes")
-    themes = rollups.theme_set(
-        attributes.where("role IN ('indicator', 'other')").select("dataset_id", "theme"), nodes=theme_nodes
-    )
-    prefix = rollups.common_theme(themes)
+        prefix = stage(rollups.common_theme(themes), "prefix")
     theme_lists = themes.groupBy("dataset_id").agg(
         F.sort_array(F.collect_list(F.struct(F.col("theme").alias("themeName"), F.col("theme").alias("themeDescription")))).alias("themes")
     )
@@ -212,6 +196,7 @@ def dataset_records(
             "matched_by", "confidence", "evidence", "indicator_type", "subtype", "theme",
             F.struct(F.col("value_min").alias("min"), F.col("value_max").alias("max")).alias("value_range"),
             *(["categories_sample"] if categories is not None else []), "mixed_levels", "reason", "avg_text_len",
+            F.get("scope_values", F.lit(0)).alias("constant"),
         ))).alias("attributes")
     )
     sizes = profiled.columns.groupBy("dataset_id").agg(
@@ -225,17 +210,46 @@ def dataset_records(
     )
 
     record = files
-    for part in (space_gran, time_gran, _nested_scopes(scopes, "spatial"), _nested_scopes(scopes, "temporal"),
-                 theme_lists, prefix, nested, sizes, rows):
+    constants = named.groupBy("dataset_id").agg(F.count("*").alias("constants"))
+    for part in (*parts, _nested_scopes(scopes, "spatial"), _nested_scopes(scopes, "temporal"), theme_lists, prefix, nested, sizes, rows, constants):
         record = record.join(part, "dataset_id", "left")
     part_columns = F.when(F.col("part_columns") > 0, F.col("part_columns")).otherwise(0)
-    record = record.withColumn("nCols", (F.col("plain_columns") + part_columns).cast("int")).withColumn("nRecords", F.col("nRows"))
+    constants = F.coalesce("constants", F.lit(0))
+    record = record.withColumn("nCols", (F.col("plain_columns") + part_columns + constants).cast("int")).withColumn("nRecords", F.col("nRows"))
     record = record.withColumn("rawzonePath", rollups.raw_zone_path(F.col("prefix"), F.col("title"), root))
     if "fileType" in files.columns:
         record = record.withColumn("nFeatures", F.when(F.col("fileType").isin(".geojson", ".zip"), F.col("nRows")))
     if "fileSizeBytes" in files.columns:
         record = record.withColumn("fileSizeHuman", human_size(F.col("fileSizeBytes")))
-    return record.drop("plain_columns", "part_columns"), scopes
+    return record.drop("plain_columns", "part_columns", "constants"), scopes
+
+
+def _scopes(spark, tables, profiled, attributes, files, keys, mixed, hierarchy):
+    """Attributes with those of the titles, scope rows, granularities by dimension, and the attributes of the titles alone."""
+    hierarchy = rollups.hierarchy_table(spark) if hierarchy is None else hierarchy
+    named = file_name_attributes(files.select("dataset_id", "title"), attributes, hierarchy, keys)
+    named = stage(named, "named")
+    attributes = stage(with_file_name_attributes(attributes, named), "attributes")
+    space, time = dimension_levels(attributes, "spatial"), dimension_levels(attributes, "temporal")
+    space_scope, time_scope = (rollups.scope_rollup(lv, hierarchy, d) for lv, d in ((space, "spatial"), (time, "temporal")))
+    space_scope, time_scope = stage(space_scope, "space"), stage(time_scope, "time")
+    space_gran = rollups.granularity_rollup(space, hierarchy, "spatial").withColumnRenamed("granularity", "spatialGranularity")
+    time_gran = rollups.granularity_rollup(time, hierarchy, "temporal").withColumnRenamed("granularity", "temporalGranularity")
+
+    values = spatial_scope(attributes, profiled, mixed, space_scope)
+    points = coordinate_extents(tables, attributes, space_scope)
+    if points is not None:
+        values = values.unionByName(points.select("dataset_id", F.lit("geometry_extent").alias("level"), "value"))
+    ranges = temporal_scope(attributes, profiled, time_scope)
+    scopes = values.select(
+        "dataset_id", F.lit("spatial").alias("dim"), "level", "value", F.lit(None).cast("string").alias("end_value")
+    ).unionByName(
+        ranges.select(
+            "dataset_id", F.lit("temporal").alias("dim"), F.col("granularity").alias("level"),
+            F.col("start_label").alias("value"), F.col("end_label").alias("end_value"),
+        )
+    )
+    return attributes, stage(scopes, "scopes"), (space_gran, time_gran), named
 
 
 def _nested_scopes(scopes: DataFrame, dim: str) -> DataFrame:

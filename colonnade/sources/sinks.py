@@ -81,23 +81,28 @@ def _with_kind(a):
     return a.withField("kind", kind)
 
 
-def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """The catalog, empty when it has not been written yet."""
+def read_catalog(spark: SparkSession, path: str, schema: str = catalog.CATALOG_SCHEMA) -> DataFrame:
+    """The catalog, empty when it has not been written yet; any other table that :func:`write_version` wrote by its schema."""
     try:
         versions = spark.read.parquet(path)
     except AnalysisException:
-        return spark.createDataFrame([], catalog.CATALOG_SCHEMA)
+        return spark.createDataFrame([], schema)
     return versions.where(F.col("catalog_version") == versions.agg(F.max("catalog_version")).first()[0]).drop("catalog_version")
 
 
 def write_catalog(entries: DataFrame, path: str) -> None:
     """Write the catalog in its order as the next version; readers keep the last complete one."""
-    spark = entries.sparkSession
+    write_version(catalog.ordered(entries), path)
+
+
+def write_version(table: DataFrame, path: str) -> None:
+    """Write the next version of a table."""
+    spark = table.sparkSession
     try:
         last = spark.read.parquet(path).agg(F.max("catalog_version")).first()[0]
     except AnalysisException:
         last = 0
-    catalog.ordered(entries).withColumn("catalog_version", F.lit((last or 0) + 1)).write.mode("append").partitionBy(
+    table.withColumn("catalog_version", F.lit((last or 0) + 1)).write.mode("append").partitionBy(
         "catalog_version"
     ).parquet(path)
 

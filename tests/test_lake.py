@@ -11,7 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from colonnade.operators import catalog as entries
-from colonnade.operators import reference, vertices
+from colonnade.operators import labels, reference, vertices
+from colonnade.operators.annotations import BACKBONE_SCHEMA
 from colonnade.plans.catalog import build_catalog, describe_tables
 from colonnade.sources import lake, readers, sinks
 from colonnade.sources import records as quoting
@@ -128,6 +129,57 @@ def test_catalog_twice(spark, folder):
     assert titles == sorted(titles, key=str.lower)
 
 
+def test_labels_series_titles_and_times(spark, folder):
+    """Levels of labels, classes handed on within a series, constants of titles in the raw zone, seven timings."""
+    write(folder, "lake/x_data.csv", "GEO;OBS;K\n" + "".join(f"{1 + i % 4};{i % 7};{i}\n" for i in range(40)))
+    write(folder, "lake/x_metadata.csv", "COD_VAR;LIB_VAR;COD_MOD;LIB_MOD\n" + "".join(f"GEO;g;{k};{v}\n" for k, v in enumerate(["PARIS", "AIN", "Île-de-France", "nowhere"], 1)))
+    write(folder, "lake/dep_75_2020.csv", "a,b\n" + "1,2\n3,4\n" * 10)
+    write(folder, "lake/sales_1.csv", "amount;day\n" + "".join(f"{i % 7};2021-01-{1 + i % 28:02}\n" for i in range(60)))
+    out = folder + "/out"
+    registry = spark.createDataFrame([("sales_1.csv", "sales"), ("sales_2.csv", "sales")], "file_name string, filename_series_hint string")
+
+    def build():
+        errors = build_catalog(spark, folder + "/lake", out, references(spark), registry=registry, update_backbone=True)
+        assert errors.collect() == []
+        return {r["title"]: r for r in sinks.read_catalog(spark, out + "/catalog").collect()}
+
+    rows = build()
+    entry = rows["x_data.csv"]
+    scopes = {(r["level"], r["value"]) for r in spark.read.parquet(out + "/scopes").where((F.col("dataset_id") == entry["id"]) & (F.col("dim") == "spatial")).collect()}
+    assert scopes == {("region", "Île-de-France")} and entry["spatialGranularity"] == "departement"
+    documents = {r["title"]: {a["dataName"]: a for a in r["attributes"]} for r in spark.read.json(out + "/metadata").collect()}
+    label = documents["x_data.csv"]["GEO_LABEL"]
+    assert (label["spatialLevel"], label["matched_by"], label["confidence"]) == ("mixed", "insee_metadata_sidecar_label_mixed_ref_spatial", 0.8)
+    assert label["mixed_levels"] == ["region", "departement"]
+    titled = rows["dep_75_2020.csv"]
+    assert (titled["nCols"], titled["nRows"]) == (4, 20)
+    raw = spark.read.option("header", True).csv(titled["rawzonePath"])
+    assert raw.columns == ["a", "b", "METADATA_TEMPORAL_YEAR", "METADATA_SPATIAL_DEPARTEMENT"] and {tuple(r)[2:] for r in raw.collect()} == {("2020", "75")}
+    for timings in (r["timings"].asDict() for r in sinks.read_perf_log(spark, out + "/perf").collect()):
+        assert set(timings) == set(entries.TIMINGS) and all(v > 0 for v in timings.values())
+        assert sum(timings.values()) <= 2 * timings["total_sec"]
+    # by its values alone the column would be an identifier
+    write(folder, "lake/sales_2.csv", "amount;other\n" + "".join(f"{i * 37};{i % 5}\n" for i in range(40)))
+    rows = build()
+    documents = {r["title"]: {a["dataName"]: a["role"] for a in r["attributes"]} for r in spark.read.json(out + "/metadata").collect()}
+    assert documents["sales_2.csv"] == {"amount": "indicator", "other": "indicator"}
+    kept = sinks.read_catalog(spark, out + "/backbone", BACKBONE_SCHEMA)
+    assert sorted((r["series_hint"], r["column_name_normalized"]) for r in kept.collect()) == [("sales", "amount"), ("sales", "day"), ("sales", "other")]
+
+
+def test_levels_of_labels(spark):
+    """Names before codes; blanks are no labels; labels without a place keep their list."""
+    keys = reference.reference_keys(references(spark))
+    rows = [(1, " Paris "), (1, "paris"), (1, "x"), (1, ""), (2, "75"), (2, "1"), (2, "01"), (3, "75"), (3, "x"), (4, "x"), (5, " "), (6, "Ain"), (6, "ILE-DE-FRANCE")]
+    columns, values = labels.label_levels(spark.createDataFrame(rows, "cid int, v string"), keys, ["cid"])
+    found = {r["cid"]: (r["granularity"], r["matched_by"].removeprefix("insee_metadata_sidecar"), r["confidence"], r["mixed_levels"]) for r in columns.collect()}
+    assert found == {
+        1: ("departement", "_label_ref_spatial", 0.8, ["departement"]), 2: ("departement", "_label_code", 0.99, []), 3: ("insee_geo", "", 0.98, []),
+        4: ("insee_geo", "", 0.98, []), 6: ("mixed", "_label_mixed_ref_spatial", 0.99, ["region", "departement"]),
+    }
+    assert sorted(tuple(r) for r in values.collect()) == [(1, "departement", "Paris"), (1, "departement", "paris"), (6, "departement", "Ain"), (6, "region", "ILE-DE-FRANCE")]
+
+
 def test_damaged_file_forced_rerun_and_documents(spark, folder):
     write(folder, "lake/villes_2021.csv", "code_dep;valeur;nom\n" + "75;1;x\n01;2;y\n" * 10)
     good = write(folder, "bad.parquet", b"")

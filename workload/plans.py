@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from colonnade.operators import annotations as notes
 from colonnade.operators import lookups, reference
 from colonnade.operators.profile import Profiled, address_columns, profile_tables
 from colonnade.plans import classify
@@ -164,10 +165,72 @@ UNION ALL SELECT 'l_suppkey', 'indicator', NULL, NULL FROM lineitem HAVING count
 UNION ALL SELECT 'l_linenumber', 'indicator', NULL, NULL FROM lineitem HAVING count(l_linenumber) > 0
 UNION ALL SELECT 'l_returnflag', 'indicator', NULL, NULL FROM lineitem HAVING count(l_returnflag) > 0"""
 
+
+def label_scopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scopes of customers whose nation codes are explained by code lists: of nations, of several levels, of zones."""
+    nation, region = load(spark, sf_dir, "nation"), load(spark, sf_dir, "region")
+    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    zone, key = F.concat(F.lit("zone "), F.col("n_name")), F.col("n_nationkey")
+    lists = {"nations": F.col("n_name"), "levels": F.when(key < 5, F.col("r_name")).when(key < 20, F.col("n_name")).otherwise(zone), "zones": zone}
+    tables, rows = {}, []
+    for name, label in lists.items():
+        sidecar = places.select(F.lit("GEO").alias("COD_VAR"), F.lit("place").alias("LIB_VAR"), key.cast("string").alias("COD_MOD"), label.alias("LIB_MOD"))
+        data = load(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("GEO"), "c_mktsegment", "c_acctbal")
+        tables[name], added = lookups.add_code_labels(data, sidecar)
+        rows.append((name, "GEO", added))
+    files = spark.createDataFrame([(name, f"{name}.csv") for name in tables], "dataset_id string, title string")
+    labelled = spark.createDataFrame(rows, "dataset_id string, code_column string, label_column string")
+    described = describe_tables(spark, tables, files, reference_lists(spark, sf_dir), labelled=labelled)
+    found = described.attributes.where("role = 'spatial' AND array_contains(columns, 'GEO_LABEL')")
+    return found.join(described.scopes.where("dim = 'spatial'"), "dataset_id").select(
+        "dataset_id", F.array_join("columns", ",").alias("column"), "granularity", "matched_by", F.round("confidence", 9).alias("confidence"),
+        F.array_join("mixed_levels", ",").alias("mixed_levels"), "level", "value",
+    )
+
+
+LABEL_SCOPES_SQL = """
+WITH c AS (SELECT DISTINCT n_nationkey AS k, n_name, r_name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+m AS (SELECT count(DISTINCT CASE WHEN k < 5 THEN r_name WHEN k < 20 THEN n_name END) / (count(DISTINCT CASE WHEN k < 5 THEN r_name ELSE n_name END)) AS share FROM c)
+SELECT 'nations' AS dataset_id, 'GEO_LABEL' AS "column", 'departement' AS granularity, 'insee_metadata_sidecar_label_ref_spatial' AS matched_by, 0.99e0 AS confidence,
+  'departement' AS mixed_levels, 'departement' AS level, n_name AS value FROM c
+UNION ALL SELECT DISTINCT 'levels', 'GEO_LABEL', 'mixed', 'insee_metadata_sidecar_label_mixed_ref_spatial', round(least(0.99e0, greatest(0.8e0, share)), 9), 'region,departement', 'region', r_name FROM c, m WHERE k < 5
+UNION ALL SELECT 'zones', 'GEO_LABEL', 'insee_geo', 'insee_metadata_sidecar', 0.98e0, '', 'insee_geo', 'zone ' || n_name FROM c"""
+
+
+def series_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of line items by supplier, inherited from line items of the same series where the names agree."""
+    lines = load(spark, sf_dir, "lineitem")
+    files = spark.createDataFrame([("lines", "lines.parquet", "sales"), ("totals", "totals.parquet", "sales")], "dataset_id string, title string, filename_series_hint string")
+    empty = spark.createDataFrame([], notes.BACKBONE_SCHEMA)
+    own = lines.select("l_quantity", "l_returnflag", "l_shipdate", "l_linenumber")
+    lists = reference_lists(spark, sf_dir)
+    first = describe_tables(spark, {"lines": own}, files.where("dataset_id = 'lines'"), lists, backbone=empty)
+    totals = lines.groupBy("l_suppkey").agg(
+        F.max("l_extendedprice").alias("L_QUANTITY"), F.min("l_shipdate").alias("l_shipdate"), F.count("*").cast("string").alias("l_returnflag")
+    )
+    second = describe_tables(spark, {"totals": totals}, files.where("dataset_id = 'totals'"), lists, backbone=first.backbone)
+    backbone = second.backbone.select(F.lit("backbone").alias("dataset_id"), F.col("column_name_normalized").alias("column"), F.when(F.col("is_spatial"), "spatial")
+        .when(F.col("is_temporal"), "temporal").when(F.col("is_indicator"), "indicator").otherwise("other").alias("role"), "indicator_type")
+    found = second.attributes.select("dataset_id", F.array_join("columns", ",").alias("column"), "role", "indicator_type", "value_min", "value_max")
+    return found.unionByName(backbone, allowMissingColumns=True)
+
+
+SERIES_CLASSES_SQL = """
+WITH t AS (SELECT l_suppkey, max(l_extendedprice) AS q FROM lineitem GROUP BY l_suppkey)
+SELECT 'totals' AS dataset_id, 'L_QUANTITY' AS "column", 'indicator' AS role, 'Quantitative' AS indicator_type, min(CAST(q AS DOUBLE)) AS value_min, max(CAST(q AS DOUBLE)) AS value_max FROM t
+UNION ALL SELECT 'totals', 'l_shipdate', 'temporal', NULL, NULL, NULL
+UNION ALL SELECT 'totals', 'l_returnflag', 'indicator', 'Qualitative', NULL, NULL
+UNION ALL SELECT 'totals', 'l_suppkey', 'spatial', NULL, NULL, NULL
+UNION ALL SELECT 'backbone', c, CASE c WHEN 'l_shipdate' THEN 'temporal' WHEN 'l_suppkey' THEN 'spatial' ELSE 'indicator' END,
+  CASE WHEN c = 'l_returnflag' THEN 'Qualitative' WHEN c IN ('l_quantity', 'l_linenumber') THEN 'Quantitative' END, NULL, NULL
+  FROM (SELECT unnest(['l_quantity', 'l_returnflag', 'l_shipdate', 'l_linenumber', 'l_suppkey']) AS c)"""
+
 QUERIES = {
     "attribute_classification": attribute_classification,
     "annotated_classification": annotated_classification,
     "code_label_attributes": code_label_attributes,
+    "label_scopes": label_scopes,
+    "series_classes": series_classes,
     "dataset_scopes": dataset_scopes,
     "catalog_end_to_end": catalog_end_to_end,
 }
@@ -175,5 +238,7 @@ ORACLES = {
     "attribute_classification": CLASSIFICATION_SQL,
     "annotated_classification": ANNOTATED_SQL,
     "code_label_attributes": CODE_LABEL_ATTRIBUTES_SQL,
+    "label_scopes": LABEL_SCOPES_SQL,
+    "series_classes": SERIES_CLASSES_SQL,
     "dataset_scopes": DATASET_SCOPES_SQL,
 }
