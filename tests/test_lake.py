@@ -110,7 +110,7 @@ def test_catalog_twice(spark, folder):
     rows = {r["title"]: r for r in first.collect()}
     assert set(rows) == {"villes_2021.csv", "x_data.csv", "dep_75_mesures.csv", "points.geojson"}
     villes = rows["villes_2021.csv"]
-    assert (villes["spatialGranularity"], villes["temporalGranularity"], villes["nRows"], villes["nCols"]) == ("departement", "year", 40, 3)
+    assert (villes["spatialGranularity"], villes["temporalGranularity"], villes["nRows"], villes["nCols"]) == ("departement", "year", 40, 4)  # the year of the title is a column
     scopes = {title: [(r["dim"], r["level"], r["value"], r["end_value"]) for r in spark.read.parquet(out + "/scopes").where(F.col("dataset_id") == row["id"]).collect()] for title, row in rows.items()}
     assert [t.asDict() for t in villes["temporalScope"]] == [{"temporalScopeLevel": "year", "nValues": 1}]
     assert ("temporal", "year", "2021", "2021") in scopes["villes_2021.csv"]
