@@ -35,7 +35,10 @@ def coordinate_pairs(
             "numeric_like"
         ),
     )
-    a, b = axes.alias("a"), axes.alias("b")
+    # only columns that can be an axis meet, not all columns of a dataset
+    loose = F.col("numeric_like") if numeric_fallback else F.lit(False)
+    a = axes.where(F.col("lat_name") | F.col("y_name") | loose).alias("a")
+    b = axes.where(F.col("lon_name") | F.col("x_name") | loose).alias("b")
     pairs = a.join(b, (F.col("a.dataset_id") == F.col("b.dataset_id")) & (F.col("a.column") != F.col("b.column")))
     both_numeric = F.col("a.numeric_like") & F.col("b.numeric_like") if numeric_fallback else F.lit(False)
 
