@@ -8,9 +8,10 @@ to 65,535 for each task.
 2. A link needs a common n-gram among the first |A| - 3/4 |A| + 1 of each set (at 75), so only these are shuffled. N-grams that many classes share are dealt out over several lists.
 3. Star turns: each class is held against one other, the head of most of its n-grams, then against some heads of the
    largest component among long lists. So copies meet their group without pairs inside it. Turns end when few pairs link.
-4. Exact pass: all classes that share such an n-gram and are still in different components are held against each other,
-   if their sizes, the n-gram's places and the number of first n-grams in common leave a link possible. Lists of a
-   dealt-out n-gram meet one another here.
+4. Exact pass: classes that are still in different components meet at the first n-gram they share, if their sizes and
+   its places leave a link possible: it must lie among the first |A| - c + 1 of each set, c being what these two sizes
+   need in common. Parities of both sets then bound the n-grams that only one of them has. Lists of a dealt-out n-gram
+   meet one another here.
 5. A pair's overlap is counted fragment by fragment: the global order is cut into ranges, each range of each pair is its
    own row, partial counts are summed per pair.
 6. Components grow over links by minimum labels until nothing changes.
@@ -40,6 +41,9 @@ BUCKETS, PARTS = 1 << 20, 256
 #: Ranges that the global order is cut into.
 FRAGMENTS = 4
 
+#: Parities kept of each set; they tell most pairs apart that have up to three times as many n-grams together.
+BITS = 1024
+
 #: Pairs of one head that are counted together; heads of an n-gram in a turn, after the first.
 BLOCK, HEADS = 64, 8
 
@@ -70,11 +74,18 @@ def _name(grams: np.ndarray) -> int:
     return int(mix(grams ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64).view(np.int64))
 
 
+def _mark(grams: np.ndarray) -> np.ndarray:
+    """``BITS`` parities of a set: whether the number of its n-grams that hash to a bit is odd."""
+    bits = (mix(grams ^ np.uint64(0x5BD1E995)) % np.uint64(BITS)).astype(np.int64)
+    return np.packbits(np.bincount(bits, minlength=BITS).astype(np.uint8) & 1).view(np.int64)
+
+
 def describe(docs: DataFrame, rule: Rule) -> DataFrame:
-    """``doc_id, key, size, class`` of each row (``part`` null), and the counts of each task: ``part, hits``."""
+    """``doc_id, key, size, class, mark`` of each row (``part`` null), and the counts of each task: ``part, hits``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, key long, size int, class long, part int, hits binary"
-    names = ["doc_id", "key", "size", "class", "part", "hits"]
+    schema = f"doc_id {kind}, key long, size int, class long, mark array<long>, part int, hits binary"
+    names = ["doc_id", "key", "size", "class", "mark", "part", "hits"]
+    marks = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hits = np.zeros(BUCKETS, dtype=np.int64)
@@ -82,17 +93,18 @@ def describe(docs: DataFrame, rule: Rule) -> DataFrame:
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
             for at, to in chunks(batch.column("text")):
-                part, sizes, keys, seen = batch.slice(at, to - at), [], [], []
+                part, sizes, keys, seen, odd = batch.slice(at, to - at), [], [], [], []
                 for grams in _sets(part.column("text"), rule):
                     sizes.append(len(grams))
                     keys.append(_name(grams) if len(grams) else None)
                     seen.append(grams)
+                    odd.append(_mark(grams) if len(grams) else None)
                 np.add.at(hits, _bucket(np.concatenate(seen)), 1)
-                columns = [part.column("doc_id"), part.column("key"), pa.array(sizes, pa.int32()), pa.array(keys, pa.int64())]
+                columns = [part.column("doc_id"), part.column("key"), pa.array(sizes, pa.int32()), pa.array(keys, pa.int64()), pa.array(odd, marks)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(part), pa.int32()), pa.nulls(len(part), pa.binary())], names)
         if hits.any():
             parts = np.minimum(hits, 65535).astype(np.uint16).reshape(PARTS, -1)
-            columns = [pa.nulls(PARTS, t) for t in (id_type, pa.int64(), pa.int32(), pa.int64())]
+            columns = [pa.nulls(PARTS, t) for t in (id_type, pa.int64(), pa.int32(), pa.int64(), marks)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(np.arange(PARTS, dtype=np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())], names)
 
     return docs.mapInArrow(run, schema)
@@ -264,14 +276,16 @@ def grouped(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, DataFram
     docs = docs.withColumn("key", _key(F.col("doc_id"), F.col("text")))
     described = written(describe(docs, rule), "ngram-sets")
     level = levels(described)
-    rows = described.filter("part is null").select("doc_id", "key", "size", "class")
+    rows = described.filter("part is null").select("doc_id", "key", "size", "class", "mark")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key"))
-    classes = written(rows.filter("class is not null").groupBy("class").agg(first.alias("first"), F.count("*").alias("rows")), "ngram-classes")
+    classes = written(rows.filter("class is not null").groupBy("class").agg(first.alias("first"), F.count("*").alias("rows"), F.any_value("mark").alias("mark")), "ngram-classes")
     dealt = written(lists(prefixes(docs, rule, level)), "ngram-lists")
 
-    def with_keys(pairs: DataFrame) -> DataFrame:
-        of = classes.select("class", F.col("first.key").alias("key"))
-        out = pairs.join(of.withColumnsRenamed({"class": "a", "key": "key_a"}), "a").join(of.withColumnsRenamed({"class": "b", "key": "key_b"}), "b")
+    def with_keys(pairs: DataFrame, apart: Column | None = None) -> DataFrame:
+        of = classes.select("class", F.col("first.key").alias("key"), *["mark"] * (apart is not None))
+        of_a, of_b = (of.withColumnsRenamed({c: c.replace("class", x) if c == "class" else f"{c}_{x}" for c in of.columns}) for x in "ab")
+        out = pairs.join(of_a, "a").join(of_b, "b")
+        out = out if apart is None else out.filter(_differ(F.col("mark_a"), F.col("mark_b")) <= apart)
         return written(out.select("a", "b", "key_a", "key_b"), "ngram-candidates")
 
     links, near, tried, turn = None, None, 1, 0
@@ -286,9 +300,9 @@ def grouped(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, DataFram
         near = components(links) if hit else near
         if 50 * hit < tried or not hit:  # heads find little any more
             break
-    rest = linked(overlaps(docs, with_keys(_across(_rooted(opened, near), rule)), rule, level), rule)
-    links = written(links.unionByName(rest), "ngram-links")
-    return rows, classes, components(links)
+    rest = with_keys(_across(_rooted(opened, near), rule), F.col("apart"))
+    links = written(links.unionByName(linked(overlaps(docs, rest, rule, level), rule)), "ngram-links")
+    return rows.drop("mark"), classes.drop("mark"), components(links)
 
 
 def _rooted(opened: DataFrame, near: DataFrame | None) -> DataFrame:
@@ -324,25 +338,36 @@ def _stars(opened: DataFrame, heads: DataFrame, turn: int, rule: Rule) -> DataFr
     return best.select(F.col("best.a").alias("a"), F.col("class").alias("b"))
 
 
+def _differ(a: Column, b: Column) -> Column:
+    """Least number of n-grams that only one of two sets with these parities has."""
+    return sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(BITS // 64)), F.lit(0))
+
+
 def _across(rooted: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs ``a, b`` of classes that share a first n-gram, lie in different components and can still link."""
+    """Pairs ``a, b`` of classes that share a first n-gram, lie in different components and can still link; ``apart``: the
+    most n-grams that only one of them has if they do."""
+    sa, sb = F.col("size_a"), F.col("size_b")
+    pairs = _met(rooted, rule).dropDuplicates(["class_a", "class_b"])
+    return pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b"), (sa + sb - 2 * _least(sa, sb, rule.percent)).alias("apart"))
+
+
+def _met(rooted: DataFrame, rule: Rule) -> DataFrame:
+    """``class, size`` of two classes (``_a``, ``_b``) of different components, at n-grams they share that can be the first they
+    share if they link."""
     main = rooted.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max(F.struct("many", "root")).alias("main"))
     main = written(main.filter("low <> high").select("gram", F.col("main.root").alias("main")), "ngram-main")
-    open_rows = written(rooted.dropDuplicates(["gram", "class"]).join(main, "gram"), "ngram-rooted")
+    # an n-gram that follows one and the same in both sets is not the first they share
+    before = F.lag("gram").over(Window.partitionBy("class").orderBy("place"))
+    open_rows = written(rooted.dropDuplicates(["gram", "class"]).join(main, "gram").withColumn("before", before), "ngram-rooted")
     # of two classes with different roots one at least is not of the n-gram's main root: members of that never meet
-    left, right = (open_rows.select("gram", *[F.col(c).alias(f"{c}_{x}") for c in ("class", "size", "place", "root", "main")]) for x in "ab")
+    left, right = (open_rows.select("gram", *[F.col(c).alias(f"{c}_{x}") for c in ("class", "size", "place", "root", "main", "before")]) for x in "ab")
     met = left.filter("root_a <> main_a").join(right, "gram").filter("root_a <> root_b and (root_b = main_b or class_a < class_b)")
     turned = F.col("class_a") > F.col("class_b")
-    sides = [F.when(turned, F.col(f"{c}_{y}")).otherwise(F.col(f"{c}_{x}")).alias(f"{c}_{x}") for c in ("class", "size", "place") for x, y in ("ab", "ba")]
+    sides = [F.when(turned, F.col(f"{c}_{y}")).otherwise(F.col(f"{c}_{x}")).alias(f"{c}_{x}") for c in ("class", "size") for x, y in ("ab", "ba")]
     sa, sb, pa_, pb = (F.col(c) for c in ("size_a", "size_b", "place_a", "place_b"))
-    enough = F.least(sa - pa_, sb - pb) + F.least(pa_, pb) >= _least(sa, sb, rule.percent)
-    met = met.filter(_possible(sa, sb, rule.percent) & enough).select(*sides)
-    # Up to the end of the prefix that ends first, all common n-grams are in both. What may follow is at most the rest of
-    # that set, and of the other set what lies behind the last common n-gram.
-    behind_a, behind_b = (F.ceil(F.lit(rule.percent) * n / 100 - F.lit(1e-9)) - 1 for n in (sa, sb))
-    pairs = met.groupBy("class_a", "class_b", "size_a", "size_b").agg(F.count("*").alias("common"), F.max("place_a").alias("last_a"), F.max("place_b").alias("last_b"))
-    more = F.greatest(F.least(behind_a, sb - F.col("last_b") - 1), F.least(behind_b, sa - F.col("last_a") - 1))
-    return pairs.filter(F.col("common") + more >= _least(sa, sb, rule.percent)).select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
+    first = ~F.coalesce(F.col("before_a") == F.col("before_b"), F.lit(False))
+    enough = F.least(sa - pa_, sb - pb) >= _least(sa, sb, rule.percent)  # what is left from there on
+    return met.filter(first & _possible(sa, sb, rule.percent) & enough).select(*sides)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -205,6 +205,32 @@ def test_ngram_join_of_many_near_copies(spark):
     assert got == component_of(list(sets), sets)
 
 
+def test_ngram_join_of_near_misses_meets_a_pair_once(spark):
+    """Texts that share most n-grams, but too few to link, do not meet once for each of these n-grams."""
+    common = [f"c{i}" for i in range(80)]
+    def near(k, own):
+        return " ".join(common[:40] + [f"o{k}x{j}" for j in range(own)] + common[40:])
+    table = [(k, near(k, 8 + k % 8)) for k in range(40)]
+    rule = ngram_join.Rule()
+    docs = spark.createDataFrame(table, "doc_id long, text string")
+    level = ngram_join.levels(ngram_join.describe(docs.withColumn("key", F.col("doc_id")), rule))
+    rooted = ngram_join._rooted(ngram_join.lists(ngram_join.prefixes(docs, rule, level)), None)
+    assert rooted.count() > 200  # they do share first n-grams
+    assert ngram_join._met(rooted, rule).count() <= 40 * 39 // 2
+    sets = {k: shingles(t) for k, t in table}
+    got = {r.doc_id: r.component_id for r in ngram_join.join(docs).collect()}
+    assert got == component_of(list(sets), sets)
+
+
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(3)
+    for n in (1, 30, 400, 3000):
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.r_[a[: n // 2], rng.integers(0, 1 << 63, n // 3, dtype=np.uint64)])
+        odd = int(np.bitwise_count((ngram_join._mark(a) ^ ngram_join._mark(b)).view(np.uint64)).sum())
+        assert odd <= len(np.setxor1d(a, b)) and (odd - len(np.setxor1d(a, b))) % 2 == 0
+
+
 def test_ngram_join_stage_leaves_one_row_of_each_group(spark, empty):
     """Repeated rows, two texts of one id, and groups that only rows without an id hold together."""
     base, other, third = (prose(80, 40 + i) for i in range(3))
