@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from colonnade.llm.common import chunks
 
 #: Words whose tokens a task remembers before it starts anew, and the longest word that it remembers.
-REMEMBERED, LONGEST = 400_000, 64
+REMEMBERED, LONGEST = 100_000, 64
 
 #: How the vocabulary cuts normalised text into pieces; a fixed value of the public tokenizer, as in its file.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -170,7 +170,7 @@ class Encoder:
         different = set(words)
         new = [w for w in different if w not in self.known]
         if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
+            self.known = {}
             new = list(different)
         special, tokens = self.vocabulary.special, self.vocabulary.tokens
         now: dict[str, tuple[int, str, str]] = {w: (1, str(special[w]), w) for w in new if w in special}
@@ -179,7 +179,7 @@ class Encoder:
             ids = ids.tolist()
             now[w] = len(ids), " ".join(map(str, ids)), " ".join([tokens[i] for i in ids])
         self.known |= {w: x for w, x in now.items() if len(w) <= LONGEST}
-        return self.known | now if any(len(w) > LONGEST for w in now) else self.known
+        return {w: now[w] if w in now else self.known[w] for w in different}
 
     def encode(self, texts: list[str]) -> Iterator[tuple[int, str, str]]:
         """Number of tokens, ids and decoded text of each text."""

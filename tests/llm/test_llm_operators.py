@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -231,6 +232,27 @@ def test_parities_bound_the_difference():
         assert odd <= len(np.setxor1d(a, b)) and (odd - len(np.setxor1d(a, b))) % 2 == 0
 
 
+def test_bpe_hands_out_only_the_words_asked_for(monkeypatch):
+    """A long word must not copy all that is remembered, and what is remembered stays bounded."""
+    monkeypatch.setattr(bpe, "REMEMBERED", 50)
+    encoder = bpe.Encoder(bpe.Vocabulary(bpe.word_vocabulary()))
+    for k in range(20):
+        asked = {f"w{k}x{i}" for i in range(9)} | {"the", "z" * 100}
+        assert set(encoder.learn(asked)) == asked and len(encoder.known) <= 50
+
+
+def test_arrow_batches_are_bounded_by_bytes(spark):
+    """Long texts come to Python in batches of a few megabytes, not ten thousand at a time."""
+    from colonnade.session import configure
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    long = configure(spark).range(0, 4000, 1, 1).select(F.repeat(F.col("id").cast("string"), 4000).alias("text"))
+    assert max(r.n for r in long.mapInArrow(sizes, "n long").collect()) < 8 << 20
+
+
 def test_ngram_join_stage_leaves_one_row_of_each_group(spark, empty):
     """Repeated rows, two texts of one id, and groups that only rows without an id hold together."""
     base, other, third = (prose(80, 40 + i) for i in range(3))
