@@ -39,14 +39,15 @@ def fold_accents(text: Column) -> Column:
     """Compatibility decomposition of Latin text with the combining marks removed.
 
     Spark has no Unicode normaliser, so all one-to-one letters go through a single ``translate``; ligatures are spelt
-    out only in the rows that contain one.
+    out only in the rows that contain one. A text of as many bytes as letters has nothing to fold.
     """
     source, target = _fold_table()
     spelt = text
     for char, letters in _LIGATURES:
         spelt = F.replace(spelt, F.lit(char), F.lit(letters))
     has_ligature = text.rlike("[" + "".join(c for c, _ in _LIGATURES) + "]")
-    return F.translate(F.when(has_ligature, spelt).otherwise(text), source, target)
+    folded = F.translate(F.when(has_ligature, spelt).otherwise(text), source, target)
+    return F.when(F.octet_length(text) == F.length(text), text).otherwise(folded)
 
 
 def column_key(name: Column) -> Column:

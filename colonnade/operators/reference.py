@@ -14,6 +14,7 @@ from colonnade.functions import fixed
 from colonnade.functions.names import level_hits
 from colonnade.functions.numbers import padded_code, ratio
 from colonnade.functions.text import code_key, column_key, name_key, strip
+from colonnade.session import stage
 
 REFERENCE_SCHEMA = "level string, level_rank int, code string, nom string"
 
@@ -227,17 +228,22 @@ def file_name_levels(names: DataFrame, keys: DataFrame, *, name: str = "name") -
 INDEX_WORDS = 4
 
 
+def _line(t: Column) -> Column:
+    """A folded text as words between single blanks."""
+    words = F.regexp_replace(t, "[^a-z0-9]+", " ")
+    line = F.concat(F.lit(" "), F.when(F.contains(t, F.lit("_")), words).otherwise(F.concat_ws(" ", t, words)), F.lit(" "))
+    return F.regexp_replace(line, " +", " ")
+
+
 def names_in_text(texts: DataFrame, reference: DataFrame, *, key: str, text: str) -> DataFrame:
     """Reference names of any length and codes mentioned in texts: (key, level, by, value).
 
-    Texts are tokenised once into an index: every word with the few that follow it.  A name is looked up by its first
-    two words and compared with those that follow; only a name of more than ``INDEX_WORDS`` words whose beginning was
-    found is compared with the text itself, which is read again for these pairs.  ``key`` names each text once.
+    Texts are folded once into an index: every word with the few that follow it, and the codes.  A name is looked up by
+    its first two words and compared with those that follow; what is found is written down.  Only a name of more than
+    ``INDEX_WORDS`` words whose beginning was found is compared with the text itself, which is read and folded again for
+    these pairs.  ``key`` names each text once.
     """
-    clean = texts.select(key, column_key(F.col(text)).alias("t"))
-    words = F.regexp_replace("t", "[^a-z0-9]+", " ")
-    line = F.concat(F.lit(" "), F.when(F.contains("t", F.lit("_")), words).otherwise(F.concat_ws(" ", "t", words)), F.lit(" "))
-    lines = clean.withColumn("line", F.regexp_replace(line, " +", " "))
+    lines = texts.select(key, column_key(F.col(text)).alias("t")).withColumn("line", _line(F.col("t")))
     names = (
         reference.where("nom IS NOT NULL").select("level", name_key(F.col("nom")).alias("value")).distinct()
         .where((F.length("value") >= 4) & ~F.col("value").rlike("^[0-9]+$"))
@@ -249,28 +255,30 @@ def names_in_text(texts: DataFrame, reference: DataFrame, *, key: str, text: str
     alone = F.array_distinct(F.concat(spaces(inner), spaces(F.split(F.trim("line"), " "))))
     # the look-ahead finds a group at every word without using it up, so neighbouring groups overlap
     groups = F.regexp_extract_all("line", F.lit("(?<= )(?=((?:[^ ]+ ){2,%d}))" % INDEX_WORDS), F.lit(1))
-    index = lines.select(key, F.explode(F.concat(alone, groups)).alias("found"))
-    beginning = F.concat(F.substring_index("value", " ", INDEX_WORDS), F.lit(" "))
-    begins = names.select("level", "value", "n", beginning.alias("beginning"), F.substring_index(beginning, " ", 2).alias("start"))
-    begun = (
-        index.withColumn("start", F.substring_index("found", " ", 2)).join(begins, "start")
-        .where(F.startswith("found", "beginning")).select(key, "level", "value", "n").distinct()
+    # a code does not end with a blank, all words do
+    marked = lambda level, code: F.concat(F.lit("="), level, F.lit("="), code)
+    found_codes = lambda level, pattern, group: F.transform(
+        F.regexp_extract_all("t", F.lit(pattern), F.lit(group)), lambda c: marked(F.lit(level), F.upper(c))
     )
-    short = begun.where(F.col("n") <= INDEX_WORDS).select(key, "level", "value")
-    spaced = F.concat(F.lit(" "), F.col("value"), F.lit(" "))
-    long = begun.where(F.col("n") > INDEX_WORDS).join(lines, key).where(F.contains("line", spaced)).select(key, "level", "value")
-    by_name = short.unionByName(long).select(key, "level", F.lit("nom").alias("by"), "value").distinct()
-    trials = [
-        _at_level(F.regexp_extract_all("t", F.lit(pattern), F.lit(group)), level, "value")
-        for level, pattern, group in fixed.TEXT_CODE_PATTERNS
-    ]
+    codes_of = [found_codes(*trial) for trial in fixed.TEXT_CODE_PATTERNS]
+    # outer: else Spark tests the array before it explodes it, by folding the text anew at each place that names it
+    index = lines.select(key, F.explode_outer(F.concat(alone, groups, F.array_distinct(F.concat(*codes_of)))).alias("found"))
+    start = lambda found: F.substring_index(found, " ", 2).alias("start")
     codes = reference.where("code IS NOT NULL").select("level", code_key(F.col("code")).alias("value")).distinct()
-    by_code = (
-        clean.select(key, F.inline(F.array_distinct(F.flatten(F.array(*trials)))))
-        .join(codes, ["level", "value"])
-        .select(key, "level", F.lit("code").alias("by"), "value")
+    code = marked(F.col("level"), F.col("value"))
+    beginning = F.concat(F.substring_index("value", " ", INDEX_WORDS), F.lit(" "))
+    begins = names.select("level", F.lit("nom").alias("by"), "value", "n", beginning.alias("beginning"), start(beginning)).unionByName(
+        codes.select("level", F.lit("code").alias("by"), "value", F.lit(0).alias("n"), code.alias("beginning"), start(code))
     )
-    return by_name.unionByName(by_code)
+    fits = F.when(F.col("by") == "code", F.col("found") == F.col("beginning")).otherwise(F.startswith("found", "beginning"))
+    begun = index.withColumn("start", start(F.col("found"))).join(begins, "start").where(fits)
+    begun = stage(begun.select(key, "level", "by", "value", "n").distinct(), "names-begun")
+    short = begun.where(F.col("n") <= INDEX_WORDS)
+    spaced = F.concat(F.lit(" "), F.col("value"), F.lit(" "))
+    read = texts.select(key, F.col(text).alias("text of row"))
+    long = begun.where(F.col("n") > INDEX_WORDS).join(read, key).where(F.contains(_line(column_key(F.col("text of row"))), spaced))
+    wanted = (key, "level", "by", "value")
+    return short.select(*wanted).unionByName(long.select(*wanted)).distinct()
 
 
 def column_levels(columns: DataFrame, *, strict: bool = False) -> DataFrame:

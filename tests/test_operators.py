@@ -155,6 +155,18 @@ def test_names_in_text_against_brute_force(spark):
     assert found == expected and {n for _, _, n in expected} >= {"saint remy les hauts de la grande vallee", "l'isle"}
 
 
+def test_names_in_text_builds_its_index_once(spark):
+    texts = spark.createDataFrame([(1, "dep_75 2a, saint remy les hauts de la grande vallee"), (2, "2a")], "i int, t string")
+    long = spark.createDataFrame([("com", 5, None, "Saint-Rémy les hauts de la Grande Vallée")], reference.REFERENCE_SCHEMA)
+    found = reference.names_in_text(texts, references(spark).unionByName(long), key="i", text="t")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in plan and "inline(" not in plan  # what is read has only the matches and, for long names, the texts
+    rows = [tuple(r) for r in found.collect()]
+    codes = reference.names_in_text(texts, spark.createDataFrame([("departement", 1, "2A", None)], reference.REFERENCE_SCHEMA), key="i", text="t")
+    assert [tuple(r) for r in codes.collect()] == [(2, "departement", "code", "2A")]
+    assert len(rows) == len(set(rows)) and {(1, "com", "nom", "saint remy les hauts de la grande vallee")} <= set(rows)
+
+
 def test_ranges_cover_the_periods(spark):
     tokens = ["2020-11", "2020-12", "2021-01", "2021-03", "2021-03", "bad", None, "2021-13"]
     df = spark.createDataFrame([("k", t) for t in tokens], "k string, t string")
