@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from colonnade.functions import fixed
-from colonnade.functions.text import strip
+from colonnade.functions.text import BLANK_SET, strip
 
 _ESCAPED = r"(?:\\x[0-9A-Fa-f]{2}){5,}"
 
@@ -62,9 +62,16 @@ def is_geometry_text(text: Column) -> Column:
     return geojson | wkt | is_wkb_text(text)
 
 
+def may_be_geometry(text: Column) -> Column:
+    """False for a text whose first character begins no geometry."""
+    return text.rlike(f"^(?:[{BLANK_SET}]*+[{{sSſpPlLmMgG]|[0\\\\\\x00\\x01])")
+
+
 def is_address_text(text: Column) -> Column:
     """A street word together with a number or a postal code."""
-    return text.rlike(r"(?U)\d") & text.rlike(fixed.STREET_PATTERN)
+    # the letters that begin a street word are looked for first, a word's edge costs more
+    flags, words = fixed.STREET_PATTERN.split(r"\b", 1)
+    return text.rlike(r"(?U)\d") & text.rlike(flags + r"(?=[sarbldcip])\b" + words)
 
 
 def point_wkt(x: Column, y: Column) -> Column:

@@ -21,6 +21,10 @@ BLANKS = (
 )
 
 
+#: The same characters in a set of a pattern.
+BLANK_SET = "".join(f"\\u{ord(c):04x}" for c in BLANKS)
+
+
 @lru_cache(maxsize=1)
 def _fold_table() -> tuple[str, str]:
     """Latin characters and the single letter each decomposes to; combining marks follow and map to nothing."""
@@ -92,6 +96,14 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(BLANKS))
 
 
+def may_be_typed(text: Column, most: int) -> Column:
+    """False for a text that is no number, no time and, without its blanks, longer than ``most`` characters.
+
+    Numbers and times begin with a sign, a digit, a point or, times alone, the letter T.
+    """
+    return text.rlike(f"(?s)^[{BLANK_SET}\\x00-\\x20\\x7f]*+(?:[-+.,0-9T]|.{{0,{most}}}?[{BLANK_SET}]*+$)")
+
+
 def looks_numeric(text: Column) -> Column:
     """True for a number written with a decimal point or comma."""
     return plain_number(F.replace(text, F.lit(","), F.lit("."))).isNotNull()

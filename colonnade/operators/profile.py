@@ -159,6 +159,8 @@ def scan_tables(spark: SparkSession, tables: Mapping[str, DataFrame], **options)
     parts = []
     for family, cells in _families(sources).items():
         cells = cells.withColumn("n", F.lit(1).cast("long"))
+        if family == "text":
+            cells = _with_typed(cells)
         features = _features(family, options.get("strict_numeric", False))
         parts.append(
             cells.select(
@@ -301,46 +303,67 @@ def _features(family: str, strict_numeric: bool, wanted: frozenset[str] | None =
                 "flags": _mask({"wkb": geometry.is_wkb_bytes(x)}, wanted)}
     if family == "complex":
         return {"size": F.lit(0), "num": none, "plain": none, "coord": none, "flags": F.lit(0).cast("long")}
-    coordinate = numbers.coordinate_number(x)
+    typed = F.col("typed")
+    coordinate = numbers.coordinate_number(typed)
     return {
         "size": F.length(x),
         "num": numbers.coerced_number(x, strict=strict_numeric),
-        "plain": text.plain_number(x),
+        "plain": text.plain_number(typed),
         "coord": coordinate,
-        "flags": _mask({**_word_flags(x), **_text_flags(x), **_range_flags(coordinate)}, wanted),
+        "flags": _mask({**_word_flags(x, typed), **_text_flags(x, typed), **_range_flags(coordinate)}, wanted),
     }
 
 
+def _with_typed(cells: DataFrame) -> DataFrame:
+    """Texts with what of them may be read as a word, a number, a time or a geometry, null where that is out of the question.
+
+    Every pattern decodes the whole text it is tried on; of long texts, nearly all are given up at their first character.
+    """
+    longest = max(len(w) for w in fixed.BOOLEAN_WORDS)
+    x = F.col("x")
+    return cells.withColumns({"typed": F.when(text.may_be_typed(x, longest), x), "shape": F.when(geometry.may_be_geometry(x), x)})
+
+
 def _printed_flags(family: str, x: Column) -> dict[str, Column]:
     """What :func:`_word_flags` says of a printed number, which has no letters but those of infinity."""
     digits = [int(w) for w in fixed.BOOLEAN_WORDS if w.isdigit()]
     return {"boolean_word": x.isin(*digits) if family == "integer" else F.lit(False), "country_no": x.isNotNull()}
 
 
-def _word_flags(x: Column) -> dict[str, Column]:
-    bare = text.strip(x)
-    word = F.lower(bare)
-    # a keyword that holds another one adds nothing
-    keywords = [k for k in fixed.LIKERT_KEYWORDS if not any(o != k and o in k for o in fixed.LIKERT_KEYWORDS)]
+def _word_flags(x: Column, typed: Column) -> dict[str, Column]:
     # every letter or digit stays in the token, so a text with more of them than the longest alias is none
     most = max(len(t.replace("_", "")) for t in fixed.COUNTRY_VALUE_TOKENS)
-    few = bare.rlike(f"^(?:[^A-Za-z0-9]*+[A-Za-z0-9]){{0,{most}}}+[^A-Za-z0-9]*+$")
-    token = text.country_token(F.when(few, bare))
+    few = x.rlike(f"^(?:[^A-Za-z0-9]*+[A-Za-z0-9]){{0,{most}}}+[^A-Za-z0-9]*+$")
+    token = text.country_token(F.when(few, text.strip(x)))
     alias = token.isin(*fixed.COUNTRY_VALUE_TOKENS)
     return {
-        "boolean_word": word.isin(*fixed.BOOLEAN_WORDS),
-        "likert_word": reduce(lambda a, b: a | b, [F.contains(word, F.lit(k)) for k in keywords]),
+        "boolean_word": F.lower(text.strip(typed)).isin(*fixed.BOOLEAN_WORDS),
+        "likert_word": _holds_keyword(F.lower(x)),
         "country_yes": few & alias,
         "country_no": ~few | (~alias & (token != "")),
     }
 
 
-def _text_flags(x: Column) -> dict[str, Column]:
-    bare = text.strip(x)
+def _holds_keyword(word: Column) -> Column:
+    """Whether a text holds a keyword of a rating; several that end in the same word are looked for after that word."""
+    # a keyword that holds another one adds nothing
+    keywords = [k for k in fixed.LIKERT_KEYWORDS if not any(o != k and o in k for o in fixed.LIKERT_KEYWORDS)]
+    by_end: dict[str, list[str]] = {}
+    for keyword in keywords:
+        by_end.setdefault(keyword.split()[-1], []).append(keyword)
+    groups = []
+    for end, found in by_end.items():
+        held = reduce(lambda a, b: a | b, [F.contains(word, F.lit(k)) for k in found])
+        groups.append(held if found == [end] else F.contains(word, F.lit(end)) & held)
+    return reduce(lambda a, b: a | b, groups)
+
+
+def _text_flags(x: Column, typed: Column) -> dict[str, Column]:
+    bare, shape = text.strip(typed), F.col("shape")
     return {
         "address": geometry.is_address_text(x),
-        "geometry_text": geometry.is_geometry_text(x),
-        "wkb": geometry.is_wkb_text(x),
+        "geometry_text": geometry.is_geometry_text(shape),
+        "wkb": geometry.is_wkb_text(shape),
         "full_timestamp": bare.rlike(fixed.FULL_TIMESTAMP_PATTERN),
         "year_month": bare.rlike(fixed.YEAR_MONTH_PATTERN),
         "year_text": bare.rlike(fixed.YEAR_PATTERN) & bare.try_cast("int").between(1800, 2100),
@@ -382,11 +405,14 @@ def _frequencies(family: str, cells: DataFrame, strict_numeric: bool, wanted: fr
     if family in ("text", "binary"):
         fits = x.isNull() if family == "binary" else x.isNull() | (F.octet_length(x) <= KEY_BYTES)
         short = cells.where(fits).groupBy("cid", "x").agg(F.count("*").alias("n"))
+        long = cells.where(~fits)
+        if family == "text":
+            short, long = _with_typed(short), _with_typed(long)
         short = short.select("cid", "n", x.isNotNull().alias("present"), *[e.alias(k) for k, e in features.items()])
         # equal values have equal features, so any of them will do; as aggregates they stay above the union of the tables
         digest = [F.xxhash64(F.lit(i), x).alias(f"digest{i}") for i in range(2)]
         outcomes = [F.max(e).alias(k) for k, e in features.items()]
-        long = cells.where(~fits).groupBy("cid", *digest).agg(F.count("*").alias("n"), *outcomes)
+        long = long.groupBy("cid", *digest).agg(F.count("*").alias("n"), *outcomes)
         found = short.unionByName(long.select("cid", "n", F.lit(True).alias("present"), *features))
         return found.withColumn("num_key", num)
     grouped = cells.groupBy("cid", "x").agg(F.count("*").alias("n"))

@@ -124,3 +124,25 @@ def test_slugs_and_decoding(spark):
 
 def test_patterns_cover_every_level():
     assert set(fixed.SPATIAL_NAME_WORDS) == set(fixed.LEVEL_KEYS)
+
+
+def test_long_prose_is_given_up_and_nothing_else(spark):
+    prose = ["A text of many words, with a date 2020-01-02 and 5 numbers. " * 40, "été " * 100, "　\n" * 50 + "words that go on"]
+    kept = [
+        " " * 90 + "False" + "\n" * 90, "  " * 40 + "1" * 90, "\x1c" * 70 + "-.5e3", "+" + "0" * 80, "2020-01-02 03:04:05." + "0" * 60 + "Z",
+        "\x01 T10:11:12", ",5" + " " * 70, "fr", "", " " * 200,
+    ]
+    assert values(spark, prose + kept, lambda v: text.may_be_typed(v, 5), "string") == [False] * len(prose) + [True] * len(kept)
+    shapes = [" " * 80 + "point (1 2)", '　{"type": "Point", "coordinates": [1, 2]}', "0101000000" + "0" * 80, "\\x01\\x01\\x00\\x00\\x00" * 9,
+              "\x01\x01\x00\x00\x00" + "a" * 80, "ſrid=4326;POINT (1 2)", "Multipoint", "\tgeometrycollection", "LineString (0 0, 1 1)"]
+    assert values(spark, shapes, geometry.is_geometry_text) == [True] * len(shapes)
+    assert values(spark, shapes + ["words of a text", "{", "été"], geometry.may_be_geometry) == [True] * len(shapes) + [False, True, False]
+
+
+def test_street_words_by_first_letter(spark):
+    words = ["street", "st.", "avenue", "ave", "road", "rd", "boulevard", "blvd.", "lane", "ln", "drive", "dr.", "route", "rte", "rue", "av", "bd",
+             "chemin", "impasse", "allée", "allee", "place", "square"]
+    rows = [f"12 {w} x" for w in words] + [f"12 {w.upper()}" for w in words] + ["12 ſtreet", "12 İmpasse", "12 xrue", "rue", "12 ruelle"]
+    plain = values(spark, rows, lambda v: v.rlike(r"(?U)\d") & v.rlike(fixed.STREET_PATTERN))
+    assert values(spark, rows, geometry.is_address_text) == plain
+    assert plain[: 2 * len(words)] == [True] * 2 * len(words) and plain[-3:] == [False] * 3
