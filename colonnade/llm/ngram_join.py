@@ -289,9 +289,9 @@ def grouped(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, DataFram
         return written(out.select("a", "b", "key_a", "key_b"), "ngram-candidates")
 
     links, near, tried, turn = None, None, 1, 0
-    opened = dealt
     while True:
-        rooted = written(_rooted(opened, near), "ngram-open")
+        # before any link a class is its own root, so the lists are read as they lie
+        rooted = _rooted(dealt, near) if near is None else written(_rooted(dealt, near), "ngram-open")
         heads = written(_heads(rooted, turn), "ngram-heads")
         tests = with_keys(_stars(rooted, heads, turn, rule))
         new = written(linked(overlaps(docs, tests, rule, level), rule), "ngram-links")
@@ -300,7 +300,7 @@ def grouped(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, DataFram
         near = components(links) if hit else near
         if 50 * hit < tried or not hit:  # heads find little any more
             break
-    rest = with_keys(_across(_rooted(opened, near), rule), F.col("apart"))
+    rest = with_keys(_across(_rooted(dealt, near), rule), F.col("apart"))
     links = written(links.unionByName(linked(overlaps(docs, rest, rule, level), rule)), "ngram-links")
     return rows.drop("mark"), classes.drop("mark"), components(links)
 

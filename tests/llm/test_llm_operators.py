@@ -558,3 +558,12 @@ def test_pipeline_stages(spark, sf_dir):
     assert fourth.columns == columns and all(often.get(r.doc_id, 0) == r.copies for r in mixing.mix(third).select("doc_id", "mix.copies").collect())
     last = bpe.stage(spark, fourth, sf_dir)
     assert last.count() == fourth.count() == corpus_pipeline.run(spark, sf_dir).count()
+
+
+def test_ngram_join_lists_are_not_copied_before_a_link(spark, tmp_path, monkeypatch):
+    staged = []
+    monkeypatch.setattr(ngram_join, "written", lambda df, name, write=ngram_join.written: staged.append(name) or write(df, name))
+    texts = [" ".join(f"w{i}x{j}" for j in range(20)) for i in range(6)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = ngram_join.join(docs).orderBy("doc_id").collect()
+    assert [r["component_id"] for r in rows] == list(range(6)) and "ngram-open" not in staged
