@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from colonnade.llm.common import chunks
 
 #: Words whose tokens a task remembers before it starts anew, and the longest word that it remembers.
-REMEMBERED, LONGEST = 100_000, 64
+REMEMBERED, LONGEST = 50_000, 64
 
 #: How the vocabulary cuts normalised text into pieces; a fixed value of the public tokenizer, as in its file.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"

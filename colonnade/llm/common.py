@@ -14,7 +14,7 @@ SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 #: Bytes of text that are turned into numpy arrays at a time; bounds the memory of a task for texts of any length. The arrays
 #: take up to a hundred times as much, and a Python worker keeps that for the steps after it.
-BLOCK_BYTES = 1 << 18
+BLOCK_BYTES = 1 << 17
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[ord(c) for c in SPACE_CHARS]] = True

@@ -13,8 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # ten thousand long texts would be held twice, outside the heap and in the Python worker
-    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+    # long texts are held outside the heap, in buffers of twice their size that stay, and again in the Python worker
+    "spark.sql.execution.arrow.maxBytesPerBatch": "1m",
     # recording the call site of every column expression makes building large plans several times slower
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

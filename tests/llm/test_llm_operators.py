@@ -26,6 +26,7 @@ from colonnade.llm import (
     topk_tree,
     url_filter,
 )
+from colonnade.session import SETTINGS
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -522,6 +523,17 @@ def test_substring_dedup_of_shifted_passages(spark):
     assert got == plain_dedup(table)
 
 
+def test_pipeline_stages_set_the_session(spark, sf_dir):
+    """Stages that are run on their own bound the Arrow batches as the whole pipeline does."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    session = spark.newSession()
+    docs = session.read.parquet(f"{sf_dir}/documents.parquet").limit(5)
+    for _, function in (corpus_pipeline.STAGES[0], corpus_pipeline.STAGES[2], corpus_pipeline.STAGES[4]):
+        session.conf.set(key, "256m")
+        function(session, docs, sf_dir)
+        assert session.conf.get(key) == SETTINGS[key]
+
+
 def test_bpe(spark, docs, rows, empty):
     from tokenizers import Tokenizer
 
