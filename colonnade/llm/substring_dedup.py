@@ -246,10 +246,13 @@ def by_kinds(rows: DataFrame, width: int) -> DataFrame:
     sizes = written(kinds.groupBy("gram").agg(F.count("*").alias("n")), "substring-sizes")
     sized = kinds.join(sizes, "gram")
     masks = by_trees(sized.filter(F.col("n") <= GROUP).drop("n"), width).select("class", "mask").unionByName(by_nodes(sized.filter(F.col("n") > GROUP), width))
-    facts = written(kinds.select("class", F.col("own").alias("least")).join(masks, "class", "left").select(F.col("class").alias("kind"), "least", "mask"), "substring-masks")
+    facts = kinds.select("class", "own").join(masks, "class", "left").select(F.col("class").alias("kind"), "own", F.coalesce("mask", F.lit(0).cast("long")).alias("mask"))
     every = F.expr("shiftleft(1L, cast(place - low + 1 as int)) - shiftleft(1L, cast(place - high as int))")
-    mask = F.when(F.col("own") > F.col("least"), every).otherwise(F.coalesce("mask", F.lit(0).cast("long")))
-    return rows.drop("slice").join(facts, "kind").select("class", "own", "place", mask.alias("mask")).filter("mask <> 0")
+    # only the rows of a kind's least id are joined with what its slice loses; an anchor that has no such row loses all
+    first = rows.select("kind", "class", "own", "place").join(written(facts, "substring-masks"), ["kind", "own"]).select("class", "own", "place", "mask")
+    both = rows.select("class", "own", "place", every.alias("every"), F.lit(None).cast("long").alias("mask")).unionByName(first.withColumn("every", F.lit(None).cast("long")))
+    found = both.groupBy("class", "own", "place").agg(F.max("every").alias("every"), F.max("mask").alias("mask"))
+    return found.select("class", "own", "place", F.coalesce("mask", "every").alias("mask")).filter("mask <> 0")
 
 
 def strip(texts: DataFrame, width: int) -> DataFrame:

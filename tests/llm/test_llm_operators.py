@@ -523,6 +523,35 @@ def test_substring_dedup_of_shifted_passages(spark):
     assert got == plain_dedup(table)
 
 
+def rows_joined(plan):
+    """Rows that the joins of a plan that ran have made."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return rows_joined(plan.executedPlan())
+    if "QueryStage" in name:
+        return rows_joined(plan.plan())
+    below = plan.children()
+    return (plan.metrics().apply("numOutputRows").value() if "Join" in name else 0) + sum(rows_joined(below.apply(i)) for i in range(below.size()))
+
+
+def test_anchors_of_copies_are_not_joined(spark, monkeypatch):
+    """Of the anchors of near copies only those of the least id are joined with what their slice loses."""
+    monkeypatch.setattr(substring_dedup, "GROUP", 2)
+    seen, by_kinds = [], substring_dedup.by_kinds
+
+    def watched(rows, width):
+        found = by_kinds(rows, width)
+        found.collect()
+        seen.append((rows.count(), rows_joined(found._jdf.queryExecution().executedPlan())))
+        return found
+
+    monkeypatch.setattr(substring_dedup, "by_kinds", watched)
+    table = [(None if i == 3 else i // 2 * 2 if i < 8 else i, f"{prose(9, 300 + i)} {prose(500, 20)} {prose(60, 20)}") for i in range(60)]
+    assert by_id(substring_dedup.dedup(spark.createDataFrame(table, "doc_id long, text string"))) == plain_dedup(table)
+    [(anchors, joined)] = seen
+    assert anchors > 600 and 3 * joined < anchors
+
+
 def test_pipeline_stages_set_the_session(spark, sf_dir):
     """Stages that are run on their own bound the Arrow batches as the whole pipeline does."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
