@@ -7,11 +7,12 @@ to 65,535 for each task.
 1. Texts with equal sets are one class; a class is known by the hash of its set. Its members are never paired.
 2. A link needs a common n-gram among the first |A| - 3/4 |A| + 1 of each set (at 75), so only these are shuffled. N-grams that many classes share are dealt out over several lists.
 3. Star turns: each class is held against one other, the head of most of its n-grams, then against some heads of the
-   largest component among long lists. So copies meet their group without pairs inside it. Turns end when few pairs link.
+   largest component among long lists. So copies meet their group without pairs inside it. Turns end when few pairs link;
+   all but the first read the lists of frequent n-grams only.
 4. Exact pass: classes that are still in different components meet at the first n-gram they share, if their sizes and
    its places leave a link possible: it must lie among the first |A| - c + 1 of each set, c being what these two sizes
-   need in common. Parities of both sets then bound the n-grams that only one of them has. Lists of a dealt-out n-gram
-   meet one another here.
+   need in common. Parities of both sets, more of them for larger sets, then bound the n-grams that only one of them has.
+   Lists of a dealt-out n-gram meet one another here.
 5. A pair's overlap is counted fragment by fragment: the global order is cut into ranges, each range of each pair is its
    own row, partial counts are summed per pair.
 6. Components grow over links by minimum labels until nothing changes.
@@ -41,7 +42,7 @@ BUCKETS, PARTS = 1 << 20, 256
 #: Ranges that the global order is cut into.
 FRAGMENTS = 4
 
-#: Parities kept of each set; they tell most pairs apart that have up to three times as many n-grams together.
+#: Least number of parities kept of a set; a larger set has as many as n-grams at least, else long texts of one kind all look alike.
 BITS = 1024
 
 #: Pairs of one head that are counted together; heads of an n-gram in a turn, after the first.
@@ -75,9 +76,10 @@ def _name(grams: np.ndarray) -> int:
 
 
 def _mark(grams: np.ndarray) -> np.ndarray:
-    """``BITS`` parities of a set: whether the number of its n-grams that hash to a bit is odd."""
-    bits = (mix(grams ^ np.uint64(0x5BD1E995)) % np.uint64(BITS)).astype(np.int64)
-    return np.packbits(np.bincount(bits, minlength=BITS).astype(np.uint8) & 1).view(np.int64)
+    """Parities of a set, a power of two of them: whether the number of its n-grams that hash to a bit is odd."""
+    width = max(BITS, 1 << (len(grams) - 1).bit_length())
+    bits = (mix(grams ^ np.uint64(0x5BD1E995)) % np.uint64(width)).astype(np.int64)
+    return np.packbits((np.bincount(bits, minlength=width) & 1).astype(np.uint8)).view(np.int64)
 
 
 def describe(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -173,14 +175,16 @@ def lists(prefix: DataFrame) -> DataFrame:
     """Rows of the prefixes whose n-gram two classes or more have: ``gram, class, size, place``.
 
     They are sought in lists by n-gram; one of level k, about 2^k times three as frequent as the mean, is dealt out over 4^k lists by class, so that no list is much longer
-    than those of rare n-grams, and kept.
+    than those of rare n-grams, and kept. A class that several tasks have met has each n-gram once.
     """
     salt = F.when(F.col("level") > 0, F.pmod(F.col("class"), F.expr("shiftleft(1, least(2 * level, 20))"))).otherwise(F.lit(-1)).cast("int")
     packed = F.shiftleft(F.col("size").cast("long"), 32).bitwiseOR(F.col("place").cast("long"))  # fewer bytes to shuffle
     keyed = prefix.select("gram", salt.alias("salt"), "class", packed.alias("facts"))
     w = Window.partitionBy("gram", "salt")
-    found = keyed.withColumn("low", F.min("class").over(w)).withColumn("high", F.max("class").over(w))
+    found = keyed.withColumn("same", F.lag("class").over(w.orderBy("class")))
+    found = found.withColumn("low", F.min("class").over(w)).withColumn("high", F.max("class").over(w))
     size, place = F.shiftright("facts", 32).cast("int"), F.col("facts").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+    found = found.filter(F.col("same").isNull() | (F.col("same") < F.col("class")))
     return found.filter((F.col("low") < F.col("high")) | (F.col("salt") >= 0)).select("gram", "class", size.alias("size"), place.alias("place"))
 
 
@@ -288,18 +292,20 @@ def grouped(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, DataFram
         out = out if apart is None else out.filter(_differ(F.col("mark_a"), F.col("mark_b")) <= apart)
         return written(out.select("a", "b", "key_a", "key_b"), "ngram-candidates")
 
-    links, near, tried, turn = None, None, 1, 0
+    links, near, often, turn = None, None, None, 0
     while True:
-        # before any link a class is its own root, so the lists are read as they lie
-        rooted = _rooted(dealt, near) if near is None else written(_rooted(dealt, near), "ngram-open")
+        # before any link a class is its own root, so the lists are read as they lie; later turns read those of frequent n-grams
+        rooted = _rooted(dealt, near) if often is None else written(_rooted(often, near), "ngram-open")
         heads = written(_heads(rooted, turn), "ngram-heads")
         tests = with_keys(_stars(rooted, heads, turn, rule))
         new = written(linked(overlaps(docs, tests, rule, level), rule), "ngram-links")
         tried, hit, turn = tests.count(), new.count(), turn + 1
         links = new if links is None else written(links.unionByName(new), "ngram-links")
         near = components(links) if hit else near
-        if 50 * hit < tried or not hit:  # heads find little any more
+        if 10 * hit < tried or not hit:  # heads find little any more; the exact pass meets the rest at less than a turn costs
             break
+        if often is None:
+            often = written(dealt.join(heads.filter(F.col("n") > 2 * HEADS).select("gram"), "gram", "left_semi"), "ngram-often")
     rest = with_keys(_across(_rooted(dealt, near), rule), F.col("apart"))
     links = written(links.unionByName(linked(overlaps(docs, rest, rule, level), rule)), "ngram-links")
     return rows.drop("mark"), classes.drop("mark"), components(links)
@@ -317,20 +323,21 @@ def _rooted(opened: DataFrame, near: DataFrame | None) -> DataFrame:
 
 
 def _heads(opened: DataFrame, turn: int) -> DataFrame:
-    """Heads of this turn for each n-gram whose classes have several roots: classes of the largest component.
+    """Heads of this turn for each n-gram whose classes have several roots: classes of the largest component; ``n``: how many
+    classes the n-gram has.
 
-    The first turn has one head for each. Later ones try some more where an n-gram has many classes; where it has few, the
-    exact pass is as cheap.
+    The first turn has one head for each. Later ones try some more, and are given the n-grams of many classes only; where
+    an n-gram has few, the exact pass is as cheap.
     """
     facts = [F.max(F.struct("many", F.xxhash64(F.lit(turn), F.lit(i), "class").alias("order"), "class", "size", "root")) for i in range(HEADS if turn else 1)]
     found = opened.groupBy("gram").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), F.array(*facts).alias("heads"))
-    found = found.filter("low <> high").filter(F.col("n") > (2 * HEADS if turn else 0)).select("gram", F.explode("heads").alias("head"))
-    return found.select("gram", F.col("head.class").alias("a"), F.col("head.size").alias("size_a"), F.col("head.root").alias("root_a")).distinct()
+    found = found.filter("low <> high").select("gram", "n", F.explode("heads").alias("head"))
+    return found.select("gram", "n", F.col("head.class").alias("a"), F.col("head.size").alias("size_a"), F.col("head.root").alias("root_a")).distinct()
 
 
 def _stars(opened: DataFrame, heads: DataFrame, turn: int, rule: Rule) -> DataFrame:
     """Pairs ``a, b``: classes with the heads that they share many n-grams with, for a prefix; at first with the best only."""
-    met = opened.join(heads, "gram").filter((F.col("root") != F.col("root_a")) & _possible(F.col("size"), F.col("size_a"), rule.percent))
+    met = opened.join(heads.drop("n"), "gram").filter((F.col("root") != F.col("root_a")) & _possible(F.col("size"), F.col("size_a"), rule.percent))
     shared = met.groupBy("class", "size", "a").agg(F.count("*").alias("n")).filter(10 * F.col("n") >= F.col("size"))
     if turn:
         return shared.select("a", F.col("class").alias("b")).groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b")
@@ -339,8 +346,14 @@ def _stars(opened: DataFrame, heads: DataFrame, turn: int, rule: Rule) -> DataFr
 
 
 def _differ(a: Column, b: Column) -> Column:
-    """Least number of n-grams that only one of two sets with these parities has."""
-    return sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(BITS // 64)), F.lit(0))
+    """Least number of n-grams that only one of two sets with these parities has; the more are folded to as few as the others."""
+    n = F.least(F.size(a), F.size(b))
+
+    def at(mark: Column, i: Column) -> Column:
+        return F.aggregate(F.sequence(i, F.size(mark) - 1, n), F.lit(0).cast("long"), lambda x, j: x.bitwiseXOR(F.get(mark, j)))
+
+    odd = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.bit_count(at(a, i).bitwiseXOR(at(b, i))))
+    return F.aggregate(odd, F.lit(0), lambda x, y: x + y)
 
 
 def _across(rooted: DataFrame, rule: Rule) -> DataFrame:
@@ -358,7 +371,7 @@ def _met(rooted: DataFrame, rule: Rule) -> DataFrame:
     main = written(main.filter("low <> high").select("gram", F.col("main.root").alias("main")), "ngram-main")
     # an n-gram that follows one and the same in both sets is not the first they share
     before = F.lag("gram").over(Window.partitionBy("class").orderBy("place"))
-    open_rows = written(rooted.dropDuplicates(["gram", "class"]).join(main, "gram").withColumn("before", before), "ngram-rooted")
+    open_rows = written(rooted.join(main, "gram").withColumn("before", before), "ngram-rooted")
     # of two classes with different roots one at least is not of the n-gram's main root: members of that never meet
     left, right = (open_rows.select("gram", *[F.col(c).alias(f"{c}_{x}") for c in ("class", "size", "place", "root", "main", "before")]) for x in "ab")
     met = left.filter("root_a <> main_a").join(right, "gram").filter("root_a <> root_b and (root_b = main_b or class_a < class_b)")

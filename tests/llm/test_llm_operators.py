@@ -608,3 +608,37 @@ def test_ngram_join_lists_are_not_copied_before_a_link(spark, tmp_path, monkeypa
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     rows = ngram_join.join(docs).orderBy("doc_id").collect()
     assert [r["component_id"] for r in rows] == list(range(6)) and "ngram-open" not in staged
+
+
+def test_parities_of_long_sets_tell_them_apart(spark):
+    """Long sets have more parities, folded where the other set has fewer; sets with nothing in common never pass."""
+    rng = np.random.default_rng(5)
+    for n, m in ((900, 1100), (3000, 3000), (3500, 4500), (12000, 9000)):
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        for b in (np.unique(rng.integers(0, 1 << 63, m, dtype=np.uint64)), np.r_[a[: int(0.95 * min(n, m))], rng.integers(0, 1 << 63, m // 50, dtype=np.uint64)]):
+            marks = spark.createDataFrame([(ngram_join._mark(a).tolist(), ngram_join._mark(b).tolist())], "a array<long>, b array<long>")
+            least = marks.select(ngram_join._differ(F.col("a"), F.col("b"))).first()[0]
+            apart, common = len(np.setxor1d(a, b)), len(np.intersect1d(a, b))
+            most = len(a) + len(b) - 2 * np.ceil(75 * (len(a) + len(b)) / 175)
+            assert least <= apart and (least - apart) % 2 == 0 and (common or least > most)
+
+
+def test_ngram_join_later_turns_read_frequent_ngrams_only(spark, monkeypatch):
+    """After the first turn only the lists of n-grams with many classes are read and written again; each class is in a list once."""
+    staged = []
+    monkeypatch.setattr(ngram_join, "written", lambda df, name, write=ngram_join.written: staged.append((name, write(df, name))) or staged[-1][1])
+    base, r = prose(90, 21).split(" "), random.Random(6)
+    texts = [prose(60, 700 + i % 15) + (" more" if i % 2 else "") for i in range(30)]
+    for _ in range(30):
+        w = list(base)
+        for _ in range(r.randint(0, 5)):
+            w[r.randrange(len(w))] = f"w{r.randint(0, 999)}"
+        texts.append(" ".join(w))
+    table = list(enumerate(texts + texts[:10]))
+    sets = {i: shingles(t) for i, t in table}
+    got = {x.doc_id: x.component_id for x in ngram_join.join(spark.createDataFrame(table, "doc_id long, text string").repartition(5)).collect()}
+    assert got == component_of(list(sets), sets)
+    dealt = next(t for name, t in staged if name == "ngram-lists")
+    assert dealt.count() == dealt.select("gram", "class").distinct().count()
+    again = [t for name, t in staged if name == "ngram-open"]
+    assert again and all(t.count() < dealt.count() and t.groupBy("gram").count().filter(f"count <= {2 * ngram_join.HEADS}").isEmpty() for t in again)
